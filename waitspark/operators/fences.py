@@ -94,7 +94,7 @@ def fences_from_counts(
     removes a row, so most columns need no pass of their own.
     """
     sizes = counts.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    narrow = [c for c in columns if 2 * sizes[c] <= min(TASK_VALUE_LIMIT, value_limit)]
+    narrow = [c for c in columns if 1.25 * sizes[c] <= min(TASK_VALUE_LIMIT, value_limit)]
     steps, summary, rows = [], {}, None
     for i, column in enumerate(columns):
         if column in narrow and column not in summary:

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,8 +55,8 @@ def exact_quantiles(
     """
     if distinct_values is None:
         distinct_values = df.agg(F.approx_count_distinct(column)).first()[0]
-    # The estimate may be some percent low, hence the factor.
-    at_most = 2 * distinct_values
+    # The estimate may be some percent low, hence the margin.
+    at_most = 1.25 * distinct_values
     if at_most > min(TASK_VALUE_LIMIT, value_limit):
         df = value_counts(df, column, weight)
         column, weight = "value", "n"
@@ -74,42 +76,75 @@ def clamp_to_brackets(
     ranks inside the brackets still belong to the same values.
     """
     present = counts.filter(F.col("value").isNotNull())
-    row = present.agg(F.sum("n"), F.min("value"), F.max("value")).first()
+    row = present.agg(F.sum("n"), F.min("value"), F.max("value"), F.count("value")).first()
     if row[0] is None:
         return counts
     per_bracket = max(value_limit // len(probs), 2 * CUTS)
-    brackets = sorted(
-        narrow(present, p * (row[0] - 1), row[1], row[2], per_bracket) for p in probs
-    )
+    whole = Bracket(float(row[1]), float(row[2]), row[3])
+    positions = [p * (row[0] - 1) for p in probs]
+    brackets = sorted(narrow(present, positions, whole, per_bracket))
     value = F.col("value")
     clamped = F.when(value.isNull(), value)
-    for low, high in brackets:
-        clamped = clamped.when(value <= F.lit(high), F.greatest(value, F.lit(low)))
-    clamped = clamped.otherwise(F.lit(brackets[-1][1]))
+    for bracket in brackets:
+        clamped = clamped.when(
+            value <= F.lit(bracket.high), F.greatest(value, F.lit(bracket.low))
+        )
+    clamped = clamped.otherwise(F.lit(brackets[-1].high))
     return counts.groupBy(clamped.alias("value")).agg(F.sum("n").alias("n"))
 
 
-def narrow(counts: DataFrame, position: float, low, high, limit: int) -> tuple:
-    """(low, high) around the ranks next to ``position``, at most ``limit`` distinct values apart.
+class Bracket(NamedTuple):
+    low: float
+    high: float
+    values: int
+
+
+def narrow(
+    counts: DataFrame, positions: Sequence[float], whole: Bracket, limit: int
+) -> set[Bracket]:
+    """Brackets around the ranks next to each position, with at most ``limit`` values in each.
 
-    Each round cuts the bracket at evenly spread distinct values, counts the rows up to every cut
-    and keeps the piece with the ranks: two aggregates, and 1/128 of the values remain.
+    A round cuts a bracket at evenly spread distinct values and counts the pieces: two aggregates,
+    after which about 1/128 of the values remain. The pieces are counted over all rows, so ranks
+    need no carrying over.
     """
-    first, last = math.floor(position), math.ceil(position)
+    around = dict.fromkeys(positions, whole)
+    while wide := {b for b in around.values() if b.values > limit}:
+        for bracket in wide:
+            pieces = cut(counts, bracket)
+            for position, current in around.items():
+                if current == bracket:
+                    around[position] = pick(pieces, position)
+    return set(around.values())
+
+
+def cut(counts: DataFrame, bracket: Bracket) -> list[tuple[float, float, int, int]]:
+    """(low, high, rows, values) of the pieces of the whole value range, in order.
+
+    The greatest value of the bracket is a piece of its own, apart from what lies above.
+    """
+    inside = counts.filter(F.col("value").between(F.lit(bracket.low), F.lit(bracket.high)))
     steps = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
-    while True:
-        inside = counts.filter(F.col("value").between(F.lit(low), F.lit(high)))
-        row = inside.agg(
-            F.count(F.lit(1)).alias("values"),
-            F.percentile_approx("value", steps, 10_000).alias("cuts"),
-        ).first()
-        if row["values"] <= limit:
-            return low, high
-        cuts = sorted(set(row["cuts"]))
-        up_to = counts.agg(
-            *[F.sum(F.when(F.col("value") <= F.lit(c), F.col("n"))).alias(f"c{i}")
-              for i, c in enumerate(cuts)]
-        ).first()
-        below = [c for c, n in zip(cuts, up_to) if n <= first]
-        above = [c for c, n in zip(cuts, up_to) if n > last]
-        low, high = max([low, *below]), min([high, *above])
+    cuts = inside.agg(F.percentile_approx("value", steps, 10 * CUTS)).first()[0]
+    edges = sorted({bracket.low, bracket.high, *map(float, cuts)})
+    above = math.nextafter(bracket.high, math.inf)
+    bucketizer = Bucketizer(
+        splits=[-math.inf, *edges, above, math.inf], inputCol="value", outputCol="piece"
+    )
+    placed = bucketizer.transform(counts.withColumn("value", F.col("value").cast("double")))
+    found = placed.groupBy("piece").agg(F.sum("n"), F.count(F.lit(1))).collect()
+    sizes = {int(r[0]): (r[1], r[2]) for r in found}
+    lows = [-math.inf, *edges, above]
+    highs = [*edges, bracket.high, math.inf]
+    return [(*ends, *sizes.get(i, (0, 0))) for i, ends in enumerate(zip(lows, highs))]
+
+
+def pick(pieces: Sequence[tuple[float, float, int, int]], position: float) -> Bracket:
+    """The pieces from the one with the rank below ``position`` to the one with the rank above."""
+    first, last = math.floor(position), math.ceil(position)
+    before, chosen = 0, []
+    for low, high, rows, values in pieces:
+        if rows and before <= last and before + rows > first:
+            chosen.append((low, high, values))
+        before += rows
+    return Bracket(chosen[0][0], chosen[-1][1], sum(v for _, _, v in chosen))
