@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,42 +27,28 @@ def bin_edges(low: float | None, high: float | None, bins: int) -> list[float]:
     return [low + i * width for i in range(bins)] + [float(high)]
 
 
-def bin_number(value: Column, edges: Sequence[float]) -> Column:
-    """Bin of a value: left edge included, right edge excluded but for the last bin.
-
-    Division finds it up to rounding, comparison with the neighbouring edges settles it.
-    """
-    last = len(edges) - 2
-    table = F.array(*[F.lit(e) for e in edges])
-    value = value.cast("double")
-    share = (value - F.lit(edges[0])) / F.lit(edges[-1] - edges[0])
-    guess = F.floor(share * F.lit(float(last + 1))).cast("int")
-    guess = F.greatest(F.least(guess, F.lit(last)), F.lit(0))
-    lower, upper = F.get(table, guess), F.get(table, guess + 1)
-    return (
-        F.when(value < lower, guess - 1)
-        .when((value >= upper) & (guess < last), guess + 1)
-        .otherwise(guess)
-    )
-
-
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:
     """(feature, bin, lower_edge, upper_edge, frequency) over rows without a null.
 
-    Two passes: extremes of all columns, then one count by column and bin, combined in each task
-    to at most columns x bins rows before the shuffle. Empty bins are kept.
+    A value on an edge belongs to the bin above it, but for the last edge. Two passes: extremes of
+    all columns, then one count by column and bin, combined in each task to at most
+    columns x bins rows before the shuffle. Empty bins are kept.
     """
-    complete = df.select(*columns).dropna()
-    extremes = complete.agg(
-        *[F.struct(F.min(c).cast("double"), F.max(c).cast("double")) for c in columns]
-    ).first()
+    complete = df.select(*[F.col(c).cast("double") for c in columns]).dropna()
+    extremes = complete.agg(*[F.struct(F.min(c), F.max(c)) for c in columns]).first()
     edges = {c: bin_edges(*extremes[i], bins) for i, c in enumerate(columns)}
+    # With a bucket below the first edge even a single bin gives enough buckets.
+    bucketizer = Bucketizer(
+        splitsArray=[[-math.inf, *e] for e in edges.values()],
+        inputCols=list(columns),
+        outputCols=[f"bin_{c}" for c in columns],
+    )
     places = [
-        F.struct(F.lit(c).alias("feature"), bin_number(F.col(c), edges[c]).alias("bin"))
+        F.struct(F.lit(c).alias("feature"), (F.col(f"bin_{c}") - 1).cast("int").alias("bin"))
         for c in columns
     ]
-    counts = complete.select(F.inline(F.array(*places))).groupBy("feature", "bin")
-    counts = counts.agg(F.count(F.lit(1)).alias("found"))
+    placed = bucketizer.transform(complete).select(F.inline(F.array(*places)))
+    counts = placed.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("found"))
     frame = df.sparkSession.createDataFrame(
         [(c, i, e[i], e[i + 1]) for c, e in edges.items() for i in range(bins)],
         "feature string, bin int, lower_edge double, upper_edge double",
@@ -75,42 +62,43 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFr
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(row_name, column_name, r) of all pairs; null where a column does not vary.
 
-    One aggregate serves every pair. Each pair uses the rows where both are present, so a pair
-    with a gap needs deviations of its own, from a second aggregate over such pairs only.
+    Two aggregates serve every pair: means and deviations, then the sums of centred products. Each
+    pair uses the rows where both are present, so a pair with a gap gets moments of its own.
     """
-    pairs = list(combinations(columns, 2))
-    measures = [F.count(F.lit(1)).alias("rows")]
-    for c in columns:
-        measures += [F.count(c).alias(f"n_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
-    measures += [F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in pairs]
-    found = df.agg(*measures).first().asDict()
-
-    gaps = {c for c in columns if found[f"n_{c}"] < found["rows"]}
-    partial = [(a, b) for a, b in pairs if a in gaps or b in gaps]
-    if partial:
-        own = []
-        for a, b in partial:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            own += [
-                F.stddev_pop(F.when(both, F.col(a))).alias(f"a_{a}_{b}"),
-                F.stddev_pop(F.when(both, F.col(b))).alias(f"b_{a}_{b}"),
-            ]
-        found.update(df.agg(*own).first().asDict())
-
-    rows = [(c, c, 1.0 if found[f"s_{c}"] else None) for c in columns]
+    head = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.struct(F.count(c), F.avg(c), F.stddev_pop(c)).alias(f"m_{c}") for c in columns],
+    ).first()
+    present, mean, spread = (
+        {c: head[f"m_{c}"][i] for c in columns} for i in range(3)
+    )
+    gaps = {c for c in columns if present[c] < head["rows"]}
+    pairs = list(combinations([c for c in columns if spread[c]], 2))
+    moments = []
     for a, b in pairs:
-        spread = found.get(f"a_{a}_{b}", found[f"s_{a}"]), found.get(
-            f"b_{a}_{b}", found[f"s_{b}"]
-        )
-        r = None
-        if all(spread):
-            r = found[f"c_{a}_{b}"] / (spread[0] * spread[1])
-        rows += [(a, b, r), (b, a, r)]
+        if a in gaps or b in gaps:
+            moments.append(_pair_moments(a, b))
+        else:
+            x, y = F.col(a) - F.lit(mean[a]), F.col(b) - F.lit(mean[b])
+            scale = F.lit(head["rows"] * spread[a] * spread[b])
+            moments.append(F.sum(x * y) / scale)
+    found = df.agg(F.array(*moments).alias("r")).first()["r"] if pairs else []
+
+    by_pair = {frozenset(pair): r for pair, r in zip(pairs, found)}
+    by_pair |= {frozenset([c]): 1.0 for c in columns if spread[c]}
+    rows = [(a, b, by_pair.get(frozenset([a, b]))) for a in columns for b in columns]
     return df.sparkSession.createDataFrame(
         rows, "row_name string, column_name string, r double"
     )
 
 
+def _pair_moments(a: str, b: str) -> Column:
+    """Correlation over the rows where both are present; null if either is constant there."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    spread_a, spread_b = (F.stddev_pop(F.when(both, F.col(c))) for c in (a, b))
+    return F.try_divide(F.covar_pop(a, b), spread_a * spread_b)
+
+
 def density_curve(
     df: DataFrame, column: str, points: int = DENSITY_POINTS
 ) -> DataFrame:

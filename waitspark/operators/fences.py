@@ -1,8 +1,8 @@
 """Interquartile fences, column after column.
 
 The quartiles of a column come from the rows that every earlier fence kept. All that needs is how
-often each combination of the fenced columns occurs, so the input is read once, reduced to that
-table, and the fences are found there; the result is the unread input under literal bounds.
+often each combination of the fenced columns occurs, so the input is reduced to a table of that,
+written once, and the fences are found there; the result is the input itself under literal bounds.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from waitspark.operators.quantiles import (
 )
 from waitspark.workspace import materialize
 
+# Rows per combination from which grouping pays.
+MIN_REPEAT = 2
 REPORT_SCHEMA = (
     "step int, column_name string, lower_bound double, upper_bound double,"
     " rows_before long, anomaly_rows long, anomaly_percent double, rows_after long"
@@ -82,6 +84,22 @@ def combination_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return materialize(counts, "combinations")
 
 
+def weighted_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The fenced columns with a weight ``n``, written once.
+
+    Grouped where combinations repeat; where nearly all differ, grouping would only shuffle the
+    table, so the rows are written as they are.
+    """
+    columns = list(dict.fromkeys(columns))
+    sizes = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.approx_count_distinct(F.struct(*columns)).alias("combinations"),
+    ).first()
+    if sizes["combinations"] * MIN_REPEAT <= sizes["rows"]:
+        return combination_counts(df, columns)
+    return materialize(df.select(*columns, F.lit(1).alias("n")), "fenced")
+
+
 def fences_from_counts(
     counts: DataFrame,
     columns: Sequence[str],
@@ -170,7 +188,7 @@ def iqr_fences(
     """The fences of ``columns`` in order; ``approx`` allows quartiles a rank error of 1 %."""
     if approx:
         return approximate_fences(df, columns, k)
-    return fences_from_counts(combination_counts(df, columns), columns, k, value_limit)
+    return fences_from_counts(weighted_rows(df, columns), columns, k, value_limit)
 
 
 def drop_numeric_anomalies(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:

@@ -21,7 +21,7 @@ QUARTILES = (0.25, 0.75)
 # Distinct values up to which each task may keep its own counts, and up to which one task may
 # keep all of them.
 TASK_VALUE_LIMIT = 20_000
-VALUE_LIMIT = 1_000_000
+VALUE_LIMIT = 100_000
 CUTS = 128
 
 

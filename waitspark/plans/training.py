@@ -24,7 +24,7 @@ from waitspark.operators.learning import (
 from waitspark.operators.metrics import compare_models, with_residual
 from waitspark.operators.sampling import sample
 from waitspark.schema import FEATURES, TARGET
-from waitspark.workspace import materialize
+from waitspark.workspace import materialize, spread
 
 MODELS = ["network", "trees"]
 
@@ -46,13 +46,15 @@ class Comparison:
 
 
 def scaled_splits(processed: DataFrame, fraction: float | None = None) -> Splits:
-    """Standardised feature vectors of the three splits, over one written narrow table."""
+    """Standardised feature vectors of the three splits, each a part of one written table."""
     rows = with_split(model_frame(sample(processed, fraction), *_extra_keys()))
-    rows = materialize(rows.select("split", *FEATURES, TARGET), "model")
+    rows = materialize(rows.select("split", *FEATURES, TARGET), "model", ["split"])
     train = rows.filter(F.col("split") == "train")
     scaled = assemble(fit_scaler(train).apply(rows)).select("split", "features", TARGET)
-    parts = {s: scaled.filter(F.col("split") == s) for s in ("train", "validation", "test")}
-    return Splits(**parts)
+    train, validation, test = (
+        scaled.filter(F.col("split") == name) for name in ("train", "validation", "test")
+    )
+    return Splits(spread(train), spread(validation), test)
 
 
 def _extra_keys() -> list[str]:

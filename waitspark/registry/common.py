@@ -66,6 +66,8 @@ def mean_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def make() -> DataFrame:
         rows = with_split(processed(spark, sf_dir))
+        rows = rows.select("split", "request_hour", "PULocationID", TARGET)
+        rows = materialize(rows, "split", ["split"])
         train = rows.filter(F.col("split") == "train")
         test = rows.filter(F.col("split") == "test")
         by_key = [

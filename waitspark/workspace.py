@@ -33,7 +33,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{path}/data"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The copy is columnar, so later passes read only what they need. Its size is known, so a join
@@ -41,10 +41,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     a lost executor.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` on at least as many partitions as there are cores, for passes over it again and again.
+
+    Large tables have more as they are and come back untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def local_table(
     spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
 ) -> DataFrame:
