@@ -50,7 +50,8 @@ def test_narrow_leaves_few_values(spark):
     df = spark.range(20_000).select((F.col("id") * 0.5).alias("v"))
     counts = value_counts(df, "v").cache()
     whole = quantiles.Bracket(0.0, 9999.5, 20_000)
-    found = narrow(counts, [4999.75, 14999.25], whole, 2 * CUTS)
+    cuts = [2000.0, 2500.0, 5000.0, 8000.0]
+    found = narrow(counts, [4999.75, 14999.25], whole, 2 * CUTS, cuts)
     assert len(found) == 2 and all(b.values <= 2 * CUTS for b in found)
 
 

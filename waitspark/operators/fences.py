@@ -84,20 +84,29 @@ def combination_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return materialize(counts, "combinations")
 
 
-def weighted_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The fenced columns with a weight ``n``, written once.
+def weighted_rows(
+    df: DataFrame, columns: Sequence[str]
+) -> tuple[DataFrame, dict[str, int]]:
+    """(the fenced columns with a weight ``n``, written once; distinct values of each column).
 
     Grouped where combinations repeat; where nearly all differ, grouping would only shuffle the
     table, so the rows are written as they are.
     """
     columns = list(dict.fromkeys(columns))
-    sizes = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.approx_count_distinct(F.struct(*columns)).alias("combinations"),
+    row = df.agg(
+        F.count(F.lit(1)),
+        F.approx_count_distinct(F.struct(*columns)),
+        *[F.approx_count_distinct(c) for c in columns],
     ).first()
-    if sizes["combinations"] * MIN_REPEAT <= sizes["rows"]:
-        return combination_counts(df, columns)
-    return materialize(df.select(*columns, F.lit(1).alias("n")), "fenced")
+    sizes = dict(zip(columns, row[2:]))
+    if row[1] * MIN_REPEAT <= row[0]:
+        return combination_counts(df, columns), sizes
+    return materialize(df.select(*columns, F.lit(1).alias("n")), "fenced"), sizes
+
+
+def distinct_values(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    row = df.agg(*[F.approx_count_distinct(c) for c in columns]).first()
+    return dict(zip(columns, row))
 
 
 def fences_from_counts(
@@ -105,13 +114,14 @@ def fences_from_counts(
     columns: Sequence[str],
     k: float = 1.5,
     value_limit: int = VALUE_LIMIT,
+    sizes: dict[str, int] | None = None,
 ) -> Fences:
     """Fences of weighted rows; ``counts`` carries the weight in ``n``.
 
     One aggregate gives the quartiles of all columns still to come. They stay right until a fence
     removes a row, so most columns need no pass of their own.
     """
-    sizes = counts.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    sizes = sizes or distinct_values(counts, columns)
     narrow = [c for c in columns if 1.25 * sizes[c] <= min(TASK_VALUE_LIMIT, value_limit)]
     steps, summary, rows = [], {}, None
     for i, column in enumerate(columns):
@@ -188,7 +198,8 @@ def iqr_fences(
     """The fences of ``columns`` in order; ``approx`` allows quartiles a rank error of 1 %."""
     if approx:
         return approximate_fences(df, columns, k)
-    return fences_from_counts(weighted_rows(df, columns), columns, k, value_limit)
+    counts, sizes = weighted_rows(df, columns)
+    return fences_from_counts(counts, columns, k, value_limit, sizes)
 
 
 def drop_numeric_anomalies(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:

@@ -32,8 +32,9 @@ MAX_ROUNDS = 1000
 PATIENCE = 50
 HIDDEN_LAYERS = [64, 32, 16]
 EPOCHS = 50
-BATCH_ROWS = 512
 
+# Rows stacked into one matrix in a task; no mini-batch, every pass sees all rows.
+BLOCK_ROWS = 128
 # More bins than the widest feature, the pickup zone, has values.
 TREE_BINS = 512
 WAIT_BUCKETS = 20
@@ -211,7 +212,7 @@ def train_network(
         labelCol="bucket",
         layers=[len(FEATURES), *HIDDEN_LAYERS, len(means)],
         maxIter=epochs,
-        blockSize=BATCH_ROWS,
+        blockSize=BLOCK_ROWS,
         seed=SEED,
     ).fit(bucketed)
     history = network.summary().objectiveHistory

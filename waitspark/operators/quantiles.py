@@ -76,13 +76,15 @@ def clamp_to_brackets(
     ranks inside the brackets still belong to the same values.
     """
     present = counts.filter(F.col("value").isNotNull())
-    row = present.agg(F.sum("n"), F.min("value"), F.max("value"), F.count("value")).first()
+    row = present.agg(
+        F.sum("n"), F.count("value"), F.min("value"), F.max("value"), cut_points()
+    ).first()
     if row[0] is None:
         return counts
     per_bracket = max(value_limit // len(probs), 2 * CUTS)
-    whole = Bracket(float(row[1]), float(row[2]), row[3])
+    whole = Bracket(float(row[2]), float(row[3]), row[1])
     positions = [p * (row[0] - 1) for p in probs]
-    brackets = sorted(narrow(present, positions, whole, per_bracket))
+    brackets = sorted(narrow(present, positions, whole, per_bracket, row[4]))
     value = F.col("value")
     clamped = F.when(value.isNull(), value)
     for bracket in brackets:
@@ -99,33 +101,44 @@ class Bracket(NamedTuple):
     values: int
 
 
+def cut_points() -> Column:
+    steps = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
+    return F.percentile_approx("value", steps, 10 * CUTS)
+
+
 def narrow(
-    counts: DataFrame, positions: Sequence[float], whole: Bracket, limit: int
+    counts: DataFrame,
+    positions: Sequence[float],
+    whole: Bracket,
+    limit: int,
+    cuts: Sequence[float],
 ) -> set[Bracket]:
     """Brackets around the ranks next to each position, with at most ``limit`` values in each.
 
     A round cuts a bracket at evenly spread distinct values and counts the pieces: two aggregates,
-    after which about 1/128 of the values remain. The pieces are counted over all rows, so ranks
-    need no carrying over.
+    after which about 1/128 of the values remain; ``cuts`` are those of the first round. The pieces
+    are counted over all rows, so ranks need no carrying over.
     """
     around = dict.fromkeys(positions, whole)
     while wide := {b for b in around.values() if b.values > limit}:
         for bracket in wide:
-            pieces = cut(counts, bracket)
+            if bracket != whole:
+                inside = F.col("value").between(F.lit(bracket.low), F.lit(bracket.high))
+                cuts = counts.filter(inside).agg(cut_points()).first()[0]
+            pieces = cut(counts, bracket, cuts)
             for position, current in around.items():
                 if current == bracket:
                     around[position] = pick(pieces, position)
     return set(around.values())
 
 
-def cut(counts: DataFrame, bracket: Bracket) -> list[tuple[float, float, int, int]]:
+def cut(
+    counts: DataFrame, bracket: Bracket, cuts: Sequence[float]
+) -> list[tuple[float, float, int, int]]:
     """(low, high, rows, values) of the pieces of the whole value range, in order.
 
     The greatest value of the bracket is a piece of its own, apart from what lies above.
     """
-    inside = counts.filter(F.col("value").between(F.lit(bracket.low), F.lit(bracket.high)))
-    steps = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
-    cuts = inside.agg(F.percentile_approx("value", steps, 10 * CUTS)).first()[0]
     edges = sorted({bracket.low, bracket.high, *map(float, cuts)})
     above = math.nextafter(bracket.high, math.inf)
     bucketizer = Bucketizer(
