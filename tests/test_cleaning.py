@@ -49,6 +49,8 @@ def test_null_keys(spark):
     assert drop_null_keys(df, ["k", "v"]).count() == 1
     assert tuple(null_key_report(df, ["k", "v"]).first()) == (3, 1, 2)
     assert tuple(null_key_report(df, ["k"]).first()) == (3, 2, 1)
+    floats = spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "v double")
+    assert drop_null_keys(floats, ["v"]).count() == floats.dropna().count() == 1
 
 
 def test_dedupe_keeps_the_earliest_and_breaks_ties(spark):

@@ -73,9 +73,13 @@ def test_trips_are_not_shuffled_for_the_result(built):
     plan = plan_of(built.data)
     assert "BroadcastHashJoin" in plan
     assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
-    assert "PushedFilters: [IsNotNull(on_scene_datetime)" in plan
-    scan = plan[plan.index("Scan parquet") :]
-    columns = scan[scan.index("ReadSchema") : scan.index("\n", scan.index("ReadSchema"))]
+    scan = next(part for part in plan.split("\n\n") if "waitspark-trips" in part)
+    pushed, columns = (
+        next(line for line in scan.splitlines() if line.startswith(name))
+        for name in ("PushedFilters", "ReadSchema")
+    )
+    for key in TRIP_SCHEMA.names:
+        assert f"IsNotNull({key})" in pushed and key in columns
     assert "trip_id" not in columns
 
 

@@ -38,14 +38,14 @@ def trip_time_parts(trips: DataFrame) -> DataFrame:
     )
 
 
-def trip_calendar(trips: DataFrame) -> DataFrame:
-    """Adds weekday (1 = Sunday), is_weekend and trip_month."""
-    weekday = F.dayofweek("request_datetime")
+def trip_calendar(trips: DataFrame, time: str = "request_datetime") -> DataFrame:
+    """Adds weekday (1 = Sunday), is_weekend and trip_month of a time or date."""
+    weekday = F.dayofweek(time)
     return trips.withColumns(
         {
             "weekday": weekday,
             "is_weekend": F.when(weekday.isin(*WEEKEND), 1).otherwise(0),
-            "trip_month": F.month("request_datetime"),
+            "trip_month": F.month(time),
         }
     )
 

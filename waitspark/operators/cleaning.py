@@ -37,18 +37,28 @@ def time_anomaly_report(trips: DataFrame) -> DataFrame:
     )
 
 
-def all_present(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+def all_present(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Whether no column is null, nor NaN if it holds floating numbers.
+
+    One test per column rather than a count of gaps, so that each reaches the scan of its table and
+    a left join whose columns must be present becomes an inner one.
+    """
+    tests = []
+    for c in columns:
+        tests.append(F.col(c).isNotNull())
+        if df.schema[c].dataType.typeName() in ("float", "double"):
+            tests.append(~F.isnan(c))
+    return reduce(lambda a, b: a & b, tests)
 
 
 def drop_null_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(columns))
+    return df.filter(all_present(df, columns))
 
 
 def null_key_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     counts = df.agg(
         F.count(F.lit(1)).alias("rows_before"),
-        F.count_if(all_present(columns)).alias("rows_after"),
+        F.count_if(all_present(df, columns)).alias("rows_after"),
     )
     removed = F.col("rows_before") - F.col("rows_after")
     return counts.select("rows_before", "rows_after", removed.alias("rows_deleted"))

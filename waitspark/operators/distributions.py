@@ -10,6 +10,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waitspark.operators.cleaning import drop_null_keys
 from waitspark.operators.quantiles import value_counts
 
 # Bins of a histogram, points of a density curve.
@@ -34,7 +35,8 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFr
     all columns, then one count by column and bin, combined in each task to at most
     columns x bins rows before the shuffle. Empty bins are kept.
     """
-    complete = df.select(*[F.col(c).cast("double") for c in columns]).dropna()
+    values = df.select(*[F.col(c).cast("double") for c in columns])
+    complete = drop_null_keys(values, columns)
     extremes = complete.agg(*[F.struct(F.min(c), F.max(c)) for c in columns]).first()
     edges = {c: bin_edges(*extremes[i], bins) for i, c in enumerate(columns)}
     # With a bucket below the first edge even a single bin gives enough buckets.

@@ -20,12 +20,16 @@ from waitspark.functions.times import (
     wait_minutes,
     weather_time_parts,
 )
-from waitspark.operators.cleaning import all_present, dedupe_hourly, drop_time_anomalies
+from waitspark.operators.cleaning import (
+    all_present,
+    dedupe_hourly,
+    drop_null_keys,
+    drop_time_anomalies,
+)
 from waitspark.operators.encoding import apply_codes, category_codes
 from waitspark.operators.fences import (
     Fences,
     approximate_fences,
-    combination_counts,
     fences_from_counts,
 )
 from waitspark.operators.joins import join_weather, join_zones
@@ -39,6 +43,18 @@ from waitspark.schema import (
 from waitspark.workspace import materialize
 
 
+# Columns that follow from a request's date and hour.
+HOUR_COLUMNS = [
+    "request_date",
+    "request_hour",
+    "weekday",
+    "is_weekend",
+    "trip_month",
+    "weather_code",
+    *WEATHER_MEASURES.values(),
+]
+
+
 @dataclass(frozen=True)
 class Processed:
     """The processed table with what its making found out."""
@@ -71,19 +87,56 @@ def weather_numbers(
     )
 
 
+def place_trips(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """Valid trips with request date and hour, zones and the wait."""
+    timed = trip_time_parts(drop_time_anomalies(trips))
+    return join_zones(timed, zones).withColumn(TARGET, wait_minutes())
+
+
+def attach_hour(df: DataFrame, weather_hours: DataFrame, **number_options) -> DataFrame:
+    """Adds what the request's date and hour decide: the calendar, the weather and its numbers.
+
+    Numbers are read from the weather table, once per hour rather than once per row.
+    """
+    weather = weather_numbers(weather_hours, **number_options).select(
+        "weather_date", "weather_hour", "weather", *WEATHER_MEASURES.values()
+    )
+    return trip_calendar(join_weather(df, weather), "request_date")
+
+
 def enrich(
     trips: DataFrame, weather_hours: DataFrame, zones: DataFrame, **number_options
 ) -> DataFrame:
-    """Valid trips with time parts, weather, its numbers, zones and the wait.
+    """Valid trips with zones, the wait, the calendar and the weather."""
+    return attach_hour(place_trips(trips, zones), weather_hours, **number_options)
+
 
-    Numbers are read from the weather table, once per hour rather than once per trip.
+def hourly_combinations(
+    trips: DataFrame,
+    weather_hours: DataFrame,
+    zones: DataFrame,
+    fence_columns: Sequence[str],
+    **number_options,
+) -> DataFrame:
+    """How many trips share hour, fenced values and completeness, written once.
+
+    Trips are counted before the weather is attached: most fenced columns follow from the hour, so
+    the counts need few and narrow keys, and the weather meets a table that is small already.
     """
-    timed = trip_calendar(trip_time_parts(drop_time_anomalies(trips)))
-    weather = weather_numbers(weather_hours, **number_options).select(
-        "weather_date", "weather_hour", "weather", *WEATHER_MEASURES.values()
+    own = [c for c in fence_columns if c not in HOUR_COLUMNS]
+    own_keys = [c for c in KEY_COLUMNS if c not in HOUR_COLUMNS]
+    placed = place_trips(trips, zones)
+    placed = placed.withColumn("placed", all_present(placed, own_keys))
+    keys = list(dict.fromkeys(["request_date", "request_hour", "placed", *own]))
+    counts = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = attach_hour(counts, weather_hours, **number_options)
+    hour_keys = [c for c in HOUR_COLUMNS if c in KEY_COLUMNS and c != "weather_code"]
+    complete = F.col("placed") & all_present(counts, hour_keys)
+    measured = [c for c in fence_columns if c != "weather_code"]
+    counts = counts.withColumn("complete", complete).select(
+        "complete", "weather", *dict.fromkeys(measured), "n"
     )
-    joined = join_zones(join_weather(timed, weather), zones)
-    return joined.withColumn(TARGET, wait_minutes())
+    return materialize(counts, "combinations")
 
 
 def build_processed(
@@ -96,12 +149,9 @@ def build_processed(
     **number_options,
 ) -> Processed:
     """The processed table of ``trips``; ``weather_hours`` has one row per hour."""
-    enriched = enrich(trips, weather_hours, zones, **number_options)
-    present = [c for c in KEY_COLUMNS if c != "weather_code"]
-    flagged = enriched.withColumn("complete", all_present(present))
-    measured = [c for c in fence_columns if c != "weather_code"]
-    counts = combination_counts(flagged, ["complete", "weather", *measured])
-
+    counts = hourly_combinations(
+        trips, weather_hours, zones, fence_columns, **number_options
+    )
     codes = category_codes(counts, "weather")
     kept_rows = F.sum(F.when(F.col("complete"), F.col("n")).otherwise(0))
     null_report = counts.agg(
@@ -109,8 +159,9 @@ def build_processed(
         F.coalesce(kept_rows, F.lit(0)).alias("rows_after"),
     ).withColumn("rows_deleted", F.col("rows_before") - F.col("rows_after"))
 
-    kept = flagged.filter("complete")
-    coded = apply_codes(kept, codes, "weather", "weather_code").select(PROCESSED_COLUMNS)
+    enriched = enrich(trips, weather_hours, zones, **number_options)
+    coded = apply_codes(enriched, codes, "weather", "weather_code")
+    coded = drop_null_keys(coded, KEY_COLUMNS).select(PROCESSED_COLUMNS)
     if approx:
         fences = approximate_fences(coded, fence_columns, k)
     else:
