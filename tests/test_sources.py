@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from waitspark.plans.weather import load_weather, weather_readings
@@ -121,7 +120,8 @@ BODY = "".join(
         f"<tr><th>1:05 pm</th>{cells(*FULL)}</tr>",
     ]
 )
-PAGE = f"<table id=other><tbody><tr><th>9:00 am</th></tr></tbody></table><table class='a' id=\"wt-his\"><thead><tr><th>x</th></tr></thead><tbody>{BODY}</tbody></table>"
+PAGE = f"""<table id=other><tbody><tr><th>9:00 am</th></tr></tbody></table>
+<table class='a' id="wt-his"><thead><tr><th>x</th></tr></thead><tbody>{BODY}</tbody></table>"""
 
 
 def page_rows(spark, *days):
