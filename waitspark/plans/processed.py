@@ -30,6 +30,7 @@ from waitspark.operators.encoding import apply_codes, category_codes
 from waitspark.operators.fences import (
     Fences,
     approximate_fences,
+    distinct_values,
     fences_from_counts,
 )
 from waitspark.operators.joins import join_weather, join_zones
@@ -165,8 +166,10 @@ def build_processed(
     if approx:
         fences = approximate_fences(coded, fence_columns, k)
     else:
-        complete = apply_codes(
-            counts.filter("complete"), codes, "weather", "weather_code"
-        )
-        fences = fences_from_counts(complete, fence_columns, k)
+        complete = counts.filter("complete")
+        # A code per weather text, and 0: no need to attach codes to count them.
+        renamed = complete.withColumnRenamed("weather", "weather_code")
+        sizes = distinct_values(renamed, fence_columns)
+        complete = apply_codes(complete, codes, "weather", "weather_code")
+        fences = fences_from_counts(complete, fence_columns, k, sizes=sizes)
     return Processed(fences.apply(coded), codes, null_report, fences)
