@@ -7,6 +7,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare
 from conftest import SMALL
+from waitspark.registry import ORACLE_SQL, QUERIES
 
 # Queries whose result no SQL can state: random samples and trained models.
 WITHOUT_SQL = {
@@ -20,11 +21,12 @@ WITHOUT_SQL = {
 
 
 def test_only_random_and_trained_results_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
+    assert set(QUERIES) - set(ORACLE_SQL) == WITHOUT_SQL
     assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) <= set(queries())
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, name):
     assert compare(spark, SMALL, name) is None
 
