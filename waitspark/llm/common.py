@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    A cluster without a common file system is given the package with ``--py-files`` as usual.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waitspark.llm import exact_dedup, mixing, quality_rules, sentencepiece_codec, token_files
+from waitspark.llm import (
+    context_mixing,
+    exact_dedup,
+    jaccard_join,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    sentencepiece_codec,
+    token_files,
+    toxicity,
+)
 from waitspark.llm.common import read
 
 
@@ -12,6 +22,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.op1(read(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op3(read(spark, sf_dir, "documents"))
 
@@ -20,6 +34,18 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.op4(read(spark, sf_dir, "documents"))
 
 
+def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score(read(spark, sf_dir, "documents"))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.op7(read(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op8(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read(spark, sf_dir, "documents"))
 
@@ -30,6 +56,16 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_sentencepiece, op3_mixing, op4_exact_dedup, op9_quality_rules, op10_token_files)
+    for f in (
+        op1_sentencepiece,
+        op2_quality_classifier,
+        op3_mixing,
+        op4_exact_dedup,
+        op6_context_mixing,
+        op7_jaccard_join,
+        op8_toxicity,
+        op9_quality_rules,
+        op10_token_files,
+    )
 }
 ORACLE = {"op3_mixing": mixing.SQL, "op4_exact_dedup": exact_dedup.SQL}
