@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from waitspark.llm import (
     context_mixing,
     exact_dedup,
+    html_text,
     jaccard_join,
     mixing,
     quality_classifier,
@@ -34,6 +35,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.op4(read(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.score(read(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ QUERIES = {
         op2_quality_classifier,
         op3_mixing,
         op4_exact_dedup,
+        op5_html_text,
         op6_context_mixing,
         op7_jaccard_join,
         op8_toxicity,

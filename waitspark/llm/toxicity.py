@@ -196,10 +196,12 @@ def _features(rows: DataFrame, carry: list[str], model: ToxicModel) -> DataFrame
     return rows.select(*carry, "text").mapInArrow(run, schema)
 
 
-def score(docs: DataFrame, model: ToxicModel, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``carry`` and score for each row of ``docs``."""
-    rows = docs.select(*carry, text_or_empty().alias("text"))
-    return _features(rows, list(carry), model).select(*carry, "score")
+def score(docs: DataFrame, model: ToxicModel, carry: tuple[str, ...] = ("doc_id",), into: str = "score") -> DataFrame:
+    """``carry`` and the score, in column ``into``, for each row of ``docs``."""
+    own = [f"_c{i}" for i in range(len(carry))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(carry, own)], text_or_empty().alias("text"))
+    found = _features(rows, own, model)
+    return found.select(*[F.col(o).alias(c) for c, o in zip(carry, own)], F.col("score").alias(into))
 
 
 def op8(docs: DataFrame, labels: DataFrame) -> DataFrame:
