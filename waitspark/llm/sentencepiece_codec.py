@@ -7,9 +7,9 @@ position. Characters without a piece become their UTF-8 bytes' pieces. A tie goe
 last piece.
 
 Spaces become the mark U+2581 and one mark stands before the text. Where no piece has a mark after
-another character, no piece reaches over the start of a run of marks, so the best pieces of a text
-are those of its stretches between such starts; repeated stretches are then looked up. Models without
-that property are encoded whole. A mark in the text itself is written as bytes, so decoding
+another character, nor a line break, none reaches over the start of a run of marks or a line break, so
+the best pieces of a text are those of its stretches between them; repeated stretches are then looked
+up. Models without that property are encoded whole. A mark in the text itself is written as bytes, so decoding
 returns every text exactly. Null is the empty text; empty text has no ids. Repeated rows are encoded
 alike; an empty table stays empty; other columns are carried along.
 """
@@ -34,7 +34,8 @@ MARK = "▁"
 OWN_MARK = "￿"
 #: Score of a character without a piece: below the worst piece by this much.
 UNKNOWN_PENALTY = 10.0
-CACHE = 300_000
+#: Stretches in a generation of what a worker remembers; it keeps two.
+CACHE = 150_000
 
 
 @dataclass(frozen=True)
@@ -46,8 +47,9 @@ class Pieces:
     byte_ids: list[int]
 
     @property
-    def splits_at_marks(self) -> bool:
-        return not any(re.search(f"[^{MARK}]{MARK}", t) for t in self.texts.values())
+    def splits(self) -> bool:
+        """Whether no piece reaches over the start of a run of marks, or holds a line break."""
+        return not any(re.search(f"[^{MARK}]{MARK}|\n", t) for t in self.texts.values())
 
 
 def load_pieces(model_file: str) -> Pieces:
@@ -75,8 +77,10 @@ class Encoder:
         self.automaton.make_automaton()
         self.unknown = min(pieces.scores.values()) - UNKNOWN_PENALTY
         self.byte_ids = pieces.byte_ids
-        self.stretch = re.compile(f"{MARK}+[^{MARK}]*") if pieces.splits_at_marks else None
-        self.known: dict[str, tuple[tuple[int, ...], float]] = {}
+        self.stretch = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n") if pieces.splits else None
+        #: Ids (as bytes) and scores of stretches; ``old`` are those of the generation before.
+        self.known: tuple[dict[str, bytes], dict[str, float]] = ({}, {})
+        self.old: tuple[dict[str, bytes], dict[str, float]] = ({}, {})
 
     def viterbi(self, text: str) -> tuple[tuple[int, ...], float]:
         """Ids of greatest total score, and that score."""
@@ -126,18 +130,25 @@ class Encoder:
         if self.stretch is None:
             ids, score = self.viterbi(marked)
             return np.array(ids, np.int32), score
-        known = self.known
         stretches = self.stretch.findall(marked)
+        try:
+            parts = list(map(self.known[0].__getitem__, stretches))
+        except KeyError:
+            self._learn(dict.fromkeys(stretches))
+            parts = map(self.known[0].__getitem__, stretches)
+        ids = np.frombuffer(b"".join(parts), dtype=np.int32)
+        return ids, sum(map(self.known[1].__getitem__, stretches))
+
+    def _learn(self, stretches: dict[str, None]) -> None:
+        if len(self.known[0]) > CACHE:
+            self.known, self.old = ({}, {}), self.known
         for s in stretches:
-            if s not in known:
-                if len(known) > CACHE:
-                    known.clear()
-                    known.update((x, self.viterbi(x)) for x in set(stretches))
-                    break
-                known[s] = self.viterbi(s)
-        found = [known[s] for s in stretches]
-        ids = np.fromiter(chain.from_iterable(f[0] for f in found), dtype=np.int32)
-        return ids, float(sum(f[1] for f in found))
+            if s not in self.known[0]:
+                if s in self.old[0]:
+                    self.known[0][s], self.known[1][s] = self.old[0][s], self.old[1][s]
+                else:
+                    ids, score = self.viterbi(s)
+                    self.known[0][s], self.known[1][s] = np.array(ids, np.int32).tobytes(), score
 
     def _around(self, text: str) -> tuple[np.ndarray, float]:
         """A text with U+FFFF: Viterbi between its occurrences, their bytes at them."""
@@ -172,6 +183,18 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+_ENCODERS: dict[tuple[int, int], Encoder] = {}
+
+
+def worker_encoder(pieces) -> Encoder:
+    """One encoder, with what it remembers, for all tasks of a worker that share ``pieces``."""
+    key = (len(pieces.value.texts), hash(frozenset(pieces.value.texts.items())))
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(pieces.value)
+    return _ENCODERS[key]
+
+
 def _with(schema: T.StructType, *added: T.StructField) -> T.StructType:
     names = {f.name for f in added}
     return T.StructType([f for f in schema.fields if f.name not in names] + list(added))
@@ -190,7 +213,7 @@ def encode(docs: DataFrame, model_file: str | None = None, text: str = "text", c
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = worker_encoder(shared)
         for batch in batches:
             texts = binary_texts(batch.column(batch.num_columns - 1))
             found = [encoder(t.decode()) for t in texts]

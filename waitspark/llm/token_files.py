@@ -20,7 +20,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +37,10 @@ PERCENTILE = 95
 END_ID = 1
 HEAD = struct.Struct("<HBHI")
 TAIL = struct.Struct("<QQQ")
-#: Chunks of text whose ids a task remembers.
-CACHE = 300_000
+#: Chunks of text in a generation of what a worker remembers; it keeps two.
+CACHE = 250_000
+#: Stands between chunks encoded together; chunks that hold it are encoded alone.
+FENCE = b"|"
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
@@ -156,21 +158,61 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.fence = int(self._ids([FENCE])[0])
+        #: Ids of chunks as bytes; ``old`` are those of the generation before.
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def __call__(self, text: bytes) -> np.ndarray:
         chunks = text.split()
-        known = self.known
-        missing = [c for c in dict.fromkeys(chunks) if c not in known]
-        if missing:
-            if len(known) > CACHE:
-                known.clear()
-                missing = list(dict.fromkeys(chunks))
-            for i in range(0, len(missing), 1000):
-                part = missing[i : i + 1000]
-                found = self.tokenizer.encode_batch([c.decode() for c in part], add_special_tokens=False)
-                known.update(zip(part, (tuple(f.ids) for f in found)))
-        return np.fromiter(chain.from_iterable(map(known.__getitem__, chunks)), dtype=np.uint32)
+        try:
+            parts = list(map(self.known.__getitem__, chunks))
+        except KeyError:
+            self._learn(dict.fromkeys(chunks))
+            parts = map(self.known.__getitem__, chunks)
+        return np.frombuffer(b"".join(parts), dtype="<u4")
+
+    def _learn(self, chunks: dict[bytes, None]) -> None:
+        if len(self.known) > CACHE:
+            self.known, self.old = {}, self.known
+        new = []
+        for c in chunks:
+            if c not in self.known:
+                if c in self.old:
+                    self.known[c] = self.old[c]
+                else:
+                    new.append(c)
+        plain = [c for c in new if FENCE not in c]
+        for i in range(0, len(plain), 500):
+            self._learn_plain(plain[i : i + 500])
+        for c in new:
+            if FENCE in c:
+                self.known[c] = self._ids([c]).tobytes()
+
+    def _ids(self, chunks: list[bytes]) -> np.ndarray:
+        """Ids of some chunks, one after the other."""
+        found = self.tokenizer.encode_batch_fast([b" ".join(chunks).decode()], add_special_tokens=False)
+        return np.array(found[0].ids, dtype="<u4")
+
+    def _learn_plain(self, chunks: list[bytes]) -> None:
+        """Encode chunks in one call, with a fence between them that shows in the ids where each ends."""
+        fenced = [FENCE] * (2 * len(chunks) - 1)
+        fenced[::2] = chunks
+        ids = self._ids(fenced)
+        ends = np.append(np.flatnonzero(ids == self.fence), len(ids))
+        if len(ends) != len(chunks):
+            raise ValueError("the fence is not a token of its own in this tokenizer")
+        data = ids.tobytes()
+        start = 0
+        for chunk, end in zip(chunks, (4 * ends).tolist()):
+            self.known[chunk] = data[start:end]
+            start = end + 4
+
+
+@lru_cache(maxsize=2)
+def chunk_encoder(path: str) -> ChunkEncoder:
+    """One encoder, with what it remembers, for all tasks of a worker."""
+    return ChunkEncoder(path)
 
 
 def write_tokens(docs: DataFrame, encode: Callable[[], Callable[[bytes], np.ndarray]], end_id: int = END_ID) -> DataFrame:
@@ -265,4 +307,4 @@ def op10(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return read_tokens(write_tokens(docs, lambda: ChunkEncoder(tokenizer)))
+    return read_tokens(write_tokens(docs, lambda: chunk_encoder(tokenizer)))
