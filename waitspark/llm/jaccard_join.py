@@ -10,10 +10,12 @@ A document's tokens are the 64-bit hashes of its distinct 3-word shingles. Two d
    share at least k tokens among their first p - 1 + k. A token that at most ``RARE`` classes have is
    a key by itself. Frequent tokens are keys only in combinations: they fall into g = k - 1 groups by
    hash, so of k shared ones two are in one group, and the pairs inside the groups are the keys. g is a
-   power of two near p / 8, chosen by size; sizes near a border use both values.
+   power of two near p / 4, chosen by size; sizes near a border use both values.
 4. Classes that meet in a key are verified in rounds. In each round a key's pivots, few at first, are
-   compared with its other members, unless both are in one component already or sizes and the numbers
-   of tokens that nobody else has rule a link out. Compared pivots leave the key; keys inside one
+   compared with its other members, unless both are in one component already or sizes, the numbers of
+   tokens that nobody else has, or the parity sketches rule a link out. A sketch has a bit for each of
+   ``SKETCH_BITS`` shares of the tokens, set if the class has an odd number of them, so two sets differ
+   in at least as many tokens as their sketches in bits. Compared pivots leave the key; keys inside one
    component close. Groups whose members all link need about one comparison a member, not all pairs.
 
 A document with fewer than three words has one token, its whole word sequence; without words it has
@@ -41,6 +43,8 @@ SHINGLE = 3
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 90
 RARE = 64
+SKETCH_BITS = 256
+SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 FIRST_PIVOTS, PIVOT_GROWTH = 2, 4
 
 
@@ -57,6 +61,12 @@ def token_set(text: bytes, cache: WordHashes) -> np.ndarray:
     return np.array([whole], dtype=np.uint64)
 
 
+def parity_sketch(tokens: np.ndarray) -> list[int]:
+    share = (tokens >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)
+    odd = np.bincount(share, minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def least_overlap(n: int) -> int:
     return -(-n * PERCENT // 100)
 
@@ -70,32 +80,33 @@ def sieve_size(n: int) -> int:
 
 
 def sets(docs: DataFrame, whole: bool, key: str = "doc_id") -> DataFrame:
-    """doc_id, ``key``, n, sig, tokens (the whole set, or its first by hash that the sieve needs)."""
+    """doc_id, ``key``, n, sig, tokens (the whole set, or its first by hash that the sieve needs), sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            n, sig, tokens = [], [], []
+            n, sig, tokens, sketch = [], [], [], []
             for text in binary_texts(batch.column(2)):
                 found = token_set(text, cache)
                 n.append(len(found))
                 sig.append(hashlib.md5(found.tobytes()).digest())
                 tokens.append(found if whole else found[: sieve_size(len(found))])
+                sketch.append(parity_sketch(found))
             offsets = np.append(0, np.cumsum([len(t) for t in tokens])).astype(np.int32)
             values = np.concatenate(tokens).view(np.int64) if tokens else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-                names=["doc_id", "key", "n", "sig", "tokens"],
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), pa.array(sketch, pa.list_(pa.int64()))],
+                names=["doc_id", "key", "n", "sig", "tokens", "sketch"],
             )
 
     rows = docs.select("doc_id", F.col(key).alias("key"), text_or_empty().alias("text"))
     kinds = dict(rows.dtypes)
     return rows.mapInArrow(
-        run, f"doc_id {kinds['doc_id']}, key {kinds['key']}, n long, sig binary, tokens array<long>"
+        run, f"doc_id {kinds['doc_id']}, key {kinds['key']}, n long, sig binary, tokens array<long>, sketch array<long>"
     )
 
 
-def signature(n: int, tokens: np.ndarray, counts: np.ndarray) -> list[int]:
+def signature(n: int, tokens: np.ndarray, counts: np.ndarray, rare: int = RARE) -> list[int]:
     """Keys of a class of ``n`` tokens; ``tokens`` are those that other classes have, with how many have each."""
     alone = n - len(tokens)
     p = prefix_size(n)
@@ -107,11 +118,11 @@ def signature(n: int, tokens: np.ndarray, counts: np.ndarray) -> list[int]:
     keys: list[np.ndarray] = []
     widest = p + (1 << levels[-1]) - alone
     first = tokens[:widest]
-    keys.append(mix64(first[counts[:widest] <= RARE]))
+    keys.append(mix64(first[counts[:widest] <= rare]))
     for level in levels:
         groups = 1 << level
         within = slice(0, p + groups - alone)
-        frequent = tokens[within][counts[within] > RARE]
+        frequent = tokens[within][counts[within] > rare]
         if len(frequent) < 2:
             continue
         group = (mix64(frequent ^ np.uint64(0xC0FFEE)) & np.uint64(groups - 1)).astype(np.int64)
@@ -123,10 +134,10 @@ def signature(n: int, tokens: np.ndarray, counts: np.ndarray) -> list[int]:
 
 
 def _level(n: int) -> int:
-    return max(0, (prefix_size(max(n, 1)) // 8).bit_length() - 1)
+    return max(0, (prefix_size(max(n, 1)) // 4).bit_length() - 1)
 
 
-def keys(classes: DataFrame) -> DataFrame:
+def keys(classes: DataFrame, rare: int = RARE) -> DataFrame:
     """(key, cid, n, alone) from (cid, n, shared: array of (count, token))."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +149,7 @@ def keys(classes: DataFrame) -> DataFrame:
             tokens = values.field(1).to_numpy(zero_copy_only=False).view(np.uint64)
             for i, (cid, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 part = slice(offsets[i], offsets[i + 1])
-                found = signature(n, tokens[part], counts[part])
+                found = signature(n, tokens[part], counts[part], rare)
                 if found:
                     m = len(found)
                     alone = n - int(offsets[i + 1] - offsets[i])
@@ -167,11 +178,14 @@ def sieved(classes: DataFrame) -> DataFrame:
 
 
 def linkable(a: str, b: str) -> Column:
-    """Whether sizes, and tokens that no other class has, leave room for a link."""
+    """Whether sizes, tokens that no other class has, and sketches leave room for a link."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     fits = 100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)
-    best = na + nb - F.col(f"{a}.alone") - F.col(f"{b}.alone")
-    return fits & ((100 + PERCENT) * best >= 2 * PERCENT * (na + nb))
+    differ = F.lit(0)
+    for s in SKETCH:
+        differ = differ + F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}")))
+    differ = F.greatest(differ, F.col(f"{a}.alone") + F.col(f"{b}.alone"))
+    return fits & ((100 + PERCENT) * differ <= (100 - PERCENT) * (na + nb))
 
 
 def linked(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -185,8 +199,8 @@ def linked(pairs: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def class_components(members: DataFrame, postings: DataFrame) -> DataFrame:
-    """(cid, comp) of all ``members`` (cid, tokens); ``postings`` are the keys they meet in."""
-    comps = materialize(members.select("cid", F.col("cid").alias("comp")), "comps")
+    """(cid, comp, sketch) of all ``members`` (cid, tokens, sketch); ``postings`` are the keys they meet in."""
+    comps = materialize(members.select("cid", F.col("cid").alias("comp"), *SKETCH), "comps")
     open_ = postings
     pivots = FIRST_PIVOTS
     while True:
@@ -198,7 +212,7 @@ def class_components(members: DataFrame, postings: DataFrame) -> DataFrame:
         stats = materialize(stats.filter("low <> high"), "stats")
         chosen = (F.pmod(F.xxhash64("cid"), F.lit(1 << 20)) * F.col("members") < pivots * (1 << 20)) | (F.col("cid") == F.col("first.cid"))
         live = open_.join(stats.select("key", "members", "first"), "key")
-        live = materialize(live.select("key", "cid", "n", "alone", "comp", chosen.alias("pivot")), "live")
+        live = materialize(live.select("key", "cid", "n", "alone", "comp", *SKETCH, chosen.alias("pivot")), "live")
         if live.limit(1).count() == 0:
             return comps
         a, b = live.alias("a"), live.filter("pivot").alias("b")
@@ -208,7 +222,7 @@ def class_components(members: DataFrame, postings: DataFrame) -> DataFrame:
         found = materialize(linked(pairs, members), "found")
         if found.limit(1).count():
             comps = _merged(comps, found)
-        open_ = live.filter("NOT pivot").drop("pivot", "comp")
+        open_ = live.filter("NOT pivot").drop("pivot", "comp", *SKETCH)
         pivots *= PIVOT_GROWTH
 
 
@@ -219,27 +233,29 @@ def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     between = links.join(left, "a").join(right, "b").filter("x <> y")
     roots = components(between.select(F.col("x").alias("a"), F.col("y").alias("b")))
     moved = comps.join(roots, comps["comp"] == roots["node"], "left")
-    return materialize(moved.select("cid", F.coalesce("root", "comp").alias("comp")), "comps")
+    return materialize(moved.select("cid", F.coalesce("root", "comp").alias("comp"), *SKETCH), "comps")
 
 
-def join_components(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+def join_components(docs: DataFrame, key: str = "doc_id", rare: int = RARE) -> DataFrame:
     """doc_id, ``key``, n_shingles, component_id and comp (null without words) for each row of ``docs``."""
-    rows = materialize(sets(docs, False, key), "token-sets")
+    rows = materialize(sets(docs, False, key).drop("sketch"), "token-sets")
     grouped = rows.filter("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("least"), F.first("tokens").alias("tokens"))
     classes = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
     left = materialize(sieved(classes), "sieved")
     wanted = classes.select("cid", "sig", "n", "least").join(left, "cid", "left_semi")
     wanted = materialize(wanted, "wanted")
     texts = docs.join(wanted.select(F.col("least").alias("_least")).distinct(), F.col("doc_id").eqNullSafe(F.col("_least")), "left_semi")
-    members = sets(texts, True).select(F.col("sig").alias("_sig"), "tokens")
-    members = members.join(wanted, F.col("_sig") == F.col("sig")).groupBy("cid", "n").agg(F.first("tokens").alias("tokens"))
+    members = sets(texts, True).select(F.col("sig").alias("_sig"), "tokens", "sketch")
+    members = members.join(wanted, F.col("_sig") == F.col("sig"))
+    members = members.groupBy("cid", "n").agg(F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"))
+    members = members.select("cid", "n", "tokens", *[F.get("sketch", F.lit(i)).alias(s) for i, s in enumerate(SKETCH)])
     members = materialize(members, "members")
     shared = members.select("cid", "n", F.explode("tokens").alias("token")).join(shared_tokens(members), "token")
     shared = shared.groupBy("cid", "n").agg(F.collect_list(F.struct("count", "token")).alias("shared"))
-    postings = keys(shared)
+    postings = keys(shared, rare)
     postings = materialize(postings, "postings")
     met = postings.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
-    comps = class_components(members.select("cid", "tokens"), postings.join(met, "key", "left_semi"))
+    comps = class_components(members.drop("n"), postings.join(met, "key", "left_semi"))
     with_least = classes.select("cid", "sig", "least").join(comps, "cid", "left")
     with_least = materialize(with_least.withColumn("comp", F.coalesce("comp", "cid")), "with-least")
     smallest = with_least.groupBy("comp").agg(F.min("least").alias("component_id"))
@@ -252,8 +268,8 @@ def join_components(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
-def op7(docs: DataFrame) -> DataFrame:
-    return join_components(docs).select("doc_id", "n_shingles", "component_id")
+def op7(docs: DataFrame, rare: int = RARE) -> DataFrame:
+    return join_components(docs, rare=rare).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
