@@ -129,3 +129,22 @@ def test_fences_do_not_depend_on_partitioning(spark):
         for f in iqr_fences(df.repartition(n), ["v"]).steps
     }
     assert len(found) == 1
+
+
+@pytest.mark.parametrize("value_limit", [1, 100_000])
+def test_nan_is_no_value(spark, value_limit):
+    rows = [(float(i), float(i)) for i in range(100)] + [(float("nan"), 1e6)] * 10
+    df = spark.createDataFrame(rows, "a double, b double")
+    fences = iqr_fences(df, ["a", "b"], value_limit=value_limit)
+    assert [s.rows_before for s in fences.steps] == [110, 100] and fences.rows_after == 100
+    assert fences.steps[1].lower == pytest.approx(-49.5) and fences.steps[1].upper == pytest.approx(148.5)
+    assert fences.apply(df).count() == 100
+
+
+@pytest.mark.parametrize("value_limit", [1, 100_000])
+def test_infinite_values(spark, value_limit):
+    values = [float("-inf"), *map(float, range(1000)), float("inf"), float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "a double")
+    n, found = exact_quantiles(df, "a", (0.25, 0.5, 0.75), value_limit=value_limit)
+    assert n == len(values)
+    assert found == pytest.approx(list(np.quantile(values, (0.25, 0.5, 0.75))))

@@ -47,7 +47,7 @@ def test_trips_are_matched_by_name(spark, tmp_path):
 def test_file_counts(spark, tmp_path):
     for name, n in (("jan", 30), ("feb", 50)):
         trip_rows(spark, n).coalesce(1).write.parquet(str(tmp_path / name))
-    trips = read_trips(spark, [str(tmp_path / "jan"), str(tmp_path / "feb")], TRIP_SCHEMA)
+    trips = read_trips(spark, [str(tmp_path / "jan"), str(tmp_path / "feb")], TRIP_SCHEMA, file="file_path")
     counts = file_counts(trips, ["PULocationID"]).collect()
     assert sorted(r["original_rows"] for r in counts) == [30, 50]
     assert all(r["original_rows"] == r["sampled_rows"] for r in counts)
@@ -160,3 +160,32 @@ def test_stream_appends_each_page_once(spark, tmp_path):
         stream_weather(spark, pages, csv, log).awaitTermination()
     days = [r["date"] for r in read_weather(spark, csv).collect()]
     assert sorted(days) == ["2024-01-01"] * 2 + ["2024-01-02"] * 2
+
+
+def test_trips_lose_no_entry_and_widen(spark, tmp_path):
+    folder = tmp_path / "months"
+    folder.mkdir()
+    frame = spark.range(5).selectExpr("CAST(id AS INT) AS PULocationID", "'a' AS note").toPandas()
+    frame.astype({"PULocationID": "int32"}).to_parquet(folder / "jan.parquet")
+    spark.range(7).selectExpr("id AS PULocationID", "id % 2 AS part").write.partitionBy("part").parquet(str(folder / "feb.parquet"))
+    rows = read_trips(spark, str(folder))
+    assert rows.count() == 12
+    assert dict(rows.dtypes)["PULocationID"] == "bigint"
+    assert rows.filter("part IS NULL").count() == 5 and rows.filter("note IS NULL").count() == 7
+
+
+def test_files_of_one_name_are_counted_apart(spark, tmp_path):
+    for month, n in ((1, 10), (2, 20)):
+        (tmp_path / f"month={month}").mkdir()
+        spark.range(n).toPandas().to_parquet(tmp_path / f"month={month}" / "data.parquet")
+    rows = read_trips(spark, [str(tmp_path / f"month={m}" / "data.parquet") for m in (1, 2)], file="file_path")
+    counts = file_counts(rows, ["id"]).collect()
+    assert sorted(r["original_rows"] for r in counts) == [10, 20]
+    assert {r["file_name"] for r in counts} == {"data.parquet"}
+
+
+def test_line_breaks_do_not_split_records(spark, tmp_path):
+    rows = [tuple("Light rain.\nFog." if c == "weather" else "x" for c in WEATHER_SCHEMA.names)]
+    append_csv(spark.createDataFrame(rows, WEATHER_SCHEMA), str(tmp_path / "csv"))
+    got = read_weather(spark, str(tmp_path / "csv")).collect()
+    assert [r["weather"] for r in got] == ["Light rain. Fog."]

@@ -14,12 +14,14 @@ CLOCK_24H = r"^(\d{1,2}:\d{2})"
 CLOCK_12H = r"(?i)^(\d{1,2}:\d{2} (?:AM|PM))"
 WHITESPACE = " \t\n\r\x0b\x0c\u00a0"
 ENTITIES = {
-    "&nbsp;": " ",
-    "&quot;": '"',
-    "&deg;": "°",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&amp;": "&",
+    " ": ["&nbsp;", "&#160;", "&#xa0;"],
+    '"': ["&quot;", "&#34;", "&#x22;"],
+    "'": ["&apos;", "&#39;", "&#x27;"],
+    "°": ["&deg;", "&#176;", "&#xb0;"],
+    "-": ["&minus;", "&#8722;", "&#x2212;", "\u2212"],
+    "<": ["&lt;", "&#60;", "&#x3c;"],
+    ">": ["&gt;", "&#62;", "&#x3e;"],
+    "&": ["&amp;", "&#38;", "&#x26;"],
 }
 
 
@@ -76,11 +78,14 @@ def url_param_date(url: Column, link_text: Column, name: str = "hd") -> Column:
 
 
 def cell_text(markup: Column) -> Column:
-    """Visible text of a table cell: line breaks kept, tags dropped, entities read, trimmed."""
+    """Visible text of a table cell: line breaks kept, tags dropped, entities read, trimmed.
+
+    A minus sign becomes a hyphen, which number patterns and casts read.
+    """
     text = F.regexp_replace(markup, r"(?i)<br\s*/?>", "\n")
     text = F.regexp_replace(text, r"<[^>]*>", "")
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
+    for char, entities in ENTITIES.items():
+        text = F.regexp_replace(text, "(?i)" + "|".join(entities), char)
     return strip(text)
 
 

@@ -9,16 +9,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Formats of a weather time text, and the weekend days (1 = Sunday).
-DAY_TIME_FORMAT = "yyyy-MM-dd H:mm"
-HALF_DAY_TIME_FORMAT = "yyyy-MM-dd h:mm a"
+DAY_TIME = r"^(\d{4}-\d{2}-\d{2}) (\d{1,2}):(\d{2})$"
+HALF_DAY_TIME = r"(?i)^(\d{4}-\d{2}-\d{2}) (0?[1-9]|1[0-2]):(\d{2}) ([AP])M$"
 WEEKEND = (1, 7)
 
 
 def weather_time_parts(weather: DataFrame, text: str = "row_index") -> DataFrame:
-    """Adds weather_timestamp, weather_date and weather_hour; text that is no time gives null."""
-    half_day = F.try_to_timestamp(F.col(text), F.lit(HALF_DAY_TIME_FORMAT))
-    full_day = F.try_to_timestamp(F.col(text), F.lit(DAY_TIME_FORMAT))
-    stamp = F.coalesce(half_day, full_day).cast("timestamp_ntz")
+    """Adds weather_timestamp, weather_date and weather_hour; text that is no time gives null.
+
+    The time is put into one form and cast without a zone, so hours that a zone skips stay.
+    """
+    part = lambda pattern, i: F.regexp_extract(text, pattern, i)
+    afternoon = F.when(F.upper(part(HALF_DAY_TIME, 4)) == "P", 12).otherwise(0)
+    hour = (part(HALF_DAY_TIME, 2).try_cast("int") % 12 + afternoon).cast("string")
+    half_day = F.concat(part(HALF_DAY_TIME, 1), F.lit(" "), F.lpad(hour, 2, "0"), F.lit(":"), part(HALF_DAY_TIME, 3))
+    full_day = F.concat(
+        part(DAY_TIME, 1), F.lit(" "), F.lpad(part(DAY_TIME, 2), 2, "0"), F.lit(":"), part(DAY_TIME, 3)
+    )
+    stamp = F.coalesce(half_day.try_cast("timestamp_ntz"), full_day.try_cast("timestamp_ntz"))
     stamped = weather.withColumn("weather_timestamp", stamp)
     return stamped.withColumns(
         {

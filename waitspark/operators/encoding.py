@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -53,16 +53,13 @@ def sorted_codes(values: DataFrame, column: str) -> DataFrame:
     return materialize(coded, "codes")
 
 
-def code_or_zero() -> Column:
-    return F.coalesce(F.col("code"), F.lit(0))
-
-
 def apply_codes(
     df: DataFrame, codes: DataFrame, column: str, output: str
 ) -> DataFrame:
     """Adds ``output``: the value's code, 0 for null or unknown."""
-    coded = df.join(codes, column, "left")
-    return coded.withColumn(output, code_or_zero()).drop("code")
+    named = codes.select(column, F.col("code").alias("_found_code"))
+    coded = df.join(named, column, "left")
+    return coded.withColumn(output, F.coalesce("_found_code", F.lit(0))).drop("_found_code")
 
 
 def encode_category(

@@ -20,6 +20,7 @@ from waitspark.operators.quantiles import (
     exact_quantiles,
     quantile_array,
     row_total,
+    values_only,
 )
 from waitspark.workspace import materialize
 
@@ -45,7 +46,7 @@ class Fence:
         return found.least < self.lower or found.greatest > self.upper
 
     def keeps(self) -> Column:
-        """Inclusive; a null value, or a column without values, keeps nothing."""
+        """Inclusive; a null or NaN, or a column without values, keeps nothing."""
         bounds = [F.lit(b).cast("double") for b in (self.lower, self.upper)]
         return F.col(self.column).between(*bounds)
 
@@ -93,6 +94,7 @@ def weighted_rows(
     table, so the rows are written as they are.
     """
     columns = list(dict.fromkeys(columns))
+    df = values_only(df, columns)
     row = df.agg(
         F.count(F.lit(1)),
         F.approx_count_distinct(F.struct(*columns)),
@@ -121,6 +123,7 @@ def fences_from_counts(
     One aggregate gives the quartiles of all columns still to come. They stay right until a fence
     removes a row, so most columns need no pass of their own.
     """
+    counts = values_only(counts, columns)
     sizes = sizes or distinct_values(counts, columns)
     narrow = [c for c in columns if 1.25 * sizes[c] <= min(TASK_VALUE_LIMIT, value_limit)]
     steps, summary, rows = [], {}, None

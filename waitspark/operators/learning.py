@@ -30,6 +30,8 @@ ROW_SHARE = 0.8
 FEATURE_SHARE = 0.8
 MAX_ROUNDS = 1000
 PATIENCE = 50
+# Rounds beyond the patience that the first run trains.
+FIRST_ROUNDS = 2
 HIDDEN_LAYERS = [64, 32, 16]
 EPOCHS = 50
 
@@ -114,7 +116,7 @@ def train_trees(
     """(boosted trees up to the round of least validation loss, loss per round).
 
     The trees of a shorter run are the first ones of a longer run with the same seed, so runs
-    double until the patience rule is met, and no round far beyond it is trained.
+    double until the patience rule is met, and the kept rounds are cut from the last run.
     """
     spark = train.sparkSession
     if not spark.sparkContext.getCheckpointDir():
@@ -133,7 +135,7 @@ def train_trees(
         )
         return trees.fit(train)
 
-    rounds = min(max_rounds, 2 * patience)
+    rounds = min(max_rounds, patience + max(FIRST_ROUNDS, patience // 5))
     while True:
         model = fit(rounds)
         losses = model.evaluateEachIteration(validation, "squared")
@@ -144,7 +146,20 @@ def train_trees(
     curve = loss_rows(spark, "trees", "validation", losses).unionByName(
         loss_rows(spark, "trees", "train", model.evaluateEachIteration(train, "squared"))
     )
-    return (fit(keep) if keep < rounds else model), curve
+    return first_trees(model, keep), curve
+
+
+def first_trees(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The ensemble of the first ``rounds`` trees."""
+    fitted = model._java_obj
+    gateway = SparkSession.active().sparkContext._gateway
+    ensemble = gateway.jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(ensemble.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = fitted.trees()[i], fitted.treeWeights()[i]
+    cut = GBTRegressionModel(ensemble.GBTRegressionModel(fitted.uid(), trees, weights))
+    return model._copyValues(cut)
 
 
 def loss_rows(spark: SparkSession, model: str, split: str, losses) -> DataFrame:

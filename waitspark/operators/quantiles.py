@@ -25,6 +25,13 @@ VALUE_LIMIT = 100_000
 CUTS = 128
 
 
+def values_only(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with NaN in ``columns`` as null: it is no value, and no quantile may see it."""
+    kinds = dict(df.dtypes)
+    floats = [c for c in dict.fromkeys(columns) if kinds[c] in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+
+
 def value_counts(df: DataFrame, column: str, weight: str | None = None) -> DataFrame:
     """(value, n) for each distinct value, null included."""
     n = F.sum(weight) if weight else F.count(F.lit(1))
@@ -53,6 +60,7 @@ def exact_quantiles(
 
     ``distinct_values`` is an upper estimate of the distinct values, counted here if not given.
     """
+    df = values_only(df, [column])
     if distinct_values is None:
         distinct_values = df.agg(F.approx_count_distinct(column)).first()[0]
     # The estimate may be some percent low, hence the margin.
@@ -137,19 +145,23 @@ def cut(
 ) -> list[tuple[float, float, int, int]]:
     """(low, high, rows, values) of the pieces of the whole value range, in order.
 
-    The greatest value of the bracket is a piece of its own, apart from what lies above.
+    The greatest finite value of the bracket is a piece of its own, apart from what lies above, and so
+    is either infinity.
     """
-    edges = sorted({bracket.low, bracket.high, *map(float, cuts)})
-    above = math.nextafter(bracket.high, math.inf)
-    bucketizer = Bucketizer(
-        splits=[-math.inf, *edges, above, math.inf], inputCol="value", outputCol="piece"
-    )
+    edges = sorted({e for e in (bracket.low, bracket.high, *map(float, cuts)) if math.isfinite(e)})
+    edges = edges or [0.0]
+    above = math.nextafter(edges[-1], math.inf)
+    splits = [-math.inf, *edges, *([above] if above < math.inf else []), math.inf]
+    bucketizer = Bucketizer(splits=splits, inputCol="value", outputCol="piece")
     placed = bucketizer.transform(counts.withColumn("value", F.col("value").cast("double")))
+    last = len(splits) - 1
+    piece = F.when(F.col("value") == -math.inf, -1.0).when(F.col("value") == math.inf, float(last))
+    placed = placed.withColumn("piece", piece.otherwise(F.col("piece")))
     found = placed.groupBy("piece").agg(F.sum("n"), F.count(F.lit(1))).collect()
     sizes = {int(r[0]): (r[1], r[2]) for r in found}
-    lows = [-math.inf, *edges, above]
-    highs = [*edges, bracket.high, math.inf]
-    return [(*ends, *sizes.get(i, (0, 0))) for i, ends in enumerate(zip(lows, highs))]
+    ends = [(-math.inf, -math.inf), *zip(splits, splits[1:]), (math.inf, math.inf)]
+    ends[len(edges) + 1] = (edges[-1], edges[-1])
+    return [(*pair, *sizes.get(i - 1, (0, 0))) for i, pair in enumerate(ends)]
 
 
 def pick(pieces: Sequence[tuple[float, float, int, int]], position: float) -> Bracket:

@@ -127,12 +127,12 @@ def hourly_combinations(
     own = [c for c in fence_columns if c not in HOUR_COLUMNS]
     own_keys = [c for c in KEY_COLUMNS if c not in HOUR_COLUMNS]
     placed = place_trips(trips, zones)
-    placed = placed.withColumn("placed", all_present(placed, own_keys))
-    keys = list(dict.fromkeys(["request_date", "request_hour", "placed", *own]))
+    placed = placed.withColumn("_placed", all_present(placed, own_keys))
+    keys = list(dict.fromkeys(["request_date", "request_hour", "_placed", *own]))
     counts = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     counts = attach_hour(counts, weather_hours, **number_options)
     hour_keys = [c for c in HOUR_COLUMNS if c in KEY_COLUMNS and c != "weather_code"]
-    complete = F.col("placed") & all_present(counts, hour_keys)
+    complete = F.col("_placed") & all_present(counts, hour_keys)
     measured = [c for c in fence_columns if c != "weather_code"]
     counts = counts.withColumn("complete", complete).select(
         "complete", "weather", *dict.fromkeys(measured), "n"

@@ -26,6 +26,8 @@ from waitspark.registry import common as c
 from waitspark.schema import WEATHER_MEASURES
 
 LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
+# Skewed measures: each fence removes rows, so the order of the fences shows.
+SKEWED_COLUMNS = ["volume", "volume_squared", "spread"]
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 NULL_KEYS = ["request_date", "temp_num", "wind_num", "PULocationZone", "DOLocationZone"]
 
@@ -34,6 +36,16 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.table(spark, sf_dir, "lineitem").select(*LINE_KEYS, *LINE_COLUMNS)
 
 
+def skewed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    volume = F.col("l_quantity") * F.col("l_extendedprice") / 10000.0
+    rows = lines(spark, sf_dir).withColumns(
+        {"volume": volume, "volume_squared": volume * volume, "spread": volume / (F.col("l_discount") + 0.005)}
+    )
+    # NaN, as no value, must not move a fence, and its rows go.
+    rows = rows.withColumn("spread", F.when(F.col("l_linenumber") == 7, F.lit(float("nan"))).otherwise(F.col("spread")))
+    return rows.select(*LINE_KEYS, *SKEWED_COLUMNS)
+
+
 def sample_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample(views.table(spark, sf_dir, "lineitem"), 0.1).select(*LINE_KEYS)
 
@@ -51,11 +63,11 @@ def anomaly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def iqr_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_numeric_anomalies(lines(spark, sf_dir), LINE_COLUMNS)
+    return drop_numeric_anomalies(skewed_lines(spark, sf_dir), SKEWED_COLUMNS)
 
 
 def iqr_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = iqr_fences(lines(spark, sf_dir), LINE_COLUMNS).report(spark)
+    report = iqr_fences(skewed_lines(spark, sf_dir), SKEWED_COLUMNS).report(spark)
     bounds = [c.rounded(n) for n in ("lower_bound", "upper_bound", "anomaly_percent")]
     return report.select("step", "column_name", *bounds, "rows_before", "anomaly_rows", "rows_after")
 
@@ -117,9 +129,13 @@ def weekend_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("request_datetime", "PULocationID", "request_hour", "wait_minutes")
 
 
-_line_fences, _lines_last = c.fence_ctes("lines", LINE_COLUMNS, "f")
+_line_fences, _lines_last = c.fence_ctes("lines", SKEWED_COLUMNS, "f")
 LINES = f"""
-lines AS (SELECT {", ".join(LINE_KEYS + LINE_COLUMNS)} FROM lineitem),
+measured AS (SELECT *, l_quantity * l_extendedprice / 10000.0::DOUBLE AS volume FROM lineitem),
+lines AS (
+  SELECT {", ".join(LINE_KEYS)}, volume, volume * volume AS volume_squared,
+         CASE WHEN l_linenumber <> 7 THEN volume / (l_discount + 0.005::DOUBLE) END AS spread
+  FROM measured),
 {_line_fences}"""
 
 
@@ -190,7 +206,7 @@ FROM (SELECT count(*) AS total_rows,
       FROM order_trips)""",
     ),
     "iqr_filter": c.with_(LINES, f"SELECT * FROM {_lines_last}"),
-    "iqr_report": c.with_(LINES, report_sql("lines", LINE_COLUMNS, "f", True)),
+    "iqr_report": c.with_(LINES, report_sql("lines", SKEWED_COLUMNS, "f", True)),
     "fence_report": c.with_(
         c.PROCESSED, report_sql("complete", c.FENCE_COLUMNS, "fenced", False)
     ),

@@ -19,10 +19,6 @@ from waitspark.registry import common as c
 from waitspark.schema import FEATURES, TARGET
 from waitspark.workspace import scratch_path
 
-# Boosting rounds of the registered queries; the library's own bound is 1000.
-ROUNDS = 10
-PATIENCE = 5
-
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model_frame(c.processed(spark, sf_dir))
@@ -45,7 +41,7 @@ def trees(spark: SparkSession, sf_dir: str):
 
     def make():
         parts = c.splits(spark, sf_dir)
-        return train_trees(parts.train, parts.validation, ROUNDS, PATIENCE)
+        return train_trees(parts.train, parts.validation)
 
     return c.stored(spark, sf_dir, "trees", make)
 
@@ -96,9 +92,7 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trained_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_and_compare(
-        c.processed(spark, sf_dir), max_rounds=ROUNDS, patience=PATIENCE
-    ).table
+    return train_and_compare(c.processed(spark, sf_dir)).table
 
 
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:

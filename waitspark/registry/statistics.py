@@ -27,6 +27,7 @@ from waitspark.operators.metrics import compare_models, regression_metrics, with
 from waitspark.operators.quantiles import exact_quantiles
 from waitspark.registry import common as c
 from waitspark.schema import FEATURES, HISTOGRAM_FEATURES, TARGET
+from waitspark.workspace import collect_small, materialize
 
 MEAN_MODELS = ["hour_mean", "zone_mean"]
 
@@ -43,6 +44,14 @@ def by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.select("PULocationZone", "PUBorough", c.rounded("avg_wait_minutes"))
 
 
+def collected_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that ``collect_small`` brings to the driver, as a table again."""
+    months = views.order_trips(spark, sf_dir).groupBy(F.month("request_datetime").alias("trip_month"))
+    found = collect_small(months.agg(F.count(F.lit(1)).alias("n")), 12)
+    rows = [(int(m), int(n)) for m, n in found.itertuples(index=False)]
+    return spark.createDataFrame(rows, "trip_month int, n long")
+
+
 def by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = trip_calendar(drop_time_anomalies(views.order_trips(spark, sf_dir)))
     means = mean_wait_by_month(trips.withColumn(TARGET, wait_minutes()))
@@ -81,20 +90,31 @@ def describe_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.select("count", *[c.rounded(n) for n in names])
 
 
-def hour_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounded residuals of each of the two models."""
     rows = with_residual(c.mean_predictions(spark, sf_dir))
-    return rows.filter(F.col("model") == "hour_mean").select(c.rounded("residual"))
+    return rows.select("model", c.rounded("residual"))
 
 
 def error_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bins = histogram(hour_errors(spark, sf_dir), ["residual"])
+    rows = materialize(errors(spark, sf_dir), "errors")
     edges = [c.rounded("lower_edge"), c.rounded("upper_edge")]
-    return bins.select("bin", *edges, "frequency")
+    parts = [
+        histogram(rows.filter(F.col("model") == m), ["residual"]).select(F.lit(m).alias("model"), "bin", *edges, "frequency")
+        for m in MEAN_MODELS
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 def error_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curve = density_curve(hour_errors(spark, sf_dir), "residual")
-    return curve.select("point", c.rounded("x"), c.rounded("density", 12))
+    rows = materialize(errors(spark, sf_dir), "errors")
+    parts = [
+        density_curve(rows.filter(F.col("model") == m), "residual").select(
+            F.lit(m).alias("model"), "point", c.rounded("x"), c.rounded("density", 12)
+        )
+        for m in MEAN_MODELS
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,9 +157,26 @@ def correlation_sql(columns: list[str]) -> str:
     return "\nUNION ALL ".join(rows)
 
 
-ERRORS = f"""{c.PREDICTIONS},
-errors AS MATERIALIZED (
-  SELECT round(prediction - label, 6) AS residual FROM predictions WHERE model = 'hour_mean')"""
+ERRORS = c.PREDICTIONS + "".join(
+    f""",
+errors_{m} AS MATERIALIZED (
+  SELECT round(prediction - label, 6) AS residual FROM predictions WHERE model = '{m}')"""
+    for m in MEAN_MODELS
+)
+
+
+def density_sql(model: str) -> str:
+    return f"""
+SELECT '{model}' AS model, CAST(point AS INTEGER) AS point, round(x, 6) AS x,
+       round(sum(exp(-0.5 * ((x - residual) / h) ** 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())),
+             12) AS density
+FROM (SELECT point, low + point * ((high - low) / {DENSITY_POINTS - 1}) AS x, n, h
+      FROM (SELECT count(*) AS n, min(residual) AS low, max(residual) AS high,
+                   stddev_samp(residual) * power(count(*), -1.0 / 5) AS h FROM errors_{model}) s,
+           range({DENSITY_POINTS}) t(point)) g, errors_{model}
+GROUP BY point, x"""
+
+
 METRICS = f"""{c.PREDICTIONS},
 metrics AS (
   SELECT model, count(*) AS n, avg((prediction - label) ** 2) AS mse,
@@ -151,6 +188,7 @@ QUERIES = {
     "quartiles": quartiles,
     "avg_wait_by_zone": by_zone,
     "monthly_trend": by_month,
+    "collect_small": collected_months,
     "hourly_trend": by_hour,
     "hourly_trend_split": by_hour_split,
     "top10_zones": longest_zones,
@@ -171,6 +209,11 @@ FROM lineitem""",
         c.PROCESSED,
         f"SELECT PULocationZone, PUBorough, {MEAN_OF} GROUP BY PULocationZone, PUBorough",
     ),
+    "collect_small": c.with_(
+        c.ORDER_TRIPS,
+        """SELECT CAST(month(request_datetime) AS INTEGER) AS trip_month, count(*) AS n
+FROM order_trips GROUP BY 1""",
+    ),
     "monthly_trend": c.with_(
         c.ORDER_TRIPS,
         f"""SELECT trip_month, round(avg(wait_minutes), 6) AS avg_wait
@@ -216,20 +259,13 @@ FROM processed""",
     ),
     "error_histogram": c.with_(
         ERRORS,
-        f"SELECT bin, lower_edge, upper_edge, frequency FROM ({histogram_sql('errors', 'residual')})",
-    ),
-    "error_density": c.with_(
-        f"""{ERRORS},
-span AS (
-  SELECT count(*) AS n, min(residual) AS low, max(residual) AS high,
-         stddev_samp(residual) * power(count(*), -1.0 / 5) AS h FROM errors)""",
-        f"""SELECT CAST(point AS INTEGER) AS point, round(x, 6) AS x,
-       round(sum(exp(-0.5 * ((x - residual) / h) ** 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())),
-             12) AS density
-FROM (SELECT point, low + point * ((high - low) / {DENSITY_POINTS - 1}) AS x, n, h
-      FROM span, range({DENSITY_POINTS}) t(point)) g, errors
-GROUP BY point, x""",
+        "\nUNION ALL ".join(
+            f"SELECT '{m}' AS model, bin, lower_edge, upper_edge, frequency"
+            f" FROM ({histogram_sql(f'errors_{m}', 'residual')})"
+            for m in MEAN_MODELS
+        ),
     ),
+    "error_density": c.with_(ERRORS, "\nUNION ALL ".join(map(density_sql, MEAN_MODELS))),
     "regression_metrics": c.with_(
         METRICS,
         """SELECT model, n, round(mse, 6) AS mse, round(sqrt(mse), 6) AS rmse,

@@ -31,19 +31,22 @@ COUNT_KEYS = ["o_orderkey", "l_orderkey", "l_linenumber"]
 
 
 def scan_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two sets of files whose columns stand in different orders, read as one table."""
+    """Two month directories whose columns differ in order and width, read as one table."""
     path = scratch_path(spark, "months")
     trips = c.trips(spark, sf_dir)
     early = F.dayofmonth("request_datetime") <= 15
-    trips.filter(early).write.mode("append").parquet(path)
-    late = trips.filter(~early).select(*reversed(trips.columns))
-    late.write.mode("append").parquet(path)
-    return read_trips(spark, path).select(trips.columns)
+    narrow = trips.withColumn("DOLocationID", F.col("DOLocationID").cast("int"))
+    narrow.filter(early).write.parquet(f"{path}/early.parquet")
+    late = trips.filter(~early).withColumn("DOLocationID", F.col("DOLocationID").cast("long"))
+    late.select(*reversed(trips.columns)).write.parquet(f"{path}/late.parquet")
+    found = read_trips(spark, path).select(trips.columns)
+    return found.withColumn("DOLocationID", F.col("DOLocationID").cast("int"))
 
 
 def count_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = [f"{sf_dir}/{name}.parquet" for name in ("orders", "lineitem")]
-    return file_counts(read_trips(spark, paths), COUNT_KEYS, 0.1)
+    found = file_counts(read_trips(spark, paths, file="file_path"), COUNT_KEYS, 0.1)
+    return found.drop("file_path")
 
 
 def weather_csv(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,29 +22,70 @@ def read_trips(
     schema: T.StructType | None = None,
     fraction: float | None = None,
     seed: int = SEED,
+    file: str | None = None,
 ) -> DataFrame:
-    """All ``*.parquet`` files below ``path`` as one table, columns matched by name.
+    """All entries of ``path`` whose names end in ``.parquet`` as one table, matched by name.
 
-    With a ``schema`` no file footer is read ahead; without one the footers are merged, in a
-    distributed job. A column that a file lacks is null there.
+    An entry is a file or a directory of files; partition columns of a directory are kept. A column
+    that an entry lacks is null there, and numbers of different width widen. With a ``schema``
+    wanted, the result has its columns and types. ``file`` names a column for each row's file.
     """
-    reader = spark.read.option("pathGlobFilter", "*.parquet")
-    reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
     paths = [path] if isinstance(path, str) else list(path)
-    return sample(reader.parquet(*paths), fraction, seed)
+    entries = [e for p in paths for e in parquet_entries(spark, p)]
+    by_schema: dict[str, list[str]] = {}
+    reader = lambda: spark.read.options(mergeSchema=True, pathGlobFilter="*.parquet")
+    for entry in entries:
+        kinds = reader().parquet(entry).dtypes
+        by_schema.setdefault(str(sorted(kinds)) if "=" not in entry else entry, []).append(entry)
+    parts = []
+    for same in by_schema.values():
+        part = reader().parquet(*same)
+        if file:
+            part = part.withColumn(file, F.col("_metadata.file_path"))
+        parts.append(part)
+    trips = parts[0]
+    for part in parts[1:]:
+        trips = trips.unionByName(part, allowMissingColumns=True)
+    if schema:
+        present = set(trips.columns)
+        columns = [
+            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+        ]
+        trips = trips.select(*columns, *([file] if file else []))
+    return sample(trips, fraction, seed)
+
+
+def parquet_entries(spark: SparkSession, path: str) -> list[str]:
+    """The entries of a folder that end in ``.parquet``; the path itself where it is one or has none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getName().endswith(".parquet"):
+        return [path]
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in system.listStatus(folder)]
+    names = sorted(p.toString() for p in found if p.getName().endswith(".parquet") and p.getName()[0] not in "._")
+    # Files of one Spark write share their schema: they are one entry, the folder.
+    written = [n for n in names if n.rpartition("/")[2].startswith("part-")]
+    return [path] if not names or len(written) == len(names) else names
 
 
 def file_counts(
     trips: DataFrame,
     keys: Sequence[str],
     fraction: float = 1.0,
+    file: str = "file_path",
 ) -> DataFrame:
-    """Rows and sampled rows per input file, in one pass over the files' key columns."""
+    """Rows and sampled rows per input file, in one pass over the files' key columns.
+
+    ``file`` is the column of paths that ``read_trips`` adds; files of one name in different folders
+    stay apart.
+    """
     sampled = F.lit(True) if fraction >= 1 else in_hash_sample(keys, fraction)
-    return trips.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
+    counts = trips.groupBy(F.col(file).alias("_path")).agg(
         F.count(F.lit(1)).alias("original_rows"),
         F.count_if(sampled).alias("sampled_rows"),
     )
+    name = F.element_at(F.split("_path", "/"), -1).alias("file_name")
+    return counts.select(name, "original_rows", "sampled_rows", F.col("_path").alias("file_path"))
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
@@ -74,9 +115,18 @@ def append_in_batches(df: DataFrame, path: str, batch_size: int = 5_000_000) ->
     df.write.mode("append").option("maxRecordsPerFile", batch_size).parquet(path)
 
 
+def one_line(df: DataFrame) -> DataFrame:
+    """``df`` with line breaks in its texts as spaces: a record is one line, so large files can be split."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.regexp_replace(F.col(c), r"\s*[\r\n]+\s*", " ") for c in texts})
+
+
 def append_csv(df: DataFrame, path: str) -> None:
-    """Appends rows to a folder of CSV files; every file has its own header."""
-    writer = df.write.mode("append").options(**CSV_OPTIONS)
+    """Appends rows to a folder of CSV files; every file has its own header.
+
+    A line break in a cell becomes a space.
+    """
+    writer = one_line(df).write.mode("append").options(**CSV_OPTIONS)
     writer = writer.option("ignoreLeadingWhiteSpace", False)
     writer.option("ignoreTrailingWhiteSpace", False).csv(path)
 

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from waitspark.plans.weather import weather_readings
 from waitspark.schema import PAGE_SCHEMA
-from waitspark.sources.tables import CSV_OPTIONS
+from waitspark.sources.tables import CSV_OPTIONS, one_line
 
 
 def stream_weather(
@@ -23,7 +23,7 @@ def stream_weather(
     The readings need no state: each page stands alone.
     """
     pages = spark.readStream.schema(PAGE_SCHEMA).parquet(pages_path)
-    writer = weather_readings(pages, keep_meridiem).writeStream.format("csv")
+    writer = one_line(weather_readings(pages, keep_meridiem)).writeStream.format("csv")
     writer = writer.options(**CSV_OPTIONS, checkpointLocation=checkpoint_path)
     writer = writer.option("ignoreLeadingWhiteSpace", False)
     writer = writer.option("ignoreTrailingWhiteSpace", False)

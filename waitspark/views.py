@@ -143,13 +143,15 @@ def half_day_clock() -> Column:
 def weather_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per day with a row for each hour that has a reading: at most 24 rows a page.
 
-    Every seventh day's link lacks the date, which its text then gives.
+    Cells write the degree sign as an entity and one weather text over two lines. Every seventh day's link lacks the date, which its text then gives.
     """
     hours = dedupe_hourly(weather(spark, sf_dir))
     cells = ["", "temp", "weather", "wind", "", "humidity", "barometer", "visibility"]
     row = [F.lit("<tr><th>"), half_day_clock(), F.lit("<br>"), F.col("date"), F.lit("</th>")]
     for name in cells:
         text = F.replace(F.col(name), F.lit('"'), F.lit("&quot;")) if name else F.lit("<i></i>")
+        text = F.replace(text, F.lit("°"), F.lit("&#176;"))
+        text = F.replace(text, F.lit("Light rain."), F.lit("Light<br>rain."))
         row += [F.lit("<td> "), text, F.lit("</td>")]
     row.append(F.lit("</tr>\n"))
     listed = F.sort_array(F.collect_list(F.struct("weather_hour", F.concat(*row).alias("row"))))
