@@ -124,7 +124,7 @@ def test_targets(spark, sizes):
 
 
 def test_mix_comes_near_its_targets(spark):
-    rows = [(i, "w " * (1 + i * 7 % 90), "en", f"s{min(i % 7, 3)}", 1, "x", 1.0) for i in range(600)] + ROWS
+    rows = [(100 + i, "w " * (1 + i * 7 % 90), "en", f"s{min(i % 7, 3)}", 1, "x", 1.0) for i in range(600)] + ROWS
     got = mixing.op3(docs(spark, rows)).join(docs(spark, rows).select("doc_id", "source").distinct(), "doc_id").collect()
     assert len(mixing.op3(docs(spark, rows)).collect()) == len(rows)
     by_source = {}
