@@ -145,3 +145,18 @@ def test_train_and_compare(planted):
     assert found.table.columns == ["metric", "network", "trees"]
     models = {r["model"] for r in found.loss_curve.select("model").distinct().collect()}
     assert models == {"network", "trees"}
+
+
+def test_no_more_rounds_are_trained_than_the_rule_needs(parts, monkeypatch):
+    from pyspark.ml.regression import GBTRegressor
+
+    trained = []
+    fit = GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, df: trained.append(self.getMaxIter()) or fit(self, df))
+    model, curve = train_trees(parts["train"], parts["validation"], max_rounds=12, patience=3)
+    losses = [r["loss"] for r in curve.filter("split = 'validation'").orderBy("iteration").collect()]
+    best = losses.index(min(losses)) + 1
+    assert model.getNumTrees == best
+    assert trained == sorted(trained) and trained[-1] <= 12 and len(set(trained)) == len(trained)
+    scored = model.transform(parts["validation"])
+    assert scored.agg(F.avg((F.col("prediction") - F.col(TARGET)) ** 2)).first()[0] == pytest.approx(min(losses))

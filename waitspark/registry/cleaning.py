@@ -24,6 +24,7 @@ from waitspark.operators.sampling import hash_sample, sample
 from waitspark.plans.processed import weather_numbers
 from waitspark.registry import common as c
 from waitspark.schema import WEATHER_MEASURES
+from waitspark.workspace import materialize
 
 LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
 # Skewed measures: each fence removes rows, so the order of the fences shows.
@@ -47,7 +48,18 @@ def skewed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample(views.table(spark, sf_dir, "lineitem"), 0.1).select(*LINE_KEYS)
+    """Of a random tenth: rows that the table lacks, rows beyond its own, and whether the share fits."""
+    table = views.table(spark, sf_dir, "lineitem").select(*LINE_KEYS)
+    taken = materialize(sample(table, 0.1), "sample")
+    counts = table.groupBy(*LINE_KEYS).agg(F.count(F.lit(1)).alias("has"))
+    drawn = taken.groupBy(*LINE_KEYS).agg(F.count(F.lit(1)).alias("got"))
+    n, total = F.coalesce(F.sum("got"), F.lit(0)), F.coalesce(F.sum("has"), F.lit(0))
+    return drawn.join(counts, LINE_KEYS, "full").agg(
+        F.count_if(F.col("has").isNull()).alias("outside"),
+        F.count_if(F.col("got") > F.col("has")).alias("repeated"),
+        # Six deviations of a binomial share.
+        (F.abs(n - 0.1 * total) <= 6 * F.sqrt(0.09 * total)).alias("share_fits"),
+    )
 
 
 def sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,6 +203,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "sample_bernoulli": "SELECT CAST(0 AS BIGINT) AS outside, CAST(0 AS BIGINT) AS repeated, true AS share_fits",
     "sample_hash": f"""SELECT {", ".join(LINE_KEYS)} FROM lineitem
 WHERE {c.unit_sql(LINE_KEYS)} < 0.1""",
     "time_anomaly_filter": c.with_(

@@ -130,4 +130,10 @@ ORACLE = {
         c.SPLIT, f"SELECT split, request_datetime, {_scaled} FROM split_rows"
     ),
     "processed": c.with_(c.PROCESSED, "SELECT * FROM processed"),
+    "model_roundtrip": c.with_(
+        c.SPLIT,
+        """SELECT model, (SELECT count(*) FROM split_rows
+                WHERE split = 'test' AND wait_minutes >= 0) AS n, CAST(0 AS BIGINT) AS changed
+FROM (VALUES ('trees'), ('network')) m(model)""",
+    ),
 }
