@@ -99,8 +99,9 @@ def attach_hour(df: DataFrame, weather_hours: DataFrame, **number_options) -> Da
 
     Numbers are read from the weather table, once per hour rather than once per row.
     """
+    own = [c for c in ("weather", "weather_code") if c in weather_hours.columns]
     weather = weather_numbers(weather_hours, **number_options).select(
-        "weather_date", "weather_hour", "weather", *WEATHER_MEASURES.values()
+        "weather_date", "weather_hour", *own, *WEATHER_MEASURES.values()
     )
     return trip_calendar(join_weather(df, weather), "request_date")
 
@@ -160,8 +161,10 @@ def build_processed(
         F.coalesce(kept_rows, F.lit(0)).alias("rows_after"),
     ).withColumn("rows_deleted", F.col("rows_before") - F.col("rows_after"))
 
-    enriched = enrich(trips, weather_hours, zones, **number_options)
-    coded = apply_codes(enriched, codes, "weather", "weather_code")
+    # Codes are attached to the hours, so trips never carry or join the weather's text.
+    coded_hours = apply_codes(weather_hours, codes, "weather", "weather_code")
+    coded = enrich(trips, coded_hours.drop("weather"), zones, **number_options)
+    coded = coded.withColumn("weather_code", F.coalesce("weather_code", F.lit(0)))
     coded = drop_null_keys(coded, KEY_COLUMNS).select(PROCESSED_COLUMNS)
     if approx:
         fences = approximate_fences(coded, fence_columns, k)
