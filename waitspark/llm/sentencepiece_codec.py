@@ -35,7 +35,7 @@ OWN_MARK = "
 #: Score of a character without a piece: below the worst piece by this much.
 UNKNOWN_PENALTY = 10.0
 #: Stretches in a generation of what a worker remembers; it keeps two.
-CACHE = 150_000
+CACHE = 300_000
 
 
 @dataclass(frozen=True)

@@ -38,7 +38,7 @@ END_ID = 1
 HEAD = struct.Struct("<HBHI")
 TAIL = struct.Struct("<QQQ")
 #: Chunks of text in a generation of what a worker remembers; it keeps two.
-CACHE = 250_000
+CACHE = 600_000
 #: Stands between chunks encoded together; chunks that hold it are encoded alone.
 FENCE = b"|"
 
