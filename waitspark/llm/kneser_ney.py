@@ -170,30 +170,29 @@ class Model:
 def train(texts: DataFrame, order: int = 3) -> Model:
     """A model of the column ``text`` of a bounded table.
 
-    The highest order has the counts of its n-grams; each lower order counts the different words seen
-    before its n-grams. Every step is a count by key, spread over the shards.
+    Spark counts the distinct n-grams of the highest order, every shard its own keys. They are bounded as
+    the texts are, and the lower orders follow from them: each counts the different words seen before
+    its n-grams.
     """
-    from waitspark.workspace import materialize
-
     numbers = [f"g{n}" for n in range(1, order + 1)] + [f"c{n}" for n in range(2, order + 1)]
-    level = ngram_rows(texts, order).groupBy(*numbers).agg(F.count("*").alias("n"))
+    got = ngram_rows(texts, order).groupBy(*numbers).agg(F.count("*").alias("n")).toArrow()
+    level = {c: got.column(c).to_numpy().view(np.uint64) for c in numbers}
+    count = got.column("n").to_numpy()
     weights, shares = [], []
     base_share, words = 1.0, 1
     for n in range(order, 0, -1):
-        level = materialize(level, f"order-{n}")
-        of = level.groupBy(F.least(F.col("n"), F.lit(5)).alias("n")).agg(F.count("*").alias("m"))
-        d = discounts({r["n"]: r["m"] for r in of.collect()})
-        cut = discount(F.col("n"), d)
+        d = discounts(dict(zip(*(x.tolist() for x in np.unique(np.minimum(count, 5), return_counts=True)))))
+        cut = np.array([0.0, *d])[np.minimum(count, 3)]
         if n > 1:
-            totals = level.groupBy(f"c{n}").agg(F.sum("n").alias("total"), F.sum(cut).alias("given"))
-            shares.insert(0, to_table(totals.withColumn("share", F.col("given") / F.col("total")), f"c{n}", "share"))
-            weighed = level.join(totals, f"c{n}").withColumn("weight", (F.col("n") - cut) / F.col("total"))
-            weights.insert(0, to_table(weighed, f"g{n}", "weight"))
-            lower = [f"g{k}" for k in range(1, n)] + [f"c{k}" for k in range(2, n)]
-            level = level.groupBy(*lower).agg(F.count("*").alias("n"))
+            contexts, of = np.unique(level[f"c{n}"], return_inverse=True)
+            total = np.bincount(of, count, len(contexts))
+            shares.insert(0, Table.of(contexts, np.bincount(of, cut, len(contexts)) / np.maximum(total, 1)))
+            weights.insert(0, Table.of(level[f"g{n}"], (count - cut) / total[of]))
+            _, first, count = np.unique(level[f"g{n - 1}"], return_index=True, return_counts=True)
+            level = {c: x[first] for c, x in level.items()}
         else:
-            sums = level.agg(F.sum("n"), F.sum(cut), F.count("*")).first()
-            total, given, words = sums[0] or 1, sums[1] or 1.0, (sums[2] or 0) + 1
-            base_share = given / total
-            weights.insert(0, to_table(level.withColumn("weight", (F.col("n") - cut) / total), "g1", "weight"))
+            whole = max(count.sum(), 1)
+            base_share = cut.sum() / whole if len(count) else 1.0
+            words = len(count) + 1
+            weights.insert(0, Table.of(level["g1"], (count - cut) / whole))
     return Model(order, weights, shares, base_share, 1.0 / words)
