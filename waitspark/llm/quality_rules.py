@@ -207,3 +207,76 @@ def quality_rules(docs: DataFrame, groups: tuple[str, ...] = ("lang", "source"))
         failed.alias("base_failed"),
         (~failed & ~F.coalesce(beyond, F.lit(False))).alias("kept"),
     )
+
+
+def _sql() -> str:
+    """The same in SQL: measures, sketches as bucket counts, limits by language and source."""
+    space = r" \t\n\x0B\f\r"
+    symbols = SYMBOLS.replace("'", "''")
+    long = " UNION ALL ".join(
+        f"SELECT lang, source, '{m}' AS measure, {m} AS v FROM rated" for m in RULES
+    )
+    limits, beyond = [], []
+    for m, (low, least, times) in RULES.items():
+        reach = f"greatest(q3 - q1, {least}) * {times}"
+        limits.append(f"max(CASE WHEN measure = '{m}' THEN q3 + {reach} END) AS {m}_high")
+        beyond.append(f"{m} > {m}_high")
+        if low:
+            limits.append(f"max(CASE WHEN measure = '{m}' THEN q1 - {reach} END) AS {m}_low")
+            beyond.append(f"{m} < {m}_low")
+    zero = -(2**31)
+    value = f"CASE WHEN bucket = {zero} THEN 0 ELSE pow({GAMMA!r}::DOUBLE, bucket) * 2 / ({GAMMA!r}::DOUBLE + 1) END"
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+parts AS (
+  SELECT *, regexp_extract_all(t, '[^{space}]+') AS words,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{space}]')) AS lines
+  FROM texts),
+windows AS (
+  SELECT row, i, list_slice(words, i, i + {WINDOW_WORDS - 1}) AS win
+  FROM (SELECT row, words, unnest(range(1, len(words) - {WINDOW_WORDS - 2})) AS i FROM parts
+        WHERE len(words) > {WINDOW_WORDS})),
+repeated AS (
+  SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, win) AS n FROM windows) WHERE n > 1),
+covered AS (
+  SELECT row, count(DISTINCT i + k) AS n FROM repeated, range({WINDOW_WORDS}) s(k) GROUP BY row),
+measured AS (
+  SELECT doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(translate(t, '{symbols}', '')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         coalesce(n, 0) AS n_repeat_words
+  FROM parts LEFT JOIN covered USING (row)),
+rated AS (
+  SELECT *, word_chars / greatest(n_words, 1)::DOUBLE AS mean_word,
+         n_symbols / greatest(n_words, 1)::DOUBLE AS symbol_rate,
+         n_dup_lines * {MIN_WORDS} / greatest(n_words, {MIN_WORDS})::DOUBLE AS dup_line_rate,
+         n_repeat_words / greatest(n_words, 1)::DOUBLE AS repeat_rate
+  FROM measured),
+sketch AS (
+  SELECT lang, source, measure, bucket, count(*) AS n
+  FROM (SELECT *, CASE WHEN v <= 0 THEN {zero}
+                       ELSE CAST(ceil(ln(greatest(v, {SMALLEST})) / {math.log(GAMMA)!r}) AS INTEGER) END AS bucket
+        FROM ({long}))
+  GROUP BY ALL),
+ranked AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS upto,
+         sum(n) OVER (PARTITION BY lang, source, measure) AS total
+  FROM sketch),
+quartile AS (
+  SELECT lang, source, measure, min(CASE WHEN upto >= ceil(total * 0.25) THEN {value} END) AS q1,
+         min(CASE WHEN upto >= ceil(total * 0.75) THEN {value} END) AS q3
+  FROM ranked GROUP BY ALL),
+limits AS (SELECT lang, source, {", ".join(limits)} FROM quartile GROUP BY ALL),
+judged AS (
+  SELECT r.*, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+         {" OR ".join(beyond)} AS beyond
+  FROM rated r JOIN limits l
+    ON r.lang IS NOT DISTINCT FROM l.lang AND r.source IS NOT DISTINCT FROM l.source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(beyond, false) AS kept
+FROM judged
+"""
+
+
+SQL = _sql()
