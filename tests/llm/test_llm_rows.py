@@ -11,7 +11,6 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from fixtures import ROWS, docs, plain, words
 from waitspark.llm import exact_dedup, mixing, quality_rules, registry, token_files

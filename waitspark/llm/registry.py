@@ -74,4 +74,8 @@ QUERIES = {
         op10_token_files,
     )
 }
-ORACLE = {"op3_mixing": mixing.SQL, "op4_exact_dedup": exact_dedup.SQL, "op9_quality_rules": quality_rules.SQL}
+ORACLE = {
+    "op3_mixing": mixing.SQL,
+    "op4_exact_dedup": exact_dedup.SQL,
+    "op9_quality_rules": quality_rules.SQL,
+}
