@@ -170,29 +170,32 @@ class Model:
 def train(texts: DataFrame, order: int = 3) -> Model:
     """A model of the column ``text`` of a bounded table.
 
-    Spark counts the distinct n-grams of the highest order, every shard its own keys. They are bounded as
-    the texts are, and the lower orders follow from them: each counts the different words seen before
-    its n-grams.
+    Spark counts each order, every shard its own keys: the highest by its n-grams, each lower one by the
+    different words seen before its n-grams. One order's counts at a time, bounded as the texts are,
+    become tables here.
     """
-    numbers = [f"g{n}" for n in range(1, order + 1)] + [f"c{n}" for n in range(2, order + 1)]
-    got = ngram_rows(texts, order).groupBy(*numbers).agg(F.count("*").alias("n")).toArrow()
-    level = {c: got.column(c).to_numpy().view(np.uint64) for c in numbers}
-    count = got.column("n").to_numpy()
     weights, shares = [], []
     base_share, words = 1.0, 1
     for n in range(order, 0, -1):
+        keys = [f"g{n}", f"c{n}"] if n > 1 else ["g1"]
+        rows = ngram_rows(texts, min(n + 1, order))
+        if n < order:
+            rows = rows.select(f"g{n + 1}", *keys).distinct()
+        got = rows.groupBy(*keys).agg(F.count("*").alias("n")).toArrow()
+        grams = got.column(keys[0]).to_numpy().view(np.uint64)
+        context = got.column(keys[-1]).to_numpy().view(np.uint64)
+        count = got.column("n").to_numpy()
+        del got
         d = discounts(dict(zip(*(x.tolist() for x in np.unique(np.minimum(count, 5), return_counts=True)))))
         cut = np.array([0.0, *d])[np.minimum(count, 3)]
         if n > 1:
-            contexts, of = np.unique(level[f"c{n}"], return_inverse=True)
+            contexts, of = np.unique(context, return_inverse=True)
             total = np.bincount(of, count, len(contexts))
             shares.insert(0, Table.of(contexts, np.bincount(of, cut, len(contexts)) / np.maximum(total, 1)))
-            weights.insert(0, Table.of(level[f"g{n}"], (count - cut) / total[of]))
-            _, first, count = np.unique(level[f"g{n - 1}"], return_index=True, return_counts=True)
-            level = {c: x[first] for c, x in level.items()}
+            weights.insert(0, Table.of(grams, (count - cut) / total[of]))
         else:
             whole = max(count.sum(), 1)
             base_share = cut.sum() / whole if len(count) else 1.0
             words = len(count) + 1
-            weights.insert(0, Table.of(level["g1"], (count - cut) / whole))
+            weights.insert(0, Table.of(grams, (count - cut) / whole))
     return Model(order, weights, shares, base_share, 1.0 / words)
