@@ -87,6 +87,33 @@ def test_linked_sets_share_a_key(seed, n, rare):
     assert keys[0] & keys[1]
 
 
+def cut_texts(sizes=range(1, 31)):
+    """For each size texts of two sets of words, each also without its first or its last word."""
+    rows = []
+    for n in sizes:
+        for v in range(2):
+            words = [f"n{n}v{v}w{i}" for i in range(n + 2)]
+            for cut in (words, words[1:], words[:-1]):
+                rows.append((len(rows), " ".join(cut), "en", "a", 1, "x", 1.0))
+    return rows
+
+
+def test_texts_with_a_word_cut_at_either_end_link(spark):
+    """Sets of 10 and 9 shingles differ in how many tokens they may lack; the sieve must leave both."""
+    rows = cut_texts()
+    assert plain(jaccard_join.op7(docs(spark, rows)).collect()) == brute_components(rows)
+
+
+def test_linked_sets_pass_the_sieve():
+    """For all sizes and the worst order of tokens, what the two sets show has more common tokens than either may lack."""
+    for a in range(1, 200):
+        for b in range(jaccard_join.least_overlap(a), a + 1):
+            common = -(-90 * (a + b) // 190)
+            x, y = a - common, b - common
+            shown = min(jaccard_join.sieve_size(a) - x, jaccard_join.sieve_size(b) - y, common)
+            assert shown >= jaccard_join.prefix_size(a) >= jaccard_join.prefix_size(b)
+
+
 def test_one_of_each(spark):
     rows = near_groups(2, 15) + ROWS
     got = jaccard_join.one_of_each(docs(spark, rows))

@@ -4,9 +4,11 @@ A document's tokens are the 64-bit hashes of its distinct 3-word shingles. Two d
 100 * |A n B| >= 90 * |A u B|. Links are found in steps that lose none:
 
 1. Documents of equal token sets form a class; only classes go on, so copies cost one row each.
-2. Sieve: with tokens in hash order, linked sets of sizes n share at least p of their first 2p - 1
-   tokens, where p = n - ceil(0.9 n) + 1. Classes that share fewer with all others together are alone.
-3. For the rest, tokens are put in order of how many classes have them, rarest first. Linked sets
+2. Sieve: a set of n tokens has at most s(n) = n - ceil(0.9 n) that a linked set lacks, so with tokens in
+   hash order the k-th common one is among the first k + s of either. Each set shows its first
+   s(n) + s(n / 0.9) + 1; as a partner has at least 0.9 n tokens, it shows enough for s(n) + 1 common ones,
+   whichever of the two is larger. Classes of which fewer are shown by others are alone.
+3. With p = s(n) + 1, for the rest, tokens are put in order of how many classes have them, rarest first. Linked sets
    share at least k tokens among their first p - 1 + k. A token that at most ``RARE`` classes have is
    a key by itself. Frequent tokens are keys only in combinations: they fall into g = k - 1 groups by
    hash, so of k shared ones two are in one group, and the pairs inside the groups are the keys. g is a
@@ -76,7 +78,8 @@ def prefix_size(n: int) -> int:
 
 
 def sieve_size(n: int) -> int:
-    return min(n, 2 * prefix_size(n) - 1)
+    """Tokens that a set shows in the sieve: enough for all partners, whose own spare tokens may be more or fewer."""
+    return min(n, prefix_size(n) + prefix_size(n * 100 // PERCENT) - 1)
 
 
 def sets(docs: DataFrame, whole: bool, key: str = "doc_id") -> DataFrame:
@@ -173,8 +176,7 @@ def sieved(classes: DataFrame) -> DataFrame:
     rows = classes.select("cid", "n", F.explode("tokens").alias("token"))
     hits = rows.join(counts.select("token"), "token", "left_semi").groupBy("cid", "n").agg(F.count("*").alias("hits"))
     spare = F.col("n") - F.ceil(F.col("n") * PERCENT / 100)
-    width = F.least(F.col("n"), 2 * spare + 1)
-    return hits.filter(F.col("hits") >= width - spare).select("cid")
+    return hits.filter(F.col("hits") > spare).select("cid")
 
 
 def linkable(a: str, b: str) -> Column:
