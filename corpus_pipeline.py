@@ -17,6 +17,8 @@ from waitspark.workspace import materialize
 
 #: A document is rejected if toxic at least this likely.
 TOXIC = 0.5
+#: Near copies share at least NEAR_PERCENT of their NEAR_SHINGLE-word shingles.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     share_package(spark)
-    return jaccard_join.one_of_each(docs)
+    return jaccard_join.one_of_each(docs, NEAR_SHINGLE, NEAR_PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

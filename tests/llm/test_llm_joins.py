@@ -124,6 +124,33 @@ def test_one_of_each(spark):
     assert sorted(r["doc_id"] for r in kept if not shingles(r["text"])) == [4, 5, 6]
 
 
+def test_near_copies_of_the_pipeline_share_five_words(spark):
+    """Two replaced words of 100 leave five-word similarity at 0.81 and three-word similarity at 0.88."""
+    words = [f"w{i}" for i in range(100)]
+    changed = ["x" if i == 30 else "y" if i == 70 else w for i, w in enumerate(words)]
+    # Three of 60 leave 0.58.
+    other = [f"v{i}" for i in range(60)]
+    apart = ["z" if i in (10, 30, 50) else w for i, w in enumerate(other)]
+    rows = [(i, " ".join(w), "en", "a", 1, "x", 1.0) for i, w in enumerate((words, changed, other, apart))]
+    got = corpus_pipeline.drop_near_copies(spark, docs(spark, rows), "")
+    assert sorted(r["doc_id"] for r in got.collect()) == [0, 2, 3]
+    assert sorted(r["doc_id"] for r in jaccard_join.one_of_each(docs(spark, rows)).collect()) == [0, 1, 2, 3]
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.integers(0, 10**6), st.integers(1, 400), st.sampled_from([0, 1, 4, 1000]))
+def test_linked_sets_share_a_key_at_80_percent(seed, n, rare):
+    rng = np.random.default_rng(seed)
+    pool = np.unique(rng.integers(1, 2**63, 2 * n).astype(np.uint64))
+    gone, new = rng.integers(0, n // 5 + 1), rng.integers(0, n // 5 + 1)
+    a, b = pool[:n], np.concatenate([pool[gone:n], pool[n : n + new]])
+    counts = {t: int(rng.integers(2, 9)) for t in pool.tolist()}
+    if not gone + new or 100 * len(np.intersect1d(a, b)) < 80 * len(np.union1d(a, b)):
+        return
+    found = [set(jaccard_join.signature(len(s), s, np.array([counts[t] for t in s.tolist()]), rare, 80)) for s in (a, b)]
+    assert found[0] & found[1]
+
+
 def test_long_paths_are_one_component(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (103, 101)]
     got = components(spark.createDataFrame(links, "a long, b long")).collect()

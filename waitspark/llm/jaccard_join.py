@@ -1,7 +1,7 @@
 """N-gram Jaccard join with token-combination prefixes, and the components of its links.
 
-A document's tokens are the 64-bit hashes of its distinct 3-word shingles. Two documents link when
-100 * |A n B| >= 90 * |A u B|. Links are found in steps that lose none:
+A document's tokens are the 64-bit hashes of its distinct shingles, of ``shingle`` words. Two documents link
+when 100 * |A n B| >= ``percent`` * |A u B|; the query has 3 words and 90, for which the steps are told. Links are found in steps that lose none:
 
 1. Documents of equal token sets form a class; only classes go on, so copies cost one row each.
 2. Sieve: a set of n tokens has at most s(n) = n - ceil(0.9 n) that a linked set lacks, so with tokens in
@@ -20,7 +20,7 @@ A document's tokens are the 64-bit hashes of its distinct 3-word shingles. Two d
    in at least as many tokens as their sketches in bits. Compared pivots leave the key; keys inside one
    component close. Groups whose members all link need about one comparison a member, not all pairs.
 
-A document with fewer than three words has one token, its whole word sequence; without words it has
+A document with fewer words than a shingle has one token, its whole word sequence; without words it has
 none and links with nothing. Null text counts as empty. Repeated rows are one class. Null ids stay
 null; an id that is null is never the least. Empty input gives an empty result.
 """
@@ -41,8 +41,8 @@ from waitspark.llm.kneser_ney import chain, names, text_hashes
 from waitspark.llm.mixing import row_key
 from waitspark.workspace import materialize
 
+#: The query's: links need 100 * intersection >= PERCENT * union of the sets of SHINGLE words.
 SHINGLE = 3
-#: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 90
 RARE = 64
 SKETCH_BITS = 256
@@ -50,11 +50,11 @@ SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 FIRST_PIVOTS, PIVOT_GROWTH = 2, 4
 
 
-def token_set(text: bytes, cache: WordHashes) -> np.ndarray:
+def token_set(text: bytes, cache: WordHashes, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct tokens of a text."""
     h = text_hashes(text, cache)
-    if len(h) >= SHINGLE:
-        return np.unique(names(h, SHINGLE)[-1][SHINGLE - 1 :])
+    if len(h) >= shingle:
+        return np.unique(names(h, shingle)[-1][shingle - 1 :])
     if not len(h):
         return h
     whole = np.uint64(len(h))
@@ -69,20 +69,20 @@ def parity_sketch(tokens: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
-def least_overlap(n: int) -> int:
-    return -(-n * PERCENT // 100)
+def least_overlap(n: int, percent: int = PERCENT) -> int:
+    return -(-n * percent // 100)
 
 
-def prefix_size(n: int) -> int:
-    return n - least_overlap(n) + 1
+def prefix_size(n: int, percent: int = PERCENT) -> int:
+    return n - least_overlap(n, percent) + 1
 
 
-def sieve_size(n: int) -> int:
+def sieve_size(n: int, percent: int = PERCENT) -> int:
     """Tokens that a set shows in the sieve: enough for all partners, whose own spare tokens may be more or fewer."""
-    return min(n, prefix_size(n) + prefix_size(n * 100 // PERCENT) - 1)
+    return min(n, prefix_size(n, percent) + prefix_size(n * 100 // percent, percent) - 1)
 
 
-def sets(docs: DataFrame, whole: bool, key: str = "doc_id") -> DataFrame:
+def sets(docs: DataFrame, whole: bool, key: str = "doc_id", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, ``key``, n, sig, tokens (the whole set, or its first by hash that the sieve needs), sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,10 +90,10 @@ def sets(docs: DataFrame, whole: bool, key: str = "doc_id") -> DataFrame:
         for batch in batches:
             n, sig, tokens, sketch = [], [], [], []
             for text in binary_texts(batch.column(2)):
-                found = token_set(text, cache)
+                found = token_set(text, cache, shingle)
                 n.append(len(found))
                 sig.append(hashlib.md5(found.tobytes()).digest())
-                tokens.append(found if whole else found[: sieve_size(len(found))])
+                tokens.append(found if whole else found[: sieve_size(len(found), percent)])
                 sketch.append(parity_sketch(found))
             offsets = np.append(0, np.cumsum([len(t) for t in tokens])).astype(np.int32)
             values = np.concatenate(tokens).view(np.int64) if tokens else np.zeros(0, np.int64)
@@ -109,15 +109,15 @@ def sets(docs: DataFrame, whole: bool, key: str = "doc_id") -> DataFrame:
     )
 
 
-def signature(n: int, tokens: np.ndarray, counts: np.ndarray, rare: int = RARE) -> list[int]:
+def signature(n: int, tokens: np.ndarray, counts: np.ndarray, rare: int = RARE, percent: int = PERCENT) -> list[int]:
     """Keys of a class of ``n`` tokens; ``tokens`` are those that other classes have, with how many have each."""
     alone = n - len(tokens)
-    p = prefix_size(n)
+    p = prefix_size(n, percent)
     if alone >= p:
         return []
     order = np.lexsort((tokens, counts))
     tokens, counts = tokens[order], counts[order]
-    levels = range(_level(least_overlap(n)), _level(n * 100 // PERCENT) + 1)
+    levels = range(_level(least_overlap(n, percent), percent), _level(n * 100 // percent, percent) + 1)
     keys: list[np.ndarray] = []
     widest = p + (1 << levels[-1]) - alone
     first = tokens[:widest]
@@ -136,11 +136,11 @@ def signature(n: int, tokens: np.ndarray, counts: np.ndarray, rare: int = RARE)
     return np.unique(np.concatenate(keys)).view(np.int64).tolist()
 
 
-def _level(n: int) -> int:
-    return max(0, (prefix_size(max(n, 1)) // 4).bit_length() - 1)
+def _level(n: int, percent: int) -> int:
+    return max(0, (prefix_size(max(n, 1), percent) // 4).bit_length() - 1)
 
 
-def keys(classes: DataFrame, rare: int = RARE) -> DataFrame:
+def keys(classes: DataFrame, rare: int = RARE, percent: int = PERCENT) -> DataFrame:
     """(key, cid, n, alone) from (cid, n, shared: array of (count, token))."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +152,7 @@ def keys(classes: DataFrame, rare: int = RARE) -> DataFrame:
             tokens = values.field(1).to_numpy(zero_copy_only=False).view(np.uint64)
             for i, (cid, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 part = slice(offsets[i], offsets[i + 1])
-                found = signature(n, tokens[part], counts[part], rare)
+                found = signature(n, tokens[part], counts[part], rare, percent)
                 if found:
                     m = len(found)
                     alone = n - int(offsets[i + 1] - offsets[i])
@@ -170,37 +170,37 @@ def shared_tokens(rows: DataFrame) -> DataFrame:
     return tokens.groupBy("token").agg(F.count("*").alias("count")).filter(F.col("count") > 1)
 
 
-def sieved(classes: DataFrame) -> DataFrame:
+def sieved(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """cid of the classes that the sieve leaves."""
     counts = shared_tokens(classes)
     rows = classes.select("cid", "n", F.explode("tokens").alias("token"))
     hits = rows.join(counts.select("token"), "token", "left_semi").groupBy("cid", "n").agg(F.count("*").alias("hits"))
-    spare = F.col("n") - F.ceil(F.col("n") * PERCENT / 100)
+    spare = F.col("n") - F.ceil(F.col("n") * percent / 100)
     return hits.filter(F.col("hits") > spare).select("cid")
 
 
-def linkable(a: str, b: str) -> Column:
+def linkable(a: str, b: str, percent: int = PERCENT) -> Column:
     """Whether sizes, tokens that no other class has, and sketches leave room for a link."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    fits = 100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)
+    fits = 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
     differ = F.lit(0)
     for s in SKETCH:
         differ = differ + F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}")))
     differ = F.greatest(differ, F.col(f"{a}.alone") + F.col(f"{b}.alone"))
-    return fits & ((100 + PERCENT) * differ <= (100 - PERCENT) * (na + nb))
+    return fits & ((100 + percent) * differ <= (100 - percent) * (na + nb))
 
 
-def linked(pairs: DataFrame, members: DataFrame) -> DataFrame:
+def linked(pairs: DataFrame, members: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b) of those ``pairs`` whose sets link; ``members`` has (cid, tokens)."""
     left = members.select(F.col("cid").alias("a"), F.col("tokens").alias("left"))
     right = members.select(F.col("cid").alias("b"), F.col("tokens").alias("right"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("left", "right"))
     union = F.size("left") + F.size("right") - common
-    return both.filter(100 * common >= PERCENT * union).select("a", "b")
+    return both.filter(100 * common >= percent * union).select("a", "b")
 
 
-def class_components(members: DataFrame, postings: DataFrame) -> DataFrame:
+def class_components(members: DataFrame, postings: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(cid, comp, sketch) of all ``members`` (cid, tokens, sketch); ``postings`` are the keys they meet in."""
     comps = materialize(members.select("cid", F.col("cid").alias("comp"), *SKETCH), "comps")
     open_ = postings
@@ -219,9 +219,9 @@ def class_components(members: DataFrame, postings: DataFrame) -> DataFrame:
             return comps
         a, b = live.alias("a"), live.filter("pivot").alias("b")
         differ = (F.col("a.comp") != F.col("b.comp")) & (~F.col("a.pivot") | (F.col("a.cid") < F.col("b.cid")))
-        pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & differ & linkable("a", "b"))
+        pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & differ & linkable("a", "b", percent))
         pairs = materialize(pairs.select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct(), "pairs")
-        found = materialize(linked(pairs, members), "found")
+        found = materialize(linked(pairs, members, percent), "found")
         if found.limit(1).count():
             comps = _merged(comps, found)
         open_ = live.filter("NOT pivot").drop("pivot", "comp", *SKETCH)
@@ -238,26 +238,28 @@ def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(moved.select("cid", F.coalesce("root", "comp").alias("comp"), *SKETCH), "comps")
 
 
-def join_components(docs: DataFrame, key: str = "doc_id", rare: int = RARE) -> DataFrame:
+def join_components(
+    docs: DataFrame, key: str = "doc_id", rare: int = RARE, shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """doc_id, ``key``, n_shingles, component_id and comp (null without words) for each row of ``docs``."""
-    rows = materialize(sets(docs, False, key).drop("sketch"), "token-sets")
+    rows = materialize(sets(docs, False, key, shingle, percent).drop("sketch"), "token-sets")
     grouped = rows.filter("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("least"), F.first("tokens").alias("tokens"))
     classes = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    left = materialize(sieved(classes), "sieved")
+    left = materialize(sieved(classes, percent), "sieved")
     wanted = classes.select("cid", "sig", "n", "least").join(left, "cid", "left_semi")
     wanted = materialize(wanted, "wanted")
     texts = docs.join(wanted.select(F.col("least").alias("_least")).distinct(), F.col("doc_id").eqNullSafe(F.col("_least")), "left_semi")
-    members = sets(texts, True).select(F.col("sig").alias("_sig"), "tokens", "sketch")
+    members = sets(texts, True, shingle=shingle, percent=percent).select(F.col("sig").alias("_sig"), "tokens", "sketch")
     members = members.join(wanted, F.col("_sig") == F.col("sig"))
     members = members.groupBy("cid", "n").agg(F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"))
     members = members.select("cid", "n", "tokens", *[F.get("sketch", F.lit(i)).alias(s) for i, s in enumerate(SKETCH)])
     members = materialize(members, "members")
     shared = members.select("cid", "n", F.explode("tokens").alias("token")).join(shared_tokens(members), "token")
     shared = shared.groupBy("cid", "n").agg(F.collect_list(F.struct("count", "token")).alias("shared"))
-    postings = keys(shared, rare)
+    postings = keys(shared, rare, percent)
     postings = materialize(postings, "postings")
     met = postings.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
-    comps = class_components(members.drop("n"), postings.join(met, "key", "left_semi"))
+    comps = class_components(members.drop("n"), postings.join(met, "key", "left_semi"), percent)
     with_least = classes.select("cid", "sig", "least").join(comps, "cid", "left")
     with_least = materialize(with_least.withColumn("comp", F.coalesce("comp", "cid")), "with-least")
     smallest = with_least.groupBy("comp").agg(F.min("least").alias("component_id"))
@@ -274,14 +276,14 @@ def op7(docs: DataFrame, rare: int = RARE) -> DataFrame:
     return join_components(docs, rare=rare).select("doc_id", "n_shingles", "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component, that of the least doc_id, with all its columns.
 
     Rows without words are components of their own and all stay. Rows are told apart by a digest of all
     columns, so rows that share an id do not stand for each other; twins equal in all columns count once.
     """
     keyed = docs.withColumn("_row", row_key(docs))
-    found = materialize(join_components(keyed, "_row"), "join-rows")
+    found = materialize(join_components(keyed, "_row", shingle=shingle, percent=percent), "join-rows")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_key")))
     stay = found.filter("comp IS NOT NULL").groupBy("comp").agg(least.alias("least"))
     stay = materialize(stay.select(F.col("least._key").alias("_stay")), "stay")
