@@ -105,6 +105,17 @@ def test_quality_rejects_garbled_text(spark):
     assert not kept[5] and not kept[6]
 
 
+def test_quality_limits_are_quantiles_of_held_back_rows(spark):
+    """Junk within a few spreads of good text is beyond the limits; a language without held-back rows has its own."""
+    held = spark.createDataFrame([("en", 9 + i / 1000) for i in range(1000)], "lang string, log_perplexity double")
+    junk = [(lang, 10.5 + i / 100) for lang in ("en", None) for i in range(10)]
+    new = held.unionByName(spark.createDataFrame(junk, held.schema))
+    got = {r["_lang"]: (r["low"], r["high"]) for r in quality_classifier.limits(new, held).collect()}
+    assert 8.85 < got["en"][0] < 9.12 and 9.88 < got["en"][1] < 10.15  # sketches are 1 % exact
+    assert got[None][0] < 10.5 and got[None][1] > 10.59
+    assert {r["_lang"] for r in quality_classifier.limits(new, held.limit(0)).collect()} == {"en", None}
+
+
 def test_context_mixing_base_and_counts(spark):
     rows, _ = toy_corpus(300)
     rows = rows + [r for r in ROWS if r[0] != 7]
