@@ -195,6 +195,23 @@ def test_pages(page, text):
     assert html_text.kept_text(html_text.blocks(page), set()) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div class='layout has-sidebar'><article>a b</article><div class='sidebar-right'>s</div></div>", "a b"),
+        ("<div id='page-with-header'><p>a b</p></div>", "a b"),
+        ("<form action='/x'><p>menu</p><article>a b</article></form>", "a b"),
+        ("<div class='content header'><main>a b</main></div>", "a b"),
+        ("<article><div class='post-header'>head</div><p class='related-work'>work</p><p class='share-buttons'>s</p></article>", "head work"),
+        ("<article>a <svg viewBox='0 0'/> b <math/> c<svg><title>t</title></svg> d</article>", "a b c d"),
+        ("<article>a<section id='comments'><article>me too</article></section></article>", "a"),
+        ("<form><p>search</p></form><p>a</p>", "a"),
+    ],
+)
+def test_markup_that_only_looks_like_furniture(page, text):
+    assert html_text.kept_text(html_text.blocks(page), set()) == text
+
+
 def open_page(i):
     menu = "<div>Home Products Service Contact Imprint Help Jobs Press Login</div>"
     body = " ".join(f"p{i}w{k}" for k in range(30))
