@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from waitspark.llm import (
+    byte_bpe,
     context_mixing,
+    embedding_whitening,
     exact_dedup,
     html_text,
     jaccard_join,
+    merkle_manifest,
     mixing,
     quality_classifier,
     quality_rules,
@@ -59,6 +62,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op10(read(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.op11(read(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.op12(read(spark, sf_dir, "embeddings"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.op13(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,10 +87,14 @@ QUERIES = {
         op8_toxicity,
         op9_quality_rules,
         op10_token_files,
+        op11_merkle_manifest,
+        op12_embedding_whitening,
+        op13_byte_bpe,
     )
 }
 ORACLE = {
     "op3_mixing": mixing.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op9_quality_rules": quality_rules.SQL,
+    "op11_merkle_manifest": merkle_manifest.SQL,
 }
