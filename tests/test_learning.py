@@ -5,21 +5,22 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.regression import GBTRegressionModel
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel
 from pyspark.sql import functions as F
 
+from waitspark.operators import network as net
+from waitspark.operators.boosting import feature_share, row_share, train_trees
 from waitspark.operators.learning import (
-    WaitNetwork,
     assemble,
     fit_scaler,
     model_frame,
-    round_to_keep,
-    train_network,
-    train_trees,
     with_split,
 )
+from waitspark.operators.losses import round_to_keep
 from waitspark.operators.metrics import regression_metrics
-from waitspark.plans.training import label_predictions, train_and_compare
+from waitspark.operators.network import Shape, WaitNetwork, train_network
+from waitspark.operators.ordering import with_positions
+from waitspark.plans.training import WaitModel, label_predictions, train_and_compare
 from waitspark.schema import FEATURES, TARGET
 
 
@@ -147,16 +148,135 @@ def test_train_and_compare(planted):
     assert models == {"network", "trees"}
 
 
-def test_no_more_rounds_are_trained_than_the_rule_needs(parts, monkeypatch):
-    from pyspark.ml.regression import GBTRegressor
-
+def test_exactly_the_rounds_of_the_rule_are_trained(parts, monkeypatch):
     trained = []
-    fit = GBTRegressor.fit
-    monkeypatch.setattr(GBTRegressor, "fit", lambda self, df: trained.append(self.getMaxIter()) or fit(self, df))
-    model, curve = train_trees(parts["train"], parts["validation"], max_rounds=12, patience=3)
+    fit = DecisionTreeRegressor.fit
+    monkeypatch.setattr(DecisionTreeRegressor, "fit", lambda self, df: trained.append(1) or fit(self, df))
+    noise = {
+        s: parts[s].withColumn(TARGET, F.col(TARGET) + F.pmod(F.xxhash64("features"), F.lit(40))).cache()
+        for s in ("train", "validation")
+    }
+    model, curve = train_trees(noise["train"], noise["validation"], max_rounds=60, patience=3)
     losses = [r["loss"] for r in curve.filter("split = 'validation'").orderBy("iteration").collect()]
     best = losses.index(min(losses)) + 1
-    assert model.getNumTrees == best
-    assert trained == sorted(trained) and trained[-1] <= 12 and len(set(trained)) == len(trained)
-    scored = model.transform(parts["validation"])
+    assert model.getNumTrees == best and len(losses) == len(trained) == min(best + 3, 60)
+    scored = model.transform(noise["validation"])
     assert scored.agg(F.avg((F.col("prediction") - F.col(TARGET)) ** 2)).first()[0] == pytest.approx(min(losses))
+
+
+def test_trees_do_not_depend_on_partitioning(parts):
+    found = []
+    for n in (1, 5):
+        model, _ = train_trees(parts["train"].repartition(n), parts["validation"].repartition(n), max_rounds=12)
+        found.append(model.toDebugString.split("\n", 1)[1])
+    assert found[0] == found[1]
+
+
+def test_each_tree_has_its_own_rows_and_features(parts):
+    drawn = [tuple(feature_share(i, 9)) for i in range(1, 30)]
+    assert {len(f) for f in drawn} == {7} and len(set(drawn)) > 10
+    from pyspark.ml.functions import vector_to_array
+
+    rows = parts["train"].select(vector_to_array("features").alias("x"), F.col(TARGET).alias("label"))
+    shares = rows.agg(*[F.avg(row_share(i).cast("int")) for i in (1, 2)], F.avg((row_share(1) & row_share(2)).cast("int"))).first()
+    assert shares[0] == pytest.approx(0.8, abs=0.04) and shares[1] == pytest.approx(0.8, abs=0.04)
+    assert shares[2] == pytest.approx(0.64, abs=0.05)
+    model, _ = train_trees(parts["train"], parts["validation"], max_rounds=6)
+    for i, text in enumerate(model.toDebugString.split("Tree ")[1:]):
+        import re
+
+        assert set(map(int, re.findall(r"feature (\d+)", text))) <= set(feature_share(i + 1, 9))
+
+
+def test_gradient_equals_differences():
+    shape = Shape((3, 5, 4, 2, 1))
+    rng = np.random.default_rng(5)
+    theta = shape.start(1) + rng.normal(0, 0.1, shape.length)
+    x, y = rng.normal(size=(20, 3)), rng.normal(size=20)
+    _, slope, _ = net.gradient(shape, theta, x, y, None)
+    for i in range(0, shape.length, 3):
+        step = np.zeros(shape.length)
+        step[i] = 1e-6
+        up, down = (net.gradient(shape, theta + s, x, y, None)[0] for s in (step, -step))
+        assert slope[i] == pytest.approx((up - down) / 2e-6, rel=1e-4, abs=1e-5)
+
+
+def one_process(rows, epochs, size):
+    """The training in plain NumPy on the same blocks: (batch, block, data)."""
+    shape = Shape((size, *net.HIDDEN_LAYERS, 1))
+    theta = shape.start(net.SEED)
+    first = second = np.zeros_like(theta)
+    step = 0
+    for epoch in range(epochs):
+        steps = 1 + max(b for b, _, _ in rows)
+        for k in np.random.default_rng((net.SEED, epoch)).permutation(steps):
+            total, n = np.zeros_like(theta), 0
+            for batch, block, data in rows:
+                if batch == k:
+                    rng = np.random.default_rng((net.SEED, epoch, block))
+                    total = total + net.gradient(shape, theta, data[:, :-1], data[:, -1], rng)[1]
+                    n += len(data)
+            step += 1
+            first = 0.9 * first + 0.1 * total / n
+            second = 0.999 * second + 0.001 * (total / n) ** 2
+            theta = theta - net.STEP_SIZE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    return theta
+
+
+def test_network_steps_equal_one_process(parts):
+    trained, _ = train_network(parts["train"], epochs=3)
+    table, steps, total = net.blocks(parts["train"], TARGET, 9, trained.mean, trained.spread, net.STEPS)
+    rows = [(r["batch"], r["block"], np.frombuffer(r["data"]).reshape(-1, 10)) for r in table.collect()]
+    assert sum(len(d) for _, _, d in rows) == total == parts["train"].count() and steps == len(rows) == 4
+    wanted = one_process(sorted(rows, key=lambda r: r[1]), 3, 9)
+    assert trained.theta == pytest.approx(wanted, abs=1e-6)
+
+
+def test_network_does_not_depend_on_partitioning(parts):
+    found = [train_network(parts["train"].repartition(n), epochs=2)[0].theta for n in (1, 6)]
+    assert np.array_equal(*found)
+
+
+def test_network_goes_on_from_an_epoch(parts, tmp_path):
+    folder = f"file://{tmp_path}/state"
+    whole, curve = train_network(parts["train"], parts["validation"], epochs=4)
+    train_network(parts["train"], parts["validation"], epochs=2, state=folder)
+    resumed, again = train_network(parts["train"], parts["validation"], epochs=4, state=folder)
+    assert np.array_equal(whole.theta, resumed.theta)
+    assert curve.orderBy("split", "iteration").collect() == again.orderBy("split", "iteration").collect()
+    earlier, _ = train_network(parts["train"], parts["validation"], epochs=4, state=folder, restart=1)
+    assert np.array_equal(whole.theta, earlier.theta)
+    assert {r["split"] for r in curve.collect()} == {"train", "validation"}
+
+
+def test_blocks_share_out_copies(spark):
+    rows = assemble(spark.createDataFrame([(1.0, 2.0)] * 1500 + [(float(i), 3.0) for i in range(100)], "a double, b double"), ["a"])
+    table, steps, total = net.blocks(rows, "b", 1, 0.0, 1.0, 8)
+    sizes = [len(r["data"]) // 16 for r in table.collect()]
+    assert total == 1600 and sum(sizes) == 1600 and max(sizes) - min(sizes) <= 1 and steps == 4
+
+
+def test_positions_are_a_total_order(spark):
+    rows = spark.createDataFrame([(i % 7, i % 3) for i in range(200)] + [(0, 0)] * 300, "a int, b int").repartition(5)
+    got = with_positions(rows, ["a", "b"]).orderBy("position").collect()
+    assert [r["position"] for r in got] == list(range(500))
+    assert [(r["a"], r["b"]) for r in got] == sorted((r["a"], r["b"]) for r in got)
+    assert with_positions(rows.filter("a > 100"), ["a"]).count() == 0
+
+
+def test_a_loaded_model_scores_raw_rows(planted, parts, tmp_path):
+    scaler = fit_scaler(with_split(planted).filter("split = 'train'"))
+    model, _ = train_trees(parts["train"], parts["validation"], max_rounds=3)
+    network, _ = train_network(parts["train"], epochs=2)
+    for name, fitted, load in (("t", model, WaitModel.load_trees), ("n", network, WaitModel.load_network)):
+        bundle = WaitModel(scaler, fitted)
+        bundle.save(str(tmp_path / name))
+        rows = planted.withColumn("features", F.lit("mine")).withColumn("_row", F.lit(1))
+        before, after = (m.transform(rows) for m in (bundle, load(str(tmp_path / name))))
+        assert before.columns == [*rows.columns, "prediction"]
+        assert {r["features"] for r in after.collect()} == {"mine"}
+        one, two = (df.orderBy(*SORT).select("prediction").toPandas() for df in (before, after))
+        assert one.equals(two) and len(one) == 3000
+
+
+SORT = ["request_datetime", "PULocationID", "DOLocationID", TARGET]

@@ -1,45 +1,22 @@
-"""Splits, scaling and the two wait-time models, trained by Spark ML."""
+"""Splits, features and scaling of the models' input; the models are in boosting and network."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import (
-    MultilayerPerceptronClassificationModel,
-    MultilayerPerceptronClassifier,
-)
-from pyspark.ml.feature import Bucketizer, QuantileDiscretizer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitspark.functions.hashing import hash_unit
 from waitspark.operators.cleaning import keep_non_negative
-from waitspark.schema import FEATURES, SEED, TARGET
-from waitspark.workspace import scratch_root
+from waitspark.schema import FEATURES, TARGET
 
-# Split shares, boosting and network settings.
+# Split shares and keys.
 TRAIN_SHARE = 0.6
 VALIDATION_SHARE = 0.2
 SPLIT_KEYS = ["request_datetime", "on_scene_datetime", "PULocationID", "DOLocationID"]
-TREE_DEPTH = 6
-LEARNING_RATE = 0.1
-ROW_SHARE = 0.8
-FEATURE_SHARE = 0.8
-MAX_ROUNDS = 1000
-PATIENCE = 50
-# Rounds beyond the patience that the first run trains.
-FIRST_ROUNDS = 2
-HIDDEN_LAYERS = [64, 32, 16]
-EPOCHS = 50
-
-# Rows stacked into one matrix in a task; no mini-batch, every pass sees all rows.
-BLOCK_ROWS = 128
-# More bins than the widest feature, the pickup zone, has values.
-TREE_BINS = 512
-WAIT_BUCKETS = 20
 
 
 def with_split(df: DataFrame, keys: Sequence[str] = SPLIT_KEYS) -> DataFrame:
@@ -69,6 +46,17 @@ class Scaler:
     means: list[float]
     deviations: list[float]
 
+    def save(self, path: str) -> None:
+        rows = list(zip(range(len(self.columns)), self.columns, self.means, self.deviations))
+        SparkSession.active().createDataFrame(
+            rows, "place int, name string, mean double, deviation double"
+        ).coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, path: str) -> Scaler:
+        rows = SparkSession.active().read.parquet(path).orderBy("place").collect()
+        return cls(*(list(c) for c in zip(*[(r["name"], r["mean"], r["deviation"]) for r in rows])))
+
     def apply(self, df: DataFrame) -> DataFrame:
         return df.withColumns(
             {
@@ -93,143 +81,3 @@ def assemble(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
         inputCols=list(columns), outputCol="features", handleInvalid="skip"
     )
     return assembler.transform(df)
-
-
-def round_to_keep(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """(rounds up to the least loss, whether ``patience`` rounds brought none lower)."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def train_trees(
-    train: DataFrame,
-    validation: DataFrame,
-    max_rounds: int = MAX_ROUNDS,
-    patience: int = PATIENCE,
-    label: str = TARGET,
-) -> tuple[GBTRegressionModel, DataFrame]:
-    """(boosted trees up to the round of least validation loss, loss per round).
-
-    The trees of a shorter run are the first ones of a longer run with the same seed, so runs
-    double until the patience rule is met, and the kept rounds are cut from the last run.
-    """
-    spark = train.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(scratch_root(spark))
-
-    def fit(rounds: int) -> GBTRegressionModel:
-        trees = GBTRegressor(
-            labelCol=label,
-            maxIter=rounds,
-            maxDepth=TREE_DEPTH,
-            maxBins=TREE_BINS,
-            stepSize=LEARNING_RATE,
-            subsamplingRate=ROW_SHARE,
-            featureSubsetStrategy=str(FEATURE_SHARE),
-            seed=SEED,
-        )
-        return trees.fit(train)
-
-    rounds = min(max_rounds, patience + max(FIRST_ROUNDS, patience // 5))
-    while True:
-        model = fit(rounds)
-        losses = model.evaluateEachIteration(validation, "squared")
-        keep, settled = round_to_keep(losses, patience)
-        if settled or rounds >= max_rounds:
-            break
-        rounds = min(max_rounds, 2 * rounds)
-    curve = loss_rows(spark, "trees", "validation", losses).unionByName(
-        loss_rows(spark, "trees", "train", model.evaluateEachIteration(train, "squared"))
-    )
-    return first_trees(model, keep), curve
-
-
-def first_trees(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
-    """The ensemble of the first ``rounds`` trees."""
-    fitted = model._java_obj
-    gateway = SparkSession.active().sparkContext._gateway
-    ensemble = gateway.jvm.org.apache.spark.ml.regression
-    trees = gateway.new_array(ensemble.DecisionTreeRegressionModel, rounds)
-    weights = gateway.new_array(gateway.jvm.double, rounds)
-    for i in range(rounds):
-        trees[i], weights[i] = fitted.trees()[i], fitted.treeWeights()[i]
-    cut = GBTRegressionModel(ensemble.GBTRegressionModel(fitted.uid(), trees, weights))
-    return model._copyValues(cut)
-
-
-def loss_rows(spark: SparkSession, model: str, split: str, losses) -> DataFrame:
-    rows = [(model, i + 1, split, float(loss)) for i, loss in enumerate(losses)]
-    return spark.createDataFrame(
-        rows, "model string, iteration int, split string, loss double"
-    )
-
-
-@dataclass(frozen=True)
-class WaitNetwork:
-    """A network over wait buckets; its prediction is the expected bucket mean."""
-
-    network: MultilayerPerceptronClassificationModel
-    bucket_means: list[float]
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        scored = self.network.transform(df)
-        chances = vector_to_array("probability")
-        means = F.array(*[F.lit(m) for m in self.bucket_means])
-        terms = F.zip_with(chances, means, lambda p, m: p * m)
-        expected = F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
-        dropped = ("rawPrediction", "probability", "prediction")
-        return scored.withColumn("expected", expected).drop(*dropped).withColumnRenamed(
-            "expected", "prediction"
-        )
-
-    def save(self, path: str) -> None:
-        self.network.write().overwrite().save(f"{path}/network")
-        spark = SparkSession.active()
-        rows = spark.createDataFrame(
-            list(enumerate(self.bucket_means)), "bucket int, mean double"
-        )
-        rows.write.mode("overwrite").parquet(f"{path}/bucket_means")
-
-    @classmethod
-    def load(cls, path: str) -> WaitNetwork:
-        spark = SparkSession.active()
-        rows = spark.read.parquet(f"{path}/bucket_means").orderBy("bucket").collect()
-        network = MultilayerPerceptronClassificationModel.load(f"{path}/network")
-        return cls(network, [r["mean"] for r in rows])
-
-
-def train_network(
-    train: DataFrame,
-    buckets: int = WAIT_BUCKETS,
-    epochs: int = EPOCHS,
-    label: str = TARGET,
-) -> tuple[WaitNetwork, DataFrame]:
-    """(network, training loss per iteration).
-
-    The wait is cut at its quantiles into buckets; the network learns the chance of each bucket.
-    """
-    discretizer = QuantileDiscretizer(
-        numBuckets=buckets, inputCol=label, outputCol="bucket", relativeError=0.001
-    )
-    bucketizer: Bucketizer = discretizer.fit(train)
-    count = len(bucketizer.getSplits()) - 1
-    bucketed = bucketizer.transform(train)
-    found = bucketed.groupBy("bucket").agg(F.avg(label).alias("mean")).collect()
-    by_bucket = {int(r["bucket"]): r["mean"] for r in found}
-    overall = sum(by_bucket.values()) / max(len(by_bucket), 1)
-    means = [by_bucket.get(i, overall) for i in range(max(count, 2))]
-    network = MultilayerPerceptronClassifier(
-        labelCol="bucket",
-        layers=[len(FEATURES), *HIDDEN_LAYERS, len(means)],
-        maxIter=epochs,
-        blockSize=BLOCK_ROWS,
-        seed=SEED,
-    ).fit(bucketed)
-    history = network.summary().objectiveHistory
-    curve = loss_rows(train.sparkSession, "network", "train", history)
-    return WaitNetwork(network, means), curve

@@ -8,23 +8,20 @@ from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waitspark.operators.boosting import MAX_ROUNDS, PATIENCE, train_trees
 from waitspark.operators.learning import (
-    EPOCHS,
-    MAX_ROUNDS,
-    PATIENCE,
     SPLIT_KEYS,
-    WaitNetwork,
+    Scaler,
     assemble,
     fit_scaler,
     model_frame,
-    train_network,
-    train_trees,
     with_split,
 )
 from waitspark.operators.metrics import compare_models, with_residual
+from waitspark.operators.network import EPOCHS, WaitNetwork, train_network
 from waitspark.operators.sampling import sample
 from waitspark.schema import FEATURES, TARGET
-from waitspark.workspace import materialize, spread
+from waitspark.workspace import materialize
 
 MODELS = ["network", "trees"]
 
@@ -34,12 +31,47 @@ class Splits:
     train: DataFrame
     validation: DataFrame
     test: DataFrame
+    scaler: Scaler
+
+
+@dataclass(frozen=True)
+class WaitModel:
+    """A trained model with the scaling of its features: it scores rows of the processed table."""
+
+    scaler: Scaler
+    model: WaitNetwork | GBTRegressionModel
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``prediction``; a row that lacks a feature is left out.
+
+        The features stay as they are, and the scaled ones take no name that ``rows`` has.
+        """
+        own = f"{'_' * (1 + max((len(c) for c in rows.columns), default=0))}row"
+        held = rows.select(*FEATURES, F.struct(*rows.columns).alias(own))
+        scored = self.model.transform(assemble(self.scaler.apply(held)))
+        kept = [F.col(own)[c].alias(c) for c in rows.columns if c != "prediction"]
+        return scored.select(*kept, "prediction")
+
+    def save(self, path: str) -> None:
+        self.scaler.save(f"{path}/scaler")
+        if isinstance(self.model, WaitNetwork):
+            self.model.save(f"{path}/network")
+        else:
+            self.model.write().overwrite().save(f"{path}/trees")
+
+    @classmethod
+    def load_network(cls, path: str) -> WaitModel:
+        return cls(Scaler.load(f"{path}/scaler"), WaitNetwork.load(f"{path}/network"))
+
+    @classmethod
+    def load_trees(cls, path: str) -> WaitModel:
+        return cls(Scaler.load(f"{path}/scaler"), GBTRegressionModel.load(f"{path}/trees"))
 
 
 @dataclass(frozen=True)
 class Comparison:
-    trees: GBTRegressionModel
-    network: WaitNetwork
+    trees: WaitModel
+    network: WaitModel
     loss_curve: DataFrame
     predictions: DataFrame
     table: DataFrame
@@ -49,12 +81,10 @@ def scaled_splits(processed: DataFrame, fraction: float | None = None) -> Splits
     """Standardised feature vectors of the three splits, each a part of one written table."""
     rows = with_split(model_frame(sample(processed, fraction), *_extra_keys()))
     rows = materialize(rows.select("split", *FEATURES, TARGET), "model", ["split"])
-    train = rows.filter(F.col("split") == "train")
-    scaled = assemble(fit_scaler(train).apply(rows)).select("split", "features", TARGET)
-    train, validation, test = (
-        scaled.filter(F.col("split") == name) for name in ("train", "validation", "test")
-    )
-    return Splits(spread(train), spread(validation), test)
+    scaler = fit_scaler(rows.filter(F.col("split") == "train"))
+    scaled = assemble(scaler.apply(rows)).select("split", "features", TARGET)
+    parts = [scaled.filter(F.col("split") == name) for name in ("train", "validation", "test")]
+    return Splits(*parts, scaler)
 
 
 def _extra_keys() -> list[str]:
@@ -78,14 +108,14 @@ def train_and_compare(
 ) -> Comparison:
     """Trains the network and the boosted trees and scores both on the test split."""
     splits = scaled_splits(processed, fraction)
-    network, network_curve = train_network(splits.train, epochs=epochs)
+    network, network_curve = train_network(splits.train, splits.validation, epochs)
     trees, trees_curve = train_trees(splits.train, splits.validation, max_rounds, patience)
     predictions = label_predictions(network, "network", splits.test).unionByName(
         label_predictions(trees, "trees", splits.test)
     )
     return Comparison(
-        trees,
-        network,
+        WaitModel(splits.scaler, trees),
+        WaitModel(splits.scaler, network),
         network_curve.unionByName(trees_curve),
         predictions,
         compare_models(predictions, MODELS),

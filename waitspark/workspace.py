@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+#: Attribute of a written table: where it is.
+_PATH = "_scratch_path"
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only for a local master."""
     context = spark.sparkContext
@@ -38,20 +42,26 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
 
     The copy is columnar, so later passes read only what they need. Its size is known, so a join
     broadcasts it if it lies below the session's threshold and shuffles otherwise. And it outlives
-    a lost executor.
+    a lost executor. ``discard`` frees it before the application ends.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` on at least as many partitions as there are cores, for passes over it again and again.
-
-    Large tables have more as they are and come back untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    schema = T.StructType(
+        [f for f in df.schema if f.name not in partition_by] + [df.schema[c] for c in partition_by]
+    )
+    written = df.sparkSession.read.schema(schema).parquet(path).select(df.columns)
+    written.__dict__[_PATH] = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables of ``materialize`` that no later step reads, not even on a retry."""
+    for table in tables:
+        path = table.__dict__.pop(_PATH, None)
+        if path:
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def local_table(
