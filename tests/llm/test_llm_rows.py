@@ -252,3 +252,20 @@ def test_token_files(spark):
 @pytest.mark.parametrize("f", [quality_rules.quality_rules, mixing.op3, mixing.mix, exact_dedup.op4, exact_dedup.deduplicate, token_files.op10])
 def test_empty_table(spark, f):
     assert f(docs(spark, [])).collect() == []
+
+
+EDGED = st.lists(
+    st.sampled_from(["Word", "été", "naïve", "'s", "it's", "...", "!", "12", "<|endoftext|>", "|", "<", "…", "x", "漢字", "É", "-", "́", "(", "İ", "ß"]),
+    max_size=6,
+)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(EDGED, max_size=8))
+def test_chunk_edges_do_not_change_the_ids(chunks):
+    import public_tokenizers
+
+    encoder = token_files.chunk_encoder(public_tokenizers.path("word_bpe_49k.json"))
+    text = " ".join("".join(c) for c in chunks)
+    wanted = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder(text.encode()).tolist() == wanted

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waitspark.workspace import materialize
+from waitspark.workspace import discard, materialize
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -18,6 +18,7 @@ def components(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = materialize(both, "links")
     labels = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"), "labels")
+    written = labels
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
         hooked = labels.join(near.withColumnRenamed("a", "node"), "node").select(
@@ -28,6 +29,8 @@ def components(links: DataFrame) -> DataFrame:
             "node", F.col("root").alias("old"), F.least("new", "far").alias("root")
         )
         jumped = materialize(jumped, "jumped")
+        discard(hooked, written)
         if jumped.filter("old <> root").limit(1).count() == 0:
+            discard(both)
             return jumped.select("node", "root")
-        labels = jumped.select("node", "root")
+        labels, written = jumped.select("node", "root"), jumped

@@ -39,7 +39,7 @@ from waitspark.llm.common import WordHashes, binary_texts, mix64, text_or_empty
 from waitspark.llm.components import components
 from waitspark.llm.kneser_ney import chain, names, text_hashes
 from waitspark.llm.mixing import row_key
-from waitspark.workspace import materialize
+from waitspark.workspace import discard, materialize
 
 #: The query's: links need 100 * intersection >= PERCENT * union of the sets of SHINGLE words.
 SHINGLE = 3
@@ -48,6 +48,8 @@ RARE = 64
 SKETCH_BITS = 256
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 FIRST_PIVOTS, PIVOT_GROWTH = 2, 4
+#: The first round takes one in so many keys.
+FIRST_KEYS = 16
 
 
 def token_set(text: bytes, cache: WordHashes, shingle: int = SHINGLE) -> np.ndarray:
@@ -201,33 +203,54 @@ def linked(pairs: DataFrame, members: DataFrame, percent: int = PERCENT) -> Data
 
 
 def class_components(members: DataFrame, postings: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(cid, comp, sketch) of all ``members`` (cid, tokens, sketch); ``postings`` are the keys they meet in."""
+    """(cid, comp, sketch) of all ``members`` (cid, tokens, sketch); ``postings`` are the keys they meet in.
+
+    The first round takes one in ``FIRST_KEYS`` keys: linked classes share many, so it finds most links, and
+    the rounds over all keys then meet them inside one component, where no pair is emitted.
+    """
     comps = materialize(members.select("cid", F.col("cid").alias("comp"), *SKETCH), "comps")
-    open_ = postings
-    pivots = FIRST_PIVOTS
+    some = postings.filter(F.pmod(F.xxhash64("key", F.lit("first")), F.lit(FIRST_KEYS)) == 0)
+    comps, last = _round(comps, some, members, FIRST_PIVOTS, percent)
+    open_, pivots = postings, FIRST_PIVOTS
     while True:
-        open_ = open_.join(comps, "cid")
-        least = F.min(F.struct("alone", "cid"))
-        stats = open_.groupBy("key").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"), least.alias("first")
-        )
-        stats = materialize(stats.filter("low <> high"), "stats")
-        chosen = (F.pmod(F.xxhash64("cid"), F.lit(1 << 20)) * F.col("members") < pivots * (1 << 20)) | (F.col("cid") == F.col("first.cid"))
-        live = open_.join(stats.select("key", "members", "first"), "key")
-        live = materialize(live.select("key", "cid", "n", "alone", "comp", *SKETCH, chosen.alias("pivot")), "live")
-        if live.limit(1).count() == 0:
+        comps, live = _round(comps, open_, members, pivots, percent)
+        if last is not None:
+            discard(last)
+        if live is None:
             return comps
-        a, b = live.alias("a"), live.filter("pivot").alias("b")
-        differ = (F.col("a.comp") != F.col("b.comp")) & (~F.col("a.pivot") | (F.col("a.cid") < F.col("b.cid")))
-        pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & differ & linkable("a", "b", percent))
-        pairs = materialize(pairs.select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct(), "pairs")
-        found = materialize(linked(pairs, members, percent), "found")
-        if found.limit(1).count():
-            comps = _merged(comps, found)
-        open_ = live.filter("NOT pivot").drop("pivot", "comp", *SKETCH)
+        open_, last = live.filter("NOT pivot").drop("pivot", "comp", *SKETCH), live
         pivots *= PIVOT_GROWTH
 
 
+def _round(comps: DataFrame, postings: DataFrame, members: DataFrame, pivots: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """(components after verifying the pivots of each key against its members, those keys' postings or None)."""
+    open_ = postings.join(comps, "cid")
+    least = F.min(F.struct("alone", "cid"))
+    stats = open_.groupBy("key").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"), least.alias("first")
+    )
+    stats = materialize(stats.filter("low <> high"), "stats")
+    chosen = (F.pmod(F.xxhash64("cid"), F.lit(1 << 20)) * F.col("members") < pivots * (1 << 20)) | (F.col("cid") == F.col("first.cid"))
+    live = open_.join(stats.select("key", "members", "first"), "key")
+    live = materialize(live.select("key", "cid", "n", "alone", "comp", *SKETCH, chosen.alias("pivot")), "live")
+    discard(stats)
+    if live.limit(1).count() == 0:
+        discard(live)
+        return comps, None
+    a, b = live.alias("a"), live.filter("pivot").alias("b")
+    differ = (F.col("a.comp") != F.col("b.comp")) & (~F.col("a.pivot") | (F.col("a.cid") < F.col("b.cid")))
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & differ & linkable("a", "b", percent))
+    pairs = materialize(pairs.select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct(), "pairs")
+    found = materialize(linked(pairs, members, percent), "found")
+    discard(pairs)
+    if found.limit(1).count():
+        merged = _merged(comps, found)
+        discard(comps)
+        comps = merged
+    discard(found)
+    return comps, live
+
+
 def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     """``comps`` after joining the components that ``links`` (a, b) of classes connect."""
     left = comps.select(F.col("cid").alias("a"), F.col("comp").alias("x"))
@@ -242,10 +265,14 @@ def join_components(
     docs: DataFrame, key: str = "doc_id", rare: int = RARE, shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
     """doc_id, ``key``, n_shingles, component_id and comp (null without words) for each row of ``docs``."""
-    rows = materialize(sets(docs, False, key, shingle, percent).drop("sketch"), "token-sets")
-    grouped = rows.filter("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("least"), F.first("tokens").alias("tokens"))
-    classes = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    left = materialize(sieved(classes, percent), "sieved")
+    found = materialize(sets(docs, False, key, shingle, percent).drop("sketch"), "token-sets")
+    rows = materialize(found.drop("tokens"), "signatures")
+    grouped = found.filter("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("least"), F.first("tokens").alias("tokens"))
+    shown = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "shown")
+    discard(found)
+    classes = materialize(shown.drop("tokens"), "classes")
+    left = materialize(sieved(shown, percent), "sieved")
+    discard(shown)
     wanted = classes.select("cid", "sig", "n", "least").join(left, "cid", "left_semi")
     wanted = materialize(wanted, "wanted")
     texts = docs.join(wanted.select(F.col("least").alias("_least")).distinct(), F.col("doc_id").eqNullSafe(F.col("_least")), "left_semi")
@@ -260,6 +287,7 @@ def join_components(
     postings = materialize(postings, "postings")
     met = postings.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
     comps = class_components(members.drop("n"), postings.join(met, "key", "left_semi"), percent)
+    discard(members, postings)
     with_least = classes.select("cid", "sig", "least").join(comps, "cid", "left")
     with_least = materialize(with_least.withColumn("comp", F.coalesce("comp", "cid")), "with-least")
     smallest = with_least.groupBy("comp").agg(F.min("least").alias("component_id"))
