@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waitspark.operators.cleaning import drop_null_keys
-from waitspark.operators.quantiles import value_counts
+from waitspark.operators.moments import pair_moments
 
 # Bins of a histogram, points of a density curve.
 BINS = 30
 DENSITY_POINTS = 200
 
+# Lattice steps a bandwidth on which the density's values are weighed.
+PER_BANDWIDTH = 2048
+
 
 def bin_edges(low: float | None, high: float | None, bins: int) -> list[float]:
     """Equal-width edges; a single value gets a range of width 1 around it, no value gets 0..1."""
@@ -64,71 +66,61 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFr
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(row_name, column_name, r) of all pairs; null where a column does not vary.
 
-    Two aggregates serve every pair: means and deviations, then the sums of centred products. Each
-    pair uses the rows where both are present, so a pair with a gap gets moments of its own.
+    One pass for any number of columns. Each pair uses the rows where both are present, so a null or NaN
+    takes its row out of that column's pairs only.
     """
-    head = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.struct(F.count(c), F.avg(c), F.stddev_pop(c)).alias(f"m_{c}") for c in columns],
-    ).first()
-    present, mean, spread = (
-        {c: head[f"m_{c}"][i] for c in columns} for i in range(3)
-    )
-    gaps = {c for c in columns if present[c] < head["rows"]}
-    pairs = list(combinations([c for c in columns if spread[c]], 2))
-    moments = []
-    for a, b in pairs:
-        if a in gaps or b in gaps:
-            moments.append(_pair_moments(a, b))
-        else:
-            x, y = F.col(a) - F.lit(mean[a]), F.col(b) - F.lit(mean[b])
-            scale = F.lit(head["rows"] * spread[a] * spread[b])
-            moments.append(F.sum(x * y) / scale)
-    found = df.agg(F.array(*moments).alias("r")).first()["r"] if pairs else []
-
-    by_pair = {frozenset(pair): r for pair, r in zip(pairs, found)}
-    by_pair |= {frozenset([c]): 1.0 for c in columns if spread[c]}
-    rows = [(a, b, by_pair.get(frozenset([a, b]))) for a in columns for b in columns]
+    found = pair_moments(df, columns).correlations()
+    rows = [
+        (a, b, None if math.isnan(found[i, j]) else float(found[i, j]))
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+    ]
     return df.sparkSession.createDataFrame(
         rows, "row_name string, column_name string, r double"
     )
 
 
-def _pair_moments(a: str, b: str) -> Column:
-    """Correlation over the rows where both are present; null if either is constant there."""
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    spread_a, spread_b = (F.stddev_pop(F.when(both, F.col(c))) for c in (a, b))
-    return F.try_divide(F.covar_pop(a, b), spread_a * spread_b)
-
-
 def density_curve(
     df: DataFrame, column: str, points: int = DENSITY_POINTS
 ) -> DataFrame:
     """(point, x, density): Gaussian kernel density with Scott's bandwidth, from min to max.
 
-    Equal values are counted first; each distinct value then adds to every grid point, summed in
-    the task that holds it, so the shuffle carries ``points`` rows per task.
+    Null, NaN and infinity are no values. A value's weight goes to the two neighbours it has on a lattice of
+    ``PER_BANDWIDTH`` steps a bandwidth, in proportion, so tasks sum weights by lattice place and the
+    shuffle carries places, whose number grows with the fifth root of the rows, instead of values. The
+    density differs from the exact one by less than 1 / (8 * PER_BANDWIDTH ** 2), 3e-8, of a kernel's
+    peak. Each place then adds to every grid point in the task that holds it.
     """
-    counts = value_counts(df.filter(F.col(column).isNotNull()), column)
-    first = df.agg(
-        F.count(column).alias("n"),
-        F.min(column).alias("low"),
-        F.max(column).alias("high"),
-        F.stddev_samp(column).alias("spread"),
+    value = F.col(column).cast("double")
+    values = df.select(value.alias("value")).filter(F.abs(F.col("value")) < F.lit(math.inf))
+    first = values.agg(
+        F.count("value").alias("n"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+        F.stddev_samp("value").alias("spread"),
     ).first()
     if not first["n"] or first["low"] == first["high"]:
         schema = "point int, x double, density double"
         return df.sparkSession.createDataFrame([], schema)
     n, low, high = first["n"], float(first["low"]), float(first["high"])
     bandwidth = first["spread"] * n ** (-1 / 5)
+    lattice = bandwidth / PER_BANDWIDTH
+
+    at = (F.col("value") - F.lit(low)) / F.lit(lattice)
+    rest = at - F.floor(at)
+    shares = F.array(
+        F.struct(F.floor(at).alias("place"), (F.lit(1.0) - rest).alias("weight")),
+        F.struct((F.floor(at) + 1).alias("place"), rest.alias("weight")),
+    )
+    weights = values.select(F.inline(shares)).groupBy("place").agg(F.sum("weight").alias("weight"))
 
     step = (high - low) / (points - 1)
-    place = F.lit(low) + F.col("point") * F.lit(step)
-    spread = counts.select(
-        "value", "n", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
+    x = F.lit(low) + F.col("point") * F.lit(step)
+    spread = weights.select(
+        "place", "weight", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
     )
-    z = (place - F.col("value")) / F.lit(bandwidth)
-    kernel = F.exp(z * z * F.lit(-0.5)) * F.col("n")
+    z = (x - (F.lit(low) + F.col("place") * F.lit(lattice))) / F.lit(bandwidth)
+    kernel = F.exp(z * z * F.lit(-0.5)) * F.col("weight")
     scale = n * bandwidth * math.sqrt(2 * math.pi)
     sums = spread.groupBy("point").agg((F.sum(kernel) / F.lit(scale)).alias("density"))
-    return sums.select("point", place.alias("x"), "density").orderBy("point")
+    return sums.select("point", x.alias("x"), "density").orderBy("point")

@@ -11,6 +11,7 @@ from waitspark.operators.cleaning import (
     dedupe_hourly,
     drop_null_keys,
     drop_time_anomalies,
+    in_time_order,
     keep_day_kind,
     keep_non_negative,
     null_key_report,
@@ -20,11 +21,12 @@ from waitspark.operators.cleaning import (
 )
 from waitspark.operators.fences import drop_numeric_anomalies, iqr_fences
 from waitspark.operators.joins import join_weather, join_zones
+from waitspark.operators.observed import write_observed
 from waitspark.operators.sampling import hash_sample, sample
 from waitspark.plans.processed import weather_numbers
 from waitspark.registry import common as c
 from waitspark.schema import WEATHER_MEASURES
-from waitspark.workspace import materialize
+from waitspark.workspace import materialize, scratch_path
 
 LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
 # Skewed measures: each fence removes rows, so the order of the fences shows.
@@ -74,6 +76,18 @@ def anomaly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return time_anomaly_report(views.order_trips(spark, sf_dir))
 
 
+def observed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three steps remove, counted by the job that writes what they leave."""
+    trips = views.order_trips(spark, sf_dir)
+    steps = [
+        ("time order", in_time_order()),
+        ("within 60 days", F.datediff("on_scene_datetime", "request_datetime") <= 60),
+        ("first lines", F.when(F.col("line") != 3, F.col("line") < 5)),
+    ]
+    report = write_observed(trips, steps, scratch_path(spark, "observed"))
+    return report.withColumn("percent_removed", F.round("percent_removed", 6))
+
+
 def iqr_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_numeric_anomalies(skewed_lines(spark, sf_dir), SKEWED_COLUMNS)
 
@@ -186,6 +200,7 @@ joined AS (
 _present = " AND ".join(f"{k} IS NOT NULL" for k in NULL_KEYS)
 
 QUERIES = {
+    "observed_report": observed_report,
     "sample_bernoulli": sample_bernoulli,
     "sample_hash": sample_hash,
     "time_anomaly_filter": anomaly_filter,
@@ -203,6 +218,20 @@ QUERIES = {
 }
 
 ORACLE = {
+    "observed_report": c.with_(
+        c.ORDER_TRIPS,
+        """SELECT CAST(step AS INTEGER) AS step, name, rows_before, rows_before - rows_after AS rows_removed,
+       round((rows_before - rows_after) * 100.0::DOUBLE / rows_before, 6) AS percent_removed, rows_after
+FROM (
+  SELECT unnest([1, 2, 3, 0]) AS step,
+         unnest(['time order', 'within 60 days', 'first lines', '(all)']) AS name,
+         unnest([n0, n1, n2, n0]) AS rows_before, unnest([n1, n2, n3, n3]) AS rows_after
+  FROM (SELECT count(*) AS n0, count(*) FILTER (WHERE a) AS n1, count(*) FILTER (WHERE a AND b) AS n2,
+               count(*) FILTER (WHERE a AND b AND line < 5 AND line <> 3) AS n3
+        FROM (SELECT line, request_datetime <= on_scene_datetime AS a,
+                     date_diff('day', CAST(request_datetime AS DATE), CAST(on_scene_datetime AS DATE)) <= 60 AS b
+              FROM order_trips)))""",
+    ),
     "sample_bernoulli": "SELECT CAST(0 AS BIGINT) AS outside, CAST(0 AS BIGINT) AS repeated, true AS share_fits",
     "sample_hash": f"""SELECT {", ".join(LINE_KEYS)} FROM lineitem
 WHERE {c.unit_sql(LINE_KEYS)} < 0.1""",

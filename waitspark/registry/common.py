@@ -61,6 +61,10 @@ def splits(spark: SparkSession, sf_dir: str) -> Splits:
     )
 
 
+def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.shapes(spark, sf_dir)
+
+
 def signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The processed rows with a wait that the features decide, but for up to a minute."""
     decided = 5 + F.abs(F.col("request_hour") - 12) + 4 * F.col("is_weekend") + F.col("PULocationID") % 5
@@ -140,6 +144,11 @@ zones AS (
   FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
 
+SHAPES = """
+shapes AS (
+  SELECT n_nationkey AS shape_id, 'NATION_' || (n_nationkey % 20) AS zone FROM nation)"""
+
+
 def wait_sql(start: str = "request_datetime", end: str = "on_scene_datetime") -> str:
     seconds = f"date_diff('second', date_trunc('second', {start}), date_trunc('second', {end}))"
     return f"round(CAST({seconds} AS DOUBLE) / 60.0, 1)"

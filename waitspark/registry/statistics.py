@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,16 +21,20 @@ from waitspark.operators.cleaning import drop_time_anomalies
 from waitspark.operators.distributions import (
     BINS,
     DENSITY_POINTS,
+    PER_BANDWIDTH,
     correlation_matrix,
     density_curve,
     histogram,
 )
 from waitspark.operators.metrics import compare_models, regression_metrics, with_residual
-from waitspark.operators.quantiles import exact_quantiles
+from waitspark.operators.quantiles import QUARTILES, exact_quantiles
+from waitspark.operators.sketches import sketched_quantiles, update_sketches
+from waitspark.plans.charts import chart_summary
 from waitspark.registry import common as c
 from waitspark.schema import FEATURES, HISTOGRAM_FEATURES, TARGET
-from waitspark.workspace import collect_small, materialize
+from waitspark.workspace import collect_small, materialize, scratch_path
 
+RANK_ERROR = 0.01
 MEAN_MODELS = ["hour_mean", "zone_mean"]
 
 
@@ -160,20 +166,61 @@ def correlation_sql(columns: list[str]) -> str:
 ERRORS = c.PREDICTIONS + "".join(
     f""",
 errors_{m} AS MATERIALIZED (
-  SELECT round(prediction - label, 6) AS residual FROM predictions WHERE model = '{m}')"""
+  SELECT round(prediction - label, 6) AS residual FROM predictions WHERE model = '{m}'),
+size_{m} AS MATERIALIZED (
+  SELECT count(*) AS n, min(residual) AS low, max(residual) AS high,
+         stddev_samp(residual) * power(count(*), -1.0 / 5) AS h FROM errors_{m}),
+lattice_{m} AS MATERIALIZED (
+  SELECT (residual - low) / (h / {PER_BANDWIDTH}) AS spot FROM errors_{m}, size_{m})"""
     for m in MEAN_MODELS
 )
 
 
+def bin_sql(column: str) -> str:
+    """The filled bins of a column's histogram as rows of the chart table."""
+    return f"""
+SELECT 'histogram' AS chart, '{column}' AS label, bin AS place, CAST(frequency AS DOUBLE) AS value
+FROM ({histogram_sql('processed', column)}) WHERE frequency > 0"""
+
+
+def chart_sql() -> str:
+    pairs = "\nUNION ALL ".join(
+        f"SELECT 'correlation' AS chart, '{a}/{b}' AS label, 0 AS place,"
+        f" round(CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0 THEN corr({a}, {b}) END, 6) AS value FROM processed"
+        for i, a in enumerate([*FEATURES, TARGET])
+        for b in [*FEATURES, TARGET][i + 1 :]
+    )
+    means = """
+SELECT 'hour' AS chart, CASE WHEN is_weekend = 1 THEN 'weekend' ELSE 'weekday' END AS label,
+       request_hour AS place, round(avg(wait_minutes), 6) AS value
+FROM processed GROUP BY request_hour, is_weekend
+UNION ALL
+SELECT 'month', 'all', trip_month, round(avg(wait_minutes), 6) FROM processed GROUP BY trip_month
+UNION ALL
+SELECT 'top_zone', '(' || PUBorough || ') ' || PULocationZone, CAST(place AS INTEGER), round(mean, 6)
+FROM (SELECT *, row_number() OVER (ORDER BY mean DESC, PULocationZone, PUBorough) AS place
+      FROM (SELECT PULocationZone, PUBorough, avg(wait_minutes) AS mean
+            FROM processed GROUP BY PULocationZone, PUBorough))
+WHERE place <= 10
+UNION ALL
+SELECT 'zone_map', s.zone, s.shape_id, round(coalesce(mean, 0), 6)
+FROM shapes s LEFT JOIN (SELECT PULocationZone, avg(wait_minutes) AS mean
+                         FROM processed GROUP BY PULocationZone, PUBorough) m ON s.zone = m.PULocationZone"""
+    bins = "\nUNION ALL ".join(map(bin_sql, HISTOGRAM_FEATURES))
+    return f"SELECT chart, label, CAST(place AS INTEGER) AS place, value FROM ({pairs}\nUNION ALL {means}\nUNION ALL {bins})"
+
+
 def density_sql(model: str) -> str:
     return f"""
 SELECT '{model}' AS model, CAST(point AS INTEGER) AS point, round(x, 6) AS x,
-       round(sum(exp(-0.5 * ((x - residual) / h) ** 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())),
-             12) AS density
-FROM (SELECT point, low + point * ((high - low) / {DENSITY_POINTS - 1}) AS x, n, h
-      FROM (SELECT count(*) AS n, min(residual) AS low, max(residual) AS high,
-                   stddev_samp(residual) * power(count(*), -1.0 / 5) AS h FROM errors_{model}) s,
-           range({DENSITY_POINTS}) t(point)) g, errors_{model}
+       round(sum(weight * exp(-0.5 * ((x - (low + place * (h / {PER_BANDWIDTH}))) / h) ** 2))
+             / (any_value(n) * any_value(h) * sqrt(2 * pi())), 12) AS density
+FROM (SELECT point, low + point * ((high - low) / {DENSITY_POINTS - 1}) AS x, n, h, low
+      FROM size_{model}, range({DENSITY_POINTS}) t(point)) g,
+     (SELECT place, sum(weight) AS weight
+      FROM (SELECT floor(spot) AS place, 1 - (spot - floor(spot)) AS weight FROM lattice_{model}
+            UNION ALL SELECT floor(spot) + 1, spot - floor(spot) FROM lattice_{model})
+      GROUP BY place) w
 GROUP BY point, x"""
 
 
@@ -184,7 +231,40 @@ metrics AS (
   FROM predictions GROUP BY model)"""
 MEAN_OF = "round(avg(wait_minutes), 6) AS avg_wait_minutes FROM processed"
 
+def charts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All chart tables of the processed rows as one table."""
+    summary = chart_summary(c.processed(spark, sf_dir), c.shapes(spark, sf_dir))
+    return summary.select("chart", "label", "place", c.rounded("value"))
+
+
+def sketch_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles of two columns from sketches by month that arrived in two parts: whether each is near its rank.
+
+    The second part brings later months and one earlier month again.
+    """
+    lines = views.order_trips(spark, sf_dir).select(
+        F.month("request_datetime").alias("trip_month"),
+        F.col("order_id").cast("double").alias("order_id"),
+        F.datediff("on_scene_datetime", "request_datetime").alias("days"),
+    )
+    lines = materialize(lines, "lines")
+    path = scratch_path(spark, "sketches")
+    update_sketches(lines.filter("trip_month <= 6"), path, ["order_id", "days"])
+    update_sketches(lines.filter("trip_month >= 6"), path, ["order_id", "days"])
+    found = sketched_quantiles(spark, path, QUARTILES).collect()
+    checks = []
+    for r in found:
+        for p, q in zip(QUARTILES, r["quantiles"]):
+            value = F.col(r["column_name"])
+            near = (F.avg((value < q).cast("int")) <= p + RANK_ERROR) & (F.avg((value <= q).cast("int")) >= p - RANK_ERROR)
+            head = [F.lit(r["column_name"]).alias("column_name"), F.lit(p).alias("p"), F.lit(r["rows"]).alias("n")]
+            checks.append(lines.agg(near.alias("near")).select(*head, "near"))
+    return reduce(DataFrame.unionByName, checks)
+
+
 QUERIES = {
+    "chart_tables": charts,
+    "sketch_quartiles": sketch_quartiles,
     "quartiles": quartiles,
     "avg_wait_by_zone": by_zone,
     "monthly_trend": by_month,
@@ -202,6 +282,12 @@ QUERIES = {
 }
 
 ORACLE = {
+    "chart_tables": c.with_(f"{c.PROCESSED}, {c.SHAPES}", chart_sql()),
+    "sketch_quartiles": c.with_(
+        c.ORDER_TRIPS,
+        """SELECT column_name, p, (SELECT count(*) FROM order_trips) AS n, true AS near
+FROM (VALUES ('order_id'), ('days')) c(column_name), (VALUES (0.25::DOUBLE), (0.75::DOUBLE)) p(p)""",
+    ),
     "quartiles": """SELECT count(*) AS n, quantile_cont(l_extendedprice, 0.25) AS p25,
        quantile_cont(l_extendedprice, 0.5) AS p50, quantile_cont(l_extendedprice, 0.75) AS p75
 FROM lineitem""",

@@ -13,20 +13,29 @@ from waitspark.schema import PAGE_SCHEMA, WEATHER_SCHEMA
 from waitspark.sources import (
     append_csv,
     append_in_batches,
+    append_months,
     count_csv,
     file_counts,
+    files_over,
     html_rows,
     pages_with_param,
     preview,
+    read_months,
     read_processed,
     read_trips,
     read_weather,
     read_zones,
+    sample_files,
+    stage_batch,
+    table_rows,
+    top_elements,
     write_processed,
 )
 from waitspark.streaming import stream_weather
 from waitspark.workspace import scratch_path
 
+# Rows of a file of a batch: fewer than any task has.
+BATCH_ROWS = 500
 COUNT_KEYS = ["o_orderkey", "l_orderkey", "l_linenumber"]
 
 
@@ -80,11 +89,54 @@ def write_read_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "batches")
     orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    append_in_batches(orders, path)
-    append_in_batches(orders.filter(F.col("o_totalprice") > 200000), path)
+    append_in_batches(orders, path, BATCH_ROWS)
+    append_in_batches(orders.filter(F.col("o_totalprice") > 200000), path, BATCH_ROWS)
     return spark.read.parquet(path)
 
 
+def months_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months in two batches: the second is stopped before its commit, then run whole; the first is run again."""
+    path = scratch_path(spark, "months")
+    rows = views.order_trips(spark, sf_dir)
+    rows = rows.select("order_id", "line", F.month("request_datetime").alias("trip_month"))
+    early, late = rows.filter("trip_month <= 6"), rows.filter("trip_month >= 6")
+    append_months(early, path, "early", batch_size=BATCH_ROWS)
+    stage_batch(late.filter("line > 1"), path, "trip_month", BATCH_ROWS)
+    append_months(late, path, "late", batch_size=BATCH_ROWS)
+    append_months(early, path, "early", batch_size=BATCH_ROWS)
+    if files_over(spark, path, BATCH_ROWS):
+        raise ValueError("a file has more rows than its batch allows")
+    return read_months(spark, path)
+
+
+def files_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each file, whether a tenth of it is drawn, and whether the draw is the same however it is read."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in ("orders", "lineitem")]
+    trips = read_trips(spark, paths, file="file_path", row="row_index")
+    counts = file_counts(trips, ["file_path", "row_index"], 0.1)
+    again = sample_files(trips.repartition(5, "row_index"), 0.1).groupBy("file_path").agg(F.count(F.lit(1)).alias("again"))
+    # Six deviations of a binomial share.
+    fits = F.abs(F.col("sampled_rows") - 0.1 * F.col("original_rows")) <= 6 * F.sqrt(0.09 * F.col("original_rows"))
+    return counts.join(again, "file_path").select(
+        "file_name", "original_rows", fits.alias("share_fits"), (F.col("again") == F.col("sampled_rows")).alias("fixed")
+    )
+
+
+def nested_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a table with another table in a cell: the first cell, all cells, and the inner table's rows."""
+    rows = table_rows(views.nested_pages(spark, sf_dir), ["page_id"], "outer")
+    cells = top_elements(F.col("markup"), "t[dh]")
+    inner = F.regexp_extract(F.col("markup"), r"(?is)<table[^>]*>(.*)$", 1)
+    return rows.select(
+        "page_id",
+        "position",
+        F.size(cells).alias("cells"),
+        cell_text(F.get(cells, F.lit(0))).alias("first_cell"),
+        cell_text(F.get(cells, F.size(cells) - 1)).alias("last_cell"),
+        F.size(top_elements(inner, "tr")).alias("inner_rows"),
+    )
+
+
 def append_twice(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "csv")
     rows = views.weather_rows(spark, sf_dir)
@@ -163,6 +215,9 @@ QUERIES = {
     "read_processed": processed_read,
     "write_read_roundtrip": write_read_roundtrip,
     "append_batches": append_batches,
+    "append_months": months_appended,
+    "sample_by_file": files_sampled,
+    "nested_rows": nested_rows,
     "append_csv": csv_appended,
     "csv_row_count": csv_row_count,
     "preview": first_trips,
@@ -182,6 +237,17 @@ UNION ALL {_counts_sql('lineitem', COUNT_KEYS[1:])}""",
     "write_read_roundtrip": c.with_(c.TRIPS, "SELECT * FROM trips"),
     "append_batches": """SELECT o_orderkey, o_totalprice FROM orders UNION ALL
 SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 200000""",
+    "append_months": c.with_(
+        c.ORDER_TRIPS,
+        "SELECT order_id, line, CAST(month(request_datetime) AS INTEGER) AS trip_month FROM order_trips",
+    ),
+    "sample_by_file": """SELECT 'orders.parquet' AS file_name, count(*) AS original_rows, true AS share_fits,
+       true AS fixed FROM orders
+UNION ALL SELECT 'lineitem.parquet', count(*), true, true FROM lineitem""",
+    "nested_rows": """SELECT page_id, CAST(0 AS INTEGER) AS position, CAST(2 AS INTEGER) AS cells, 'page' AS first_cell,
+       CAST(page_id AS VARCHAR) AS last_cell, CAST(0 AS INTEGER) AS inner_rows FROM pages
+UNION ALL SELECT page_id, 1, 3, 'links', 'z' || (page_id % 7), 2 FROM pages
+UNION ALL SELECT page_id, 2, 1, 'last', 'last', 0 FROM pages""",
     "append_csv": c.with_(c.WEATHER, APPENDED),
     "csv_row_count": c.with_(c.WEATHER, f"SELECT count(*) AS records FROM ({APPENDED})"),
     "preview": c.with_(c.TRIPS, "SELECT * FROM trips ORDER BY trip_id LIMIT 2"),

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waitspark.functions.hashing import in_hash_sample
-from waitspark.operators.sampling import sample
+from waitspark.operators.sampling import hash_sample, sample
 from waitspark.schema import SEED, WEATHER_SCHEMA, ZONE_SCHEMA
 
 # Quotes inside a cell are doubled, as spreadsheets and pandas write and read them.
@@ -23,25 +25,21 @@ def read_trips(
     fraction: float | None = None,
     seed: int = SEED,
     file: str | None = None,
+    row: str | None = None,
 ) -> DataFrame:
     """All entries of ``path`` whose names end in ``.parquet`` as one table, matched by name.
 
     An entry is a file or a directory of files; partition columns of a directory are kept. A column
     that an entry lacks is null there, and numbers of different width widen. With a ``schema``
-    wanted, the result has its columns and types. ``file`` names a column for each row's file.
+    wanted, the result has its columns and types. ``file`` and ``row`` name columns for each row's file and
+    its place there, by which ``sample_files`` draws from each file the same rows however it is split.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    entries = [e for p in paths for e in parquet_entries(spark, p)]
-    by_schema: dict[str, list[str]] = {}
-    reader = lambda: spark.read.options(mergeSchema=True, pathGlobFilter="*.parquet")
-    for entry in entries:
-        kinds = reader().parquet(entry).dtypes
-        by_schema.setdefault(str(sorted(kinds)) if "=" not in entry else entry, []).append(entry)
     parts = []
-    for same in by_schema.values():
-        part = reader().parquet(*same)
-        if file:
-            part = part.withColumn(file, F.col("_metadata.file_path"))
+    for part in _tables(spark, [e for p in paths for e in parquet_entries(spark, p)]):
+        for name, source in ((file, "file_path"), (row, "row_index")):
+            if name:
+                part = part.withColumn(name, F.col(f"_metadata.{source}"))
         parts.append(part)
     trips = parts[0]
     for part in parts[1:]:
@@ -51,21 +49,47 @@ def read_trips(
         columns = [
             (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
         ]
-        trips = trips.select(*columns, *([file] if file else []))
+        trips = trips.select(*columns, *[name for name in (file, row) if name])
     return sample(trips, fraction, seed)
 
 
-def parquet_entries(spark: SparkSession, path: str) -> list[str]:
-    """The entries of a folder that end in ``.parquet``; the path itself where it is one or has none."""
+def _tables(spark: SparkSession, entries: Sequence[tuple[str, bool]]) -> list[DataFrame]:
+    """The entries as few tables: plain files whose columns go together are one, whose schema one job finds."""
+
+    def read(*names: str) -> DataFrame:
+        return spark.read.options(mergeSchema=True, pathGlobFilter="*.parquet").parquet(*names)
+
+    files = [name for name, folder in entries if not folder and "=" not in name]
+    parts, rest = [], [name for name, folder in entries if folder or "=" in name]
+    if files:
+        try:
+            parts.append(read(*files))
+        except (Py4JJavaError, PySparkException) as error:
+            if "CANNOT_MERGE" not in str(error):
+                raise
+            rest = files + rest
+    by_schema: dict[str, list[str]] = {}
+    for name in rest:
+        kinds = str(sorted(read(name).dtypes))
+        by_schema.setdefault(name if "=" in name else kinds, []).append(name)
+    # Folders with partition columns of their own stand by themselves.
+    return parts + [read(*same) for same in by_schema.values()]
+
+
+def parquet_entries(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(name, whether it is a folder) of a folder's entries that end in ``.parquet``; of ``path`` where it is one or has none."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if folder.getName().endswith(".parquet"):
-        return [path]
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [s.getPath() for s in system.listStatus(folder)]
-    names = sorted(p.toString() for p in found if p.getName().endswith(".parquet") and p.getName()[0] not in "._")
-    # Files of one Spark write share their schema: they are one entry, the folder.
-    written = [n for n in names if n.rpartition("/")[2].startswith("part-")]
-    return [path] if not names or len(written) == len(names) else names
+    if folder.getName().endswith(".parquet"):
+        return [(path, system.getFileStatus(folder).isDirectory())]
+    found = [(s.getPath(), s.isDirectory()) for s in system.listStatus(folder)]
+    names = [(p.toString(), d) for p, d in found if p.getName().endswith(".parquet") and p.getName()[0] not in "._"]
+    return sorted(names) or [(path, True)]
+
+
+def sample_files(trips: DataFrame, fraction: float, file: str = "file_path", row: str = "row_index") -> DataFrame:
+    """A share of each file's rows, drawn by the row's place in its file."""
+    return hash_sample(trips, [file, row], fraction)
 
 
 def file_counts(

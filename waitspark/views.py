@@ -164,3 +164,15 @@ def weather_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" "), F.col("date"), F.lit(" ")).alias("link_text"),
         F.concat(F.lit(PAGE_HEAD), body, F.lit(PAGE_TAIL)).alias("html"),
     )
+
+
+def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a table whose second row holds another table in a cell, and an unclosed third row."""
+    number = F.col("page_id").cast("string")
+    parts = [
+        F.lit('<p>before</p><TABLE class="x" id="outer"><tbody><tr><th>page</th><td>'), number,
+        F.lit('</td></tr><tr class="r"><td>links</td><td><table><tr><td>'), F.col("url"),
+        F.lit("</td></tr><tr><td>x</td></tr></table></td><td>z"), (F.col("page_id") % 7).cast("string"),
+        F.lit("</td></tr><tr><td>last</td></tbody></TABLE><table><tr><td>after</td></tr></table>"),
+    ]
+    return table(spark, sf_dir, "pages").select("page_id", F.concat(*parts).alias("html"))
