@@ -31,6 +31,8 @@ from waitspark.llm.common import text_or_empty
 
 #: Characters of a text that is encoded in one call, and of the parts of longer ones.
 LONG = 16_384
+#: Rows whose results a task holds at a time.
+TOGETHER = 500
 #: White space characters that the library's matcher takes in one run.
 RUN = 1_024
 #: The characters with the Unicode property White_Space.
@@ -119,6 +121,13 @@ def _shared(df: DataFrame, rank_file: str | None):
         return df.sparkSession.sparkContext.broadcast(lines.read())
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``TOGETHER`` rows, so that a task holds the results of a few at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, TOGETHER):
+            yield batch.slice(start, TOGETHER)
+
+
 def encode(
     docs: DataFrame,
     rank_file: str | None = None,
@@ -144,7 +153,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(lines.value, pattern)
-        for batch in batches:
+        for batch in _slices(batches):
             texts = batch.column(batch.num_columns - 1).cast(pa.binary())
             found = [bpe.encode(value.as_py().decode(errors="replace")) for value in texts]
             sizes = [len(ids) for ids in found]
@@ -173,7 +182,7 @@ def decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(lines.value, pattern)
-        for batch in batches:
+        for batch in _slices(batches):
             found = [None if x is None else bpe.decode(x) for x in map(numbers, batch.column(place))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*kept, into])
 
