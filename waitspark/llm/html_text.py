@@ -2,18 +2,21 @@
 
 1. A page becomes blocks of tokens, each in a region: ``article`` (inside article or main elements),
    ``furniture`` (inside menus, headers, footers, sidebars, notices, adverts, forms, comments, by element,
-   role, class or id), or ``open``. Class and id names count whole, with endings like -box. An article or
-   main inside a form or a wrapper that only its class or id marks is an article all the same.
+   role, class or id), or ``open``. Class and id names are taken apart at hyphens, digits and capitals, and a part
+   such as comments or footer decides; see ``_furniture_names`` for what speaks against it. An article or
+   main inside a form or a wrapper that only its class or id marks is an article all the same, but not inside
+   comments, adverts, sidebars and lists of related pages.
 2. The token streams of a host's pages are one text whose suffixes are ordered by their first ``RUN``
    tokens: prefix doubling names each suffix's first 1, 2, 4, ... tokens, and suffixes of one name form an
    interval of the host's suffix array. Intervals are found by grouping (host, name), so no host is
    ever in one task, and the grouping combines inside the tasks. A suffix ends with its block, so
    a block shorter than ``RUN`` is a suffix of its own; every block is also named whole.
-3. An interval is boilerplate if it has suffixes outside articles on at least two different pages of
-   the host, and more of them outside articles than inside. Copies of a page are one page.
+3. An interval is boilerplate if it has suffixes outside articles on at least two pages of the host that
+   differ in their own text and on at least ``SHARE`` of the host's pages, and on more pages outside
+   articles than inside. Pages that differ only in furniture or title do not make their text boilerplate.
 4. A page that has an article consists of its article blocks, whole: text inside an article stays even if it
    repeats, as articles may share passages. Any other page consists of its open blocks without the tokens
-   that boilerplate suffixes cover; their unique runs stay. Blocks are joined in page order.
+   that boilerplate suffixes cover; their unique runs stay. A page that would lose all its paragraphs keeps them. Blocks are joined in page order.
 
 Null html is
 an empty page with empty text; null urls share one host. Repeated rows get equal texts. Empty input gives
@@ -22,8 +25,10 @@ an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,9 +43,13 @@ from waitspark.workspace import materialize
 
 #: Tokens that make a repeated run; a power of two.
 RUN = 8
+#: Boilerplate stands on at least this share of a host's pages.
+SHARE = 0.1
+#: Tokens of a block that is prose.
+PARAGRAPH = 20
 
 # HTML's own element names, by what they mean here.
-RAW = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "textarea", "title")
+RAW = ("script", "style", "noscript", "template", "svg", "iframe", "object", "textarea", "title")
 FURNITURE_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "head", "fieldset"}
 ARTICLE_TAGS = {"article", "main"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -53,16 +62,26 @@ LOOSE = {"p", "li", "dt", "dd", "tr", "td", "th", "option", "h1", "h2", "h3", "h
 FURNITURE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 #: Those whose elements often hold articles that are not the page's.
 COMMENT_WORDS = {"comment", "comments", "disqus", "respond", "related", "sidebar", "promo", "promotion", "ad", "ads", "widget", "sponsored"}
+#: Words that make a name one of furniture whatever stands beside them, as in reader-comments or pageFooter.
 FURNITURE_WORDS = {
-    "ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent",
-    "cookie", "cookies", "disqus", "footer", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter",
-    "notice", "notices", "pager", "pagination", "popup", "promo", "promotion", "related", "respond", "share", "sharing", "sidebar",
-    "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
+    "ad", "ads", "advert", "adverts", "advertisement", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie",
+    "cookies", "disqus", "footer", "header", "masthead", "nav", "navbar", "navigation", "newsletter", "popup", "promo", "promotion",
+    "related", "respond", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe",
 }
+#: Words that do so only beside others of furniture or of layout.
+LESSER_WORDS = {"banner", "menu", "modal", "notice", "notices", "pager", "pagination", "toolbar", "widget"}
+#: After these, or in names that begin so, a word speaks of something else: has-sidebar, category-social.
+OTHERWISE = {"has", "with", "no", "without", "not"}
+TOPICS = {"category", "tag", "type", "format", "status"}
+#: An element named so as well holds the page rather than a part of it.
+LAYOUT = {"layout", "page", "grid", "columns", "wrapper", "container", "body"}
+#: Inside an article a header is the article's own, and what is related is its subject unless it is a list of these.
+OWN_WORDS = {"header", "related"}
+LISTED = {"posts", "articles", "stories", "links", "items", "content", "reading", "news", "topics"}
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?:svg|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
+    r"|<svg\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
     rf"|<(?P<raw>{'|'.join(RAW)})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*(?:>|\Z)"
@@ -70,12 +89,13 @@ _TAG = re.compile(
     re.IGNORECASE | re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-#: What a furniture word may have beside it in a name; any other part, as in has-sidebar, speaks of something else.
-FURNITURE_PARTS = FURNITURE_WORDS | {
+#: What a lesser word may have beside it in a name; any other part speaks of something else.
+FURNITURE_PARTS = FURNITURE_WORDS | LESSER_WORDS | {
     "area", "bar", "block", "box", "buttons", "button", "container", "content", "form", "inner", "items", "left", "links", "list", "main",
     "mobile", "outer", "panel", "primary", "right", "secondary", "section", "site", "slot", "top", "bottom", "unit", "wrap", "wrapper",
 }
-_NAME_PART = re.compile(r"[a-z]+")
+#: Parts of a name: at hyphens and the like, digits, and where small letters meet a capital.
+_NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 #: MARKED is furniture that an article inside ends: by class or id, or a form.
 OPEN, ARTICLE, FURNITURE, MARKED = 0, 1, 2, 3
@@ -87,13 +107,27 @@ class Block:
     tokens: list[str]
 
 
-def _names_furniture(names: str) -> bool:
-    """Whether one of the class names or ids is made of furniture words and such parts as they come with."""
+def _furniture_names(names: str, article: bool, inside: bool) -> tuple[bool, bool]:
+    """(whether a class name or id is one of furniture, and one of an element whose articles are not the page's).
+
+    ``article``: the element is an article itself, whose names tell its subject too, so only names made of
+    nothing but furniture count. ``inside``: it stands in an article.
+    """
+    furniture = foreign = False
     for name in names.split():
-        parts = _NAME_PART.findall(name)
-        if FURNITURE_WORDS.intersection(parts) and FURNITURE_PARTS.issuperset(parts):
-            return True
-    return False
+        parts = [p.lower() for p in _NAME_PART.findall(name)]
+        if not parts or parts[0] in TOPICS or OTHERWISE.intersection(parts):
+            continue
+        words = FURNITURE_WORDS.intersection(parts)
+        if inside and not LISTED.intersection(parts):
+            words -= OWN_WORDS
+        made = FURNITURE_PARTS.issuperset(parts)
+        if (article or not words) and not (made and (words or LESSER_WORDS.intersection(parts))):
+            if not (article and words & COMMENT_WORDS):
+                continue
+        furniture = True
+        foreign = foreign or bool(COMMENT_WORDS.intersection(parts)) and not LAYOUT.intersection(parts)
+    return furniture, foreign
 
 
 def _own_region(name: str, attributes: str, above: int) -> int:
@@ -103,19 +137,21 @@ def _own_region(name: str, attributes: str, above: int) -> int:
     role = words = ""
     article = name in ARTICLE_TAGS
     if attributes:
-        for key, a, b, c in _ATTRIBUTE.findall(attributes.lower()):
-            value = a or b or c
+        for key, a, b, c in _ATTRIBUTE.findall(attributes):
+            key, value = key.lower(), a or b or c
             if key == "role":
-                role = value.strip()
+                role = value.strip().lower()
             elif key in ("class", "id"):
                 words += " " + value
             elif key == "itemprop":
-                article = article or value == "articlebody"
+                article = article or value.lower() == "articlebody"
     if role in FURNITURE_ROLES or (name in FURNITURE_TAGS - {"form"} and not (name == "header" and above == ARTICLE)):
         return FURNITURE
-    if name not in ("body", "html", "main") and _names_furniture(words):
-        # Comments hold articles of their own, which are none of the page.
-        return FURNITURE if name in ARTICLE_TAGS or above == ARTICLE or COMMENT_WORDS.intersection(_NAME_PART.findall(words)) else MARKED
+    if words and name not in ("body", "html", "main"):
+        furniture, foreign = _furniture_names(words, name in ARTICLE_TAGS, above == ARTICLE)
+        if furniture:
+            # Comments hold articles of their own, which are none of the page.
+            return FURNITURE if foreign or name in ARTICLE_TAGS or above == ARTICLE else MARKED
     if name == "form":
         return FURNITURE if above == ARTICLE else MARKED
     return ARTICLE if article or role == "main" else above
@@ -126,8 +162,14 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     pieces: list[str] = []
     stack: list[tuple[str, int]] = []
+    #: How many elements of a name are open, so an end tag without its start costs nothing.
+    opened: Counter[str] = Counter()
     region = OPEN
 
+    def cut(length: int) -> None:
+        opened.subtract(name for name, _ in stack[length:])
+        del stack[length:]
+
     def close() -> None:
         tokens = entities.unescape("".join(pieces)).split()
         pieces.clear()
@@ -151,35 +193,39 @@ def blocks(page: str) -> list[Block]:
             if not match["end"] and name in ("a", "span", "label") and "=" in attributes and _own_region(name, attributes, region) in (FURNITURE, MARKED) and region not in (FURNITURE, MARKED):
                 close()
                 stack.append((name, region := FURNITURE))
+                opened[name] += 1
             elif match["end"] and stack and stack[-1][0] == name:
                 close()
-                stack.pop()
+                cut(len(stack) - 1)
                 region = stack[-1][1] if stack else OPEN
             continue
         close()
         if name in VOID:
             continue
         if match["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+            if opened[name] > 0:
+                last = len(stack) - 1
+                while stack[last][0] != name:
+                    last -= 1
+                cut(last)
             region = stack[-1][1] if stack else OPEN
             continue
         if name == "body":
             # The body ends a head whose end is left out.
             stack = [x for x in stack if x[0] != "head"]
+            opened["head"] = 0
             region = stack[-1][1] if stack else OPEN
         own = _own_region(name, match["attributes"], region)
         if name in LOOSE:
             # A paragraph ends one before it; it needs a place only if it is furniture itself.
             while stack and stack[-1][0] in LOOSE:
-                stack.pop()
+                cut(len(stack) - 1)
             region = stack[-1][1] if stack else OPEN
             own = _own_region(name, match["attributes"], region)
             if own == region:
                 continue
         stack.append((name, own))
+        opened[name] += 1
         region = own
     rest = page[at:]
     pieces.append(rest)
@@ -215,24 +261,25 @@ def suffixes(page: list[Block], cache: WordHashes) -> list[tuple[int, np.ndarray
 
 
 def kept_text(page: list[Block], boilerplate: set[int]) -> str:
-    """The page's text once the names in ``boilerplate`` are known."""
+    """The page's text once the names in ``boilerplate`` are known.
+
+    If no block of at least ``PARAGRAPH`` tokens would be left, the open blocks that had so many stay whole:
+    some other page has all this page's text, so it is a copy with other trimmings.
+    """
     wanted = ARTICLE if any(b.region == ARTICLE for b in page) else OPEN
+    own = [b.tokens for b in page if b.region == wanted]
+    if wanted == ARTICLE or not boilerplate:
+        return " ".join(t for tokens in own for t in tokens)
     cache = WordHashes()
-    parts: list[str] = []
-    for block in page:
-        if block.region != wanted:
-            continue
-        tokens = block.tokens
-        if boilerplate and wanted == OPEN:
-            names = suffixes([block], cache)[0][1].tolist()
-            if names[0] in boilerplate:
-                continue
-            covered = [i for i, n in enumerate(names[1:]) if n in boilerplate]
-            if covered:
-                gone = {i + k for i in covered for k in range(RUN)}
-                tokens = [t for i, t in enumerate(tokens) if i not in gone]
-        parts.extend(tokens)
-    return " ".join(parts)
+    kept: list[list[str]] = []
+    for tokens in own:
+        names = suffixes([Block(OPEN, tokens)], cache)[0][1].tolist()
+        covered = [i for i, n in enumerate(names[1:]) if n in boilerplate]
+        gone = {i + k for i in covered for k in range(RUN)}
+        kept.append([] if names[0] in boilerplate else [t for i, t in enumerate(tokens) if i not in gone])
+    if not any(len(tokens) >= PARAGRAPH for tokens in kept):
+        kept = [whole if len(whole) >= PARAGRAPH else left for whole, left in zip(own, kept)]
+    return " ".join(t for tokens in kept for t in tokens)
 
 
 def _pages(pages: DataFrame) -> DataFrame:
@@ -243,7 +290,7 @@ def _pages(pages: DataFrame) -> DataFrame:
 
 
 def names_of(rows: DataFrame) -> DataFrame:
-    """(host, page, name, inside): every suffix of every block, with its page's digest."""
+    """(host, page, name, inside): the suffixes of a page's blocks, each once, with a digest of the page's own text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
@@ -259,24 +306,32 @@ def names_of(rows: DataFrame) -> DataFrame:
                     column.clear()
                 return out
 
-            for h, k, page in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for region, names in suffixes(blocks(page), cache):
-                    host.extend([h] * len(names))
-                    key.extend([k] * len(names))
-                    name.append(names)
-                    inside.extend([region == ARTICLE] * len(names))
+            for h, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                page = blocks(html)
+                own = " ".join(t for b in page if b.region in (OPEN, ARTICLE) for t in b.tokens)
+                digest = hashlib.md5(own.encode()).hexdigest()
+                found = suffixes(page, cache)
+                for within in (False, True):
+                    names = [n for region, n in found if (region == ARTICLE) == within]
+                    if names:
+                        unique = np.unique(np.concatenate(names))
+                        host.extend([h] * len(unique))
+                        key.extend([digest] * len(unique))
+                        name.append(unique)
+                        inside.extend([within] * len(unique))
                 if len(host) > 50_000:
                     yield emit()
             if host:
                 yield emit()
 
-    return rows.select("host", "key", "html").mapInArrow(run, "host string, page string, name long, inside boolean")
+    return rows.select("host", "html").mapInArrow(run, "host string, page string, name long, inside boolean")
 
 
 def boilerplate(rows: DataFrame) -> DataFrame:
     """(host, name) of the intervals that are boilerplate."""
     out = ~F.col("inside")
-    return (
+    pages = rows.groupBy(F.col("host").alias("_host")).agg(F.count("*").alias("pages"))
+    found = (
         names_of(rows)
         .groupBy("host", "name")
         .agg(
@@ -286,8 +341,9 @@ def boilerplate(rows: DataFrame) -> DataFrame:
             F.count(F.when(F.col("inside"), 1)).alias("inside"),
         )
         .filter((F.col("first") != F.col("last")) & (F.col("outside") > F.col("inside")))
-        .select("host", "name")
     )
+    common = found.join(materialize(pages, "host-pages"), F.col("host") == F.col("_host"))
+    return common.filter(F.col("outside") >= F.col("pages") * SHARE).select("host", "name")
 
 
 def concerned(rows: DataFrame) -> DataFrame:
