@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fixtures import ROWS, docs, labels, lower_words, plain
@@ -296,3 +297,82 @@ def test_pipeline_on_empty_tables(spark, tmp_path):
     docs(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     labels(spark, []).write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["post-comments", "user-comments", "reader-comments", "comment-thread", "related-posts", "newsletter-signup", "page-footer",
+     "page-header", "ad-300x250", "promo-card", "global-nav", "social-icons", "cookieConsent", "sidebarWidget", "pageFooter", "notice-box"],
+)
+def test_names_of_furniture(name):
+    page = f"<div><p>text one</p><div class='{name}'><p>gone</p></div><p id='{name}'>gone</p></div>"
+    assert html_text.kept_text(html_text.blocks(page), set()) == "text one"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article>a</article><div class='reader-comments'><article>b</article></div><div class='related-articles'><article>c</article></div>", "a"),
+        ("<div class='main-sidebar-layout'><article>a</article></div>", "a"),
+        ("<article class='post category-social type-post has-sidebar'>a</article>", "a"),
+        ("<article class='related-post'>b</article><article>a</article>", "a"),
+        ("<article>x <math>y</math> z</article>", "x y z"),
+        ("<article>a<ul class='related-posts'><li>b</ul></article>", "a"),
+    ],
+)
+def test_articles_of_the_page_and_others(page, text):
+    assert html_text.kept_text(html_text.blocks(page), set()) == text
+
+
+def test_stray_end_tags_cost_nothing():
+    import time
+
+    start = time.process_time()
+    assert html_text.kept_text(html_text.blocks("<div>" * 60_000 + "x</p>" * 30_000), set()).count("x") == 30_000
+    assert time.process_time() - start < 10
+
+
+def extracted(spark, rows):
+    found = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return {r["page_id"]: r["text"] for r in found}
+
+
+def test_pages_alike_but_for_title_or_date_keep_their_text(spark):
+    body = " ".join(f"word{k}" for k in range(60))
+    rows = [(i, f"http://t.example/{i}", f"<title>{i}</title><div><p>{body}</p></div>") for i in range(2)]
+    rows += [(10 + i, f"http://d.example/{i}", f"<div>{i} May</div><div><p>{body}</p></div>") for i in range(2)]
+    got = extracted(spark, rows)
+    assert got[0] == got[1] == body
+    assert all(body in got[10 + i] for i in range(2))
+
+
+def test_a_passage_of_a_few_pages_stays_and_the_menu_of_all_goes(spark):
+    quote = " ".join(f"q{k}" for k in range(55))
+    rows, wanted = [], {}
+    for i in range(30):
+        page, body = open_page(i)
+        extra = quote if i < 2 else ""
+        rows.append((i, f"http://h.example/{i}", page.replace("</body>", f"<p>{extra}</p></body>")))
+        wanted[i] = f"{body} {extra}".strip()
+    assert extracted(spark, rows) == wanted
+
+
+def test_own_names_of_operators_may_be_columns(spark):
+    from waitspark.llm import exact_dedup, mixing, sentencepiece_codec
+
+    names = ["_key", "_copies", "_twins", "_copy", "_sha", "_id", "_digest", "_i", "_d", "_row", "_stay", "_least", "_text", "_source", "size", "copies"]
+    rows = docs(spark).withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for operator in (mixing.mix, exact_dedup.deduplicate, jaccard_join.one_of_each, sentencepiece_codec.encode):
+        out = operator(rows)
+        assert set(rows.columns) <= set(out.columns)
+        for r in out.filter("doc_id IS NOT NULL").collect():
+            assert all(r[n] == f"{n}{r['doc_id']}" for n in names), operator
+
+
+def test_row_keys_do_not_collide(spark):
+    from waitspark.llm.mixing import row_key
+
+    rows = spark.createDataFrame(
+        [("a\x1f=b", "c"), ("a", "b\x1f=c"), ("a", "=b"), (None, "-"), ("-", None), ("1:a", ""), ("", "1:a"), (None, None)], "x string, y string"
+    )
+    assert rows.select(row_key(rows).alias("k")).distinct().count() == 8

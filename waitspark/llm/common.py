@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -37,6 +37,18 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def free_names(taken: Iterable[str], *names: str) -> list[str]:
+    """``names`` with underscores added until none is in ``taken``, in any case of letters."""
+    known = {t.lower() for t in taken}
+    found = []
+    for name in names:
+        while name.lower() in known:
+            name += "_"
+        known.add(name.lower())
+        found.append(name)
+    return found
+
+
 def fold(doc_id: str, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % mod

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waitspark.llm.common import SPACE, text_or_empty
+from waitspark.llm.common import SPACE, free_names, text_or_empty
 from waitspark.workspace import materialize
 
 EXTRA_BITS = 8
@@ -181,17 +181,16 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     The row that stays is fetched by (doc_id, digest); of rows equal in both, any one stays.
     """
     found = materialize(classes(docs), "classes")
-    stay = found.filter("kept AND group_size > 1").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")
-    )
-    digest = F.sha2(normalised(), 256)
-    keyed = docs.withColumn("_sha", digest)
-    dropped = found.filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest"))
+    sha, own, digest, other, second = free_names([*docs.columns, "doc_id"], "_sha", "_id", "_digest", "_i", "_d")
+    stay = found.filter("kept AND group_size > 1").select(F.col("doc_id").alias(own), F.col("text_sha256").alias(digest))
+    keyed = docs.withColumn(sha, F.sha2(normalised(), 256))
+    dropped = found.filter("NOT kept").select(F.col("doc_id").alias(own), F.col("text_sha256").alias(digest)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(sha) == F.col(digest))
     rest = keyed.join(dropped, same, "left_anti")
     # A repeated row is both dropped and kept: one of its twins comes back.
-    twins = stay.join(dropped.withColumnsRenamed({"_id": "_i", "_digest": "_d"}), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_digest") == F.col("_d")), "left_semi")
-    back = keyed.join(twins, same, "left_semi").dropDuplicates(["doc_id", "_sha"])
+    again = dropped.withColumnsRenamed({own: other, digest: second})
+    twins = stay.join(again, F.col(own).eqNullSafe(F.col(other)) & (F.col(digest) == F.col(second)), "left_semi")
+    back = keyed.join(twins, same, "left_semi").dropDuplicates(["doc_id", sha])
     return rest.unionByName(back).select(*docs.columns)
 
 

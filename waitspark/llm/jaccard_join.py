@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waitspark.llm.common import WordHashes, binary_texts, mix64, text_or_empty
+from waitspark.llm.common import WordHashes, binary_texts, free_names, mix64, text_or_empty
 from waitspark.llm.components import components
 from waitspark.llm.kneser_ney import chain, names, text_hashes
 from waitspark.llm.mixing import row_key
@@ -275,7 +275,8 @@ def join_components(
     discard(shown)
     wanted = classes.select("cid", "sig", "n", "least").join(left, "cid", "left_semi")
     wanted = materialize(wanted, "wanted")
-    texts = docs.join(wanted.select(F.col("least").alias("_least")).distinct(), F.col("doc_id").eqNullSafe(F.col("_least")), "left_semi")
+    texts = docs.select("doc_id", "text")
+    texts = texts.join(wanted.select(F.col("least").alias("_least")).distinct(), F.col("doc_id").eqNullSafe(F.col("_least")), "left_semi")
     members = sets(texts, True, shingle=shingle, percent=percent).select(F.col("sig").alias("_sig"), "tokens", "sketch")
     members = members.join(wanted, F.col("_sig") == F.col("sig"))
     members = members.groupBy("cid", "n").agg(F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"))
@@ -310,12 +311,13 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     Rows without words are components of their own and all stay. Rows are told apart by a digest of all
     columns, so rows that share an id do not stand for each other; twins equal in all columns count once.
     """
-    keyed = docs.withColumn("_row", row_key(docs))
-    found = materialize(join_components(keyed, "_row", shingle=shingle, percent=percent), "join-rows")
+    row, mark = free_names([*docs.columns, "doc_id"], "_row", "_stay")
+    keyed = docs.withColumn(row, row_key(docs))
+    found = materialize(join_components(keyed, row, shingle=shingle, percent=percent), "join-rows")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_key")))
     stay = found.filter("comp IS NOT NULL").groupBy("comp").agg(least.alias("least"))
-    stay = materialize(stay.select(F.col("least._key").alias("_stay")), "stay")
-    wordless = found.filter("comp IS NULL").select(F.col("_key").alias("_stay")).distinct()
-    one = keyed.join(stay, F.col("_row") == F.col("_stay"), "left_semi").dropDuplicates(["_row"])
-    rest = keyed.join(wordless, F.col("_row") == F.col("_stay"), "left_semi")
+    stay = materialize(stay.select(F.col("least._key").alias(mark)), "stay")
+    wordless = found.filter("comp IS NULL").select(F.col("_key").alias(mark)).distinct()
+    one = keyed.join(stay, F.col(row) == F.col(mark), "left_semi").dropDuplicates([row])
+    rest = keyed.join(wordless, F.col(row) == F.col(mark), "left_semi")
     return one.unionByName(rest).select(*docs.columns)

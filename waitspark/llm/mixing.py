@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waitspark.functions.hashing import hash_unit
-from waitspark.llm.common import WORD, text_or_empty
+from waitspark.llm.common import WORD, free_names, text_or_empty
 from waitspark.workspace import materialize
 
 #: Weights of the sources in code point order, repeating.
@@ -106,25 +106,34 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_COPI
     Rows are told apart by their place in the input, read from a written copy of the key columns'
     hash, so that repeated ids do not multiply each other.
     """
-    keyed = docs.withColumn("_key", row_key(docs))
-    copies = plan(keyed, ["_key"], weights, cap)
+    key, number, twins, copy = free_names(docs.columns, "_key", "_copies", "_twins", "_copy")
+    keyed = docs.withColumn(key, row_key(docs))
+    copies = plan(keyed, [key], weights, cap)
     # Twins (equal in all columns) share a key: their copies are summed and dealt to each in turn.
-    dealt = copies.groupBy("_key").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_twins"))
-    dealt = materialize(dealt.filter("_copies > 0"), "mix-copies")
-    one = keyed.join(dealt, "_key")
-    twins = dealt.filter("_twins > 1").limit(1).count()
-    if twins:
+    dealt = copies.groupBy(key).agg(F.sum("copies").alias(number), F.count("*").alias(twins))
+    dealt = materialize(dealt.filter(F.col(number) > 0), "mix-copies")
+    one = keyed.join(dealt, key)
+    if dealt.filter(F.col(twins) > 1).limit(1).count():
         # Rows equal in every column are interchangeable: keep one of each and emit it for all.
-        single = one.filter("_twins = 1")
-        many = one.filter("_twins > 1").dropDuplicates(["_key"])
+        single = one.filter(F.col(twins) == 1)
+        many = one.filter(F.col(twins) > 1).dropDuplicates([key])
         one = single.unionByName(many)
-    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    return one.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(number).cast("int")))).select(*docs.columns)
 
 
 def row_key(docs: DataFrame) -> Column:
-    """A digest of all columns: equal for equal rows, else different."""
-    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in docs.columns]
-    return F.sha2(F.concat_ws("\x1f", *parts), 256)
+    """A digest of all columns: equal for equal rows, else different.
+
+    Each value goes in with its length, so no value can reach into the next.
+    """
+    parts = []
+    for field in docs.schema.fields:
+        value = F.col(f"`{field.name}`")
+        nested = field.dataType.typeName() in ("array", "map", "struct", "variant")
+        text = F.to_json(F.struct(value)) if nested else value.cast("string")
+        sized = F.concat(F.octet_length(text).cast("string"), F.lit(":"), text)
+        parts.append(F.coalesce(F.when(value.isNotNull(), sized), F.lit("-")))
+    return F.sha2(F.concat(*parts), 256)
 
 
 def op3(docs: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waitspark.llm.common import binary_texts, text_or_empty
+from waitspark.llm.common import binary_texts, free_names, text_or_empty
 
 MARK = "▁"
 #: Stands for a mark that the text itself holds; U+FFFF is no character, so no piece has it.
@@ -203,7 +203,7 @@ def encode(docs: DataFrame, model_file: str | None = None, text: str = "text", c
     """``carry`` (all columns if None) with ids, n_tokens and score; columns of those names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(load_pieces(model_file or default_model()))
     kept = [c for c in (docs.columns if carry is None else carry) if c not in ("ids", "n_tokens", "score")]
-    rows = docs.select(*kept, text_or_empty(text).alias("_text"))
+    rows = docs.select(*kept, text_or_empty(text).alias(free_names(kept, "_text")[0]))
     schema = _with(
         docs.select(*kept).schema,
         T.StructField("ids", T.ArrayType(T.IntegerType(), False), False),

@@ -12,9 +12,10 @@ Labels come only from rows with crc32(doc_id as text) mod 5 not 0; of these, rem
 logistic fit. Models are fitted on at most ``FIT_ROWS`` and ``CALIBRATION_ROWS`` documents of each
 class, those of the smallest hash of their id. Language, source, id and labels are no inputs of a score.
 
-Null text counts as empty; a text without words gets the share of toxic training labels as its score. A
+Null text counts as empty; a text without words has all features 0, so it scores as the
+logistic fit does without evidence. A
 label given twice counts as its larger value, a null label is none. Repeated rows score alike. If one
-class has no labels, every score is that share. Empty input gives an empty result.
+class has no labels, every score is the share of toxic training labels. Empty input gives an empty result.
 """
 
 from __future__ import annotations
