@@ -14,9 +14,7 @@ from hypothesis import strategies as st
 
 from fixtures import ROWS, docs, labels, lower_words, plain
 from waitspark.llm import context_mixing, quality_classifier, sentencepiece_codec, toxicity
-from waitspark.llm.kneser_ney import Table, train
-from waitspark.llm.common import WordHashes
-from waitspark.llm.kneser_ney import text_hashes
+from waitspark.llm.kneser_ney import PLACES, Table, log_probabilities, train
 
 
 def fold(doc_id, mod):
@@ -32,25 +30,93 @@ def test_table_finds_all_and_nothing_else():
     assert (Table.of(keys[:0], np.zeros(0)).get(keys) == 0).all()
 
 
+class PlainKneserNey:
+    """Interpolated modified Kneser-Ney trigrams by the book, in dictionaries."""
+
+    def __init__(self, texts):
+        sequences = [["<s>", "<s>", *words, "</s>"] for words in texts if words]
+        tri = Counter(tuple(s[i - 2 : i + 1]) for s in sequences for i in range(2, len(s)))
+        bi = Counter(t[1:] for t in tri)
+        uni = Counter(t[1:] for t in bi)
+        self.levels = [self.level(c) for c in (uni, bi, tri)]
+        self.uniform = 1 / (len(uni) + 1)
+
+    @staticmethod
+    def level(counts):
+        n1, n2, n3, n4 = (sum(c == i for c in counts.values()) for i in (1, 2, 3, 4))
+        if n1 and n2:
+            y = n1 / (n1 + 2 * n2)
+            d = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 0]
+            d[2] = 3 - 4 * y * n4 / n3 if n3 else d[1]
+            d = [min(max(x, 0.05), i - 0.05) for i, x in enumerate(d, 1)]
+        else:
+            d = [0.5, 0.75, 0.9]
+        total, given = Counter(), Counter()
+        for gram, c in counts.items():
+            total[gram[:-1]] += c
+            given[gram[:-1]] += d[min(c, 3) - 1]
+        return counts, d, total, given
+
+    def probability(self, gram):
+        if not gram:
+            return self.uniform
+        counts, d, total, given = self.levels[len(gram) - 1]
+        below = self.probability(gram[1:])
+        if not total[gram[:-1]]:
+            return below
+        c = counts[gram]
+        return ((c - d[min(c, 3) - 1] if c else 0) + given[gram[:-1]] * below) / total[gram[:-1]]
+
+    def log_probability(self, words):
+        s = ["<s>", "<s>", *words, "</s>"]
+        grams = [tuple(s[i - 2 : i + 1]) for i in range(2, len(s))] if words else []
+        return sum(math.log(self.probability(g)) for g in grams), sum(g in self.levels[2][0] for g in grams)
+
+
+def zipf_texts(n, seed):
+    rng = random.Random(seed)
+    return [" ".join(f"v{int(rng.paretovariate(0.7))}" for _ in range(rng.randint(0, 60))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("hot_keys", [0, 40, 1 << 20])
+def test_kneser_ney_equals_brute_force(spark, hot_keys):
+    """Whatever part of the model the tasks hold, and for texts longer than what they work on at once."""
+    trusted = zipf_texts(60, 1) + ["", None, "A b"]
+    scored = zipf_texts(50, 2) + trusted + ["never seen words", "b", "", None, " \n", "a b"] + [" ".join(zipf_texts(9500, 3))]
+    model = train(spark.createDataFrame([(t,) for t in trusted], "text string"), hot_keys)
+    df = spark.createDataFrame(list(enumerate(scored)), "row int, text string").repartition(3)
+    got = {r["row"]: r for r in log_probabilities(df, model, ["row"]).collect()}
+    plain_model = PlainKneserNey([lower_words(t) for t in trusted])
+    assert len(got) == len(scored)
+    for i, text in enumerate(scored):
+        log, known = plain_model.log_probability(lower_words(text))
+        assert got[i]["n_words"] == len(lower_words(text)) and got[i]["known"] == known
+        assert got[i]["log_probability"] == pytest.approx(log, rel=1e-5, abs=1e-4)
+    assert len(lower_words(scored[-1])) > PLACES
+
+
 def test_kneser_ney_sums_to_one(spark):
-    text = "a b c a b d a b c b a d c e a b"
-    df = spark.createDataFrame([(text,), ("b c a a e",), (None,)], "text string")
-    model = train(df, 3)
-    vocabulary = sorted(set(text.split()))
-    cache = WordHashes()
-    for history in ("a b", "c a", "e e", "x y"):
-        total = 0.0
-        for w in vocabulary:
-            p, _ = model.probabilities(text_hashes(f"{history} {w}".encode(), cache))
-            total += p[-1]
-        unseen, _ = model.probabilities(text_hashes(f"{history} zzz".encode(), cache))
-        assert total + unseen[-1] == pytest.approx(1.0, abs=1e-6)
+    """The next words, an end and an unseen word share one, after known, half known and unknown words."""
+    trusted = ["a b c a b d a b c b a d c e a b", "b c a a e"]
+    model = PlainKneserNey([t.split() for t in trusted])
+    vocabulary = sorted({w for t in trusted for w in t.split()})
+    for history in (("a", "b"), ("c", "a"), ("e", "e"), ("x", "y"), ("<s>", "<s>")):
+        total = sum(model.probability((*history, w)) for w in [*vocabulary, "</s>", "zzz"])
+        assert total == pytest.approx(1.0, abs=1e-9)
+    # One word more changes the sum by that word's logarithm and the end's: what Spark gives agrees.
+    texts = [f"a b {w}" for w in [*vocabulary, "zzz"]]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = log_probabilities(df, train(spark.createDataFrame([(t,) for t in trusted], "text string")), ["text"])
+    for r in got.collect():
+        assert r["log_probability"] == pytest.approx(model.log_probability(r["text"].split())[0], rel=1e-5)
 
 
 def test_kneser_ney_without_text(spark):
-    model = train(spark.createDataFrame([], "text string"), 3)
-    p, known = model.probabilities(text_hashes(b"a b", WordHashes()))
-    assert (p > 0).all() and not known.any()
+    for nothing in ([], [(None,), ("",), (" ",)]):
+        model = train(spark.createDataFrame(nothing, "text string"))
+        rows = spark.createDataFrame([("a b",), (None,)], "text string")
+        assert [tuple(r)[1:] for r in log_probabilities(rows, model, ["text"]).orderBy("n_words").collect()] == [(0, 0, 0), (2, 0, 0)]
+        assert log_probabilities(rows.limit(0), model, ["text"]).collect() == []
 
 
 def toy_corpus(n=900):

@@ -1,24 +1,35 @@
-"""Counting and looking up word n-grams for Kneser-Ney models.
+"""Counting, joining and looking up word n-grams for Kneser-Ney models.
 
-N-grams are named by 64-bit hashes chained from left to right. Counts are grouped on Spark, each
-shard counting its own keys; finished models come from bounded samples, so their tables may be sent
-to the executors, where a text's n-grams are looked up in arrays.
+N-grams are named by 64-bit hashes chained from left to right. A model stays a Spark table of
+(n-gram, value), sharded by n-gram: the log-probability of a text is a sum of such values over its
+n-grams, so scoring is a join of n-gram counts and a sum by text. Two things of fixed size go to the
+tasks: the most frequent n-grams, which would be hot keys of the join, and a filter of all others.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waitspark.llm.common import WordHashes, binary_texts, hashed, mix64, words_lower
-
-#: Names the place before the first word.
-START = np.uint64(0x5354415254)
+from waitspark.workspace import materialize
+
+#: Names the place before the first word, and the one after the last.
+START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
+#: At most so many model rows, those of the most frequent n-grams, are looked up in the tasks.
+HOT_KEYS = 1 << 20
+#: 64-bit words of the filter that tells which other n-grams the model may hold, and its slices.
+FILTER_WORDS, FILTER_SLICES = 1 << 20, 16
+#: Counts from here on are one when the most frequent n-grams are chosen.
+MOST = 1000
+#: Places of texts that a task works on at once.
+PLACES = 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -103,8 +114,9 @@ class Table:
         # A sentinel after the end, so that a step past the last key needs no test.
         return cls(np.append(keys, np.uint64(0)), np.append(values, 0).astype(np.float32), starts, 64 - bits, longest)
 
-    def get(self, names: np.ndarray, default: float = 0.0) -> np.ndarray:
-        out = np.full(len(names), default, dtype=np.float64)
+    def places(self, names: np.ndarray) -> np.ndarray:
+        """Where each name is; the place after the last key if it is none."""
+        out = np.full(len(names), len(self.keys) - 1)
         if len(self.keys) == 1 or not len(names):
             return out
         head = (names >> np.uint64(self.shift)).astype(np.int64)
@@ -115,12 +127,16 @@ class Table:
                 break
             places = at[open_]
             hit = self.keys[places] == names[open_]
-            out[open_[hit]] = self.values[places[hit]]
+            out[open_[hit]] = places[hit]
             at[open_] += 1
             open_ = open_[~hit]
             open_ = open_[at[open_] < end[open_]]
         return out
 
+    def get(self, names: np.ndarray, default: float = 0.0) -> np.ndarray:
+        at = self.places(names)
+        return np.where(at == len(self.keys) - 1, default, self.values[at].astype(np.float64))
+
 
 def discounts(count_of_counts: dict[int, int]) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts of counts 1, 2 and 3 or more, from how many n-grams have counts 1 to 4."""
@@ -144,58 +160,292 @@ def to_table(df: DataFrame, key: str, value: str) -> Table:
     return Table.of(got.column(0).to_numpy().view(np.uint64), got.column(1).to_numpy())
 
 
+def triples(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word and end of some texts: the text's number, the two words before it, and the word."""
+    edge, last = np.array([START, START]), np.array([END])
+    flat = np.concatenate([part for h in texts for part in (edge, h, last)])
+    sizes = np.array([len(h) + 3 for h in texts])
+    starts = np.cumsum(sizes) - sizes
+    inside = np.ones(len(flat), dtype=bool)
+    inside[starts] = inside[starts + 1] = False
+    at = np.flatnonzero(inside)
+    return np.repeat(np.arange(len(texts)), sizes - 2), flat[at - 2], flat[at - 1], flat[at]
+
+
+def occurrences(texts: DataFrame) -> DataFrame:
+    """w1, w2, w3: a row per word, and end, of the column ``text`` with the two words before it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHashes()
+        for batch in batches:
+            for text in binary_texts(batch.column(0)):
+                h = text_hashes(text, cache)
+                if len(h):
+                    _, *words = triples([h])
+                    for i in range(0, len(words[0]), PLACES):
+                        columns = [pa.array(w[i : i + PLACES].view(np.int64)) for w in words]
+                        yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "w3"])
+
+    return texts.select("text").mapInArrow(run, "w1 long, w2 long, w3 long")
+
+
+def counted(texts: DataFrame) -> DataFrame:
+    """A row per different trigram with all counts that its place in the model needs.
+
+    One shuffle, by the word in the middle: a trigram, the context of its first two words and the bigram
+    of its last two all share that word, so every count but those of single words is local to its shard.
+    n3: occurrences; n2: different words before the bigram; of3, of2: rows' counts in the context of two
+    words and of one; one*, two*, more*: how many of those are 1, 2 and above; first_*: marks one row
+    of each bigram, context and word; seen2, seen1: occurrences of the bigram and of the middle word.
+    """
+    rows = occurrences(texts).repartition("w2").groupBy("w1", "w2", "w3").agg(F.count("*").alias("n3"))
+    context, bigram, middle = Window.partitionBy("w2", "w1"), Window.partitionBy("w2", "w3"), Window.partitionBy("w2")
+
+    def kinds(n: str, only, level: int, window) -> dict[str, Column]:
+        tests = {"one": F.col(n) == 1, "two": F.col(n) == 2, "more": F.col(n) > 2}
+        return {f"{k}{level}": F.sum((t & only).cast("int")).over(window) for k, t in tests.items()}
+
+    rows = rows.withColumns(
+        {"of3": F.sum("n3").over(context), "first_context": F.col("w3") == F.min("w3").over(context)}
+        | kinds("n3", F.lit(True), 3, context)
+    )
+    rows = rows.withColumns(
+        {
+            "n2": F.count("*").over(bigram),
+            "seen2": F.sum("n3").over(bigram),
+            "first_bigram": F.col("w1") == F.min("w1").over(bigram),
+        }
+    )
+    return rows.withColumns(
+        {
+            "of2": F.count("*").over(middle),
+            "seen1": F.sum("n3").over(middle),
+            "first_word": F.col("first_context") & (F.col("w1") == F.min("w1").over(middle)),
+        }
+        | kinds("n2", F.col("first_bigram"), 2, middle)
+    )
+
+
+def count_of_counts(rows: DataFrame, n: str) -> dict[int, int]:
+    of = rows.groupBy(F.least(F.col(n), F.lit(5)).alias("n")).agg(F.count("*").alias("m"))
+    return {r["n"]: r["m"] for r in of.collect()}
+
+
 @dataclass
 class Model:
-    """An interpolated modified Kneser-Ney model: of each order, n-gram weights and context shares."""
-
-    order: int
-    weights: list[Table]
-    shares: list[Table]
-    #: Share of the unigram level that goes to the uniform, and the uniform itself.
-    base_share: float
-    uniform: float
-
-    def probabilities(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each word its probability given the words before, and whether the longest n-gram is known."""
-        grams = names(h, self.order)
-        p = self.weights[0].get(grams[0]) + self.base_share * self.uniform
-        known = np.zeros(len(h), dtype=bool)
-        for n in range(2, self.order + 1):
-            weight = self.weights[n - 1].get(grams[n - 1])
-            known = weight > 0
-            p = weight + self.shares[n - 2].get(before(h, n - 1), 1.0) * p
-        return p, known
-
-
-def train(texts: DataFrame, order: int = 3) -> Model:
-    """A model of the column ``text`` of a bounded table.
-
-    Spark counts each order, every shard its own keys: the highest by its n-grams, each lower one by the
-    different words seen before its n-grams. One order's counts at a time, bounded as the texts are,
-    become tables here.
+    """An interpolated modified Kneser-Ney trigram model, written so that values add up.
+
+    ``rows`` (key, value, longest): a known n-gram adds log P(word | context) less what its shorter
+    form gives, a known context adds the log of the share it leaves to shorter forms. Rows of frequent
+    n-grams are in ``hot`` instead; ``filter`` holds the keys of the others.
+    """
+
+    rows: DataFrame
+    hot: Table
+    hot_longest: np.ndarray
+    filter: np.ndarray
+    #: Log-probability of a word that the model does not know, before any other value.
+    unknown: float
+    #: Written tables behind ``rows``.
+    tables: tuple[DataFrame, ...]
+
+
+def train(texts: DataFrame, hot_keys: int = HOT_KEYS) -> Model:
+    """A model of the column ``text``, each text closed by an end that counts as a word.
+
+    Single words count the different words before them, as bigrams do; texts without words count nothing.
+    """
+    trigrams = materialize(counted(texts), "trigrams")
+    words = trigrams.filter("first_bigram").groupBy("w3").agg(F.count("*").alias("n1"), F.sum("seen2").alias("seen"))
+    words = materialize(words, "model-words")
+    d3 = discounts(count_of_counts(trigrams, "n3"))
+    d2 = discounts(count_of_counts(trigrams.filter("first_bigram"), "n2"))
+    d1 = discounts(count_of_counts(words, "n1"))
+    size = words.agg(F.sum("n1").alias("all"), F.sum(discount(F.col("n1"), d1)).alias("cut"), F.count("*").alias("v")).first()
+    whole = size["all"] or 1
+    unknown = (size["cut"] / whole if size["v"] else 1.0) / (size["v"] + 1)
+
+    p1 = (F.col("n1") - discount(F.col("n1"), d1)) / whole + unknown
+    tables = trigrams, words
+    words = words.select("w3", "seen", p1.alias("p1"))
+
+    def left(level: int, d: tuple[float, float, float]) -> Column:
+        kinds = [F.col(f"{k}{level}") * x for k, x in zip(("one", "two", "more"), d)]
+        return (kinds[0] + kinds[1] + kinds[2]) / F.col(f"of{level}")
+
+    found = trigrams.join(words.select("w3", "p1"), "w3").withColumns({"left2": left(2, d2), "left3": left(3, d3)})
+    found = found.withColumn("p2", (F.col("n2") - discount(F.col("n2"), d2)) / F.col("of2") + F.col("left2") * F.col("p1"))
+    found = found.withColumn("p3", (F.col("n3") - discount(F.col("n3"), d3)) / F.col("of3") + F.col("left3") * F.col("p2"))
+    named = _named(
+        found.select(
+            *("w1", "w2", "w3"),
+            F.ln(F.col("p3") / F.col("left3") / F.col("p2")).alias("v3"),
+            F.when(F.col("first_bigram"), F.ln(F.col("p2") / F.col("left2") / F.col("p1"))).alias("v2"),
+            F.when(F.col("first_context"), F.ln("left3")).alias("c2"),
+            F.when(F.col("first_word"), F.ln("left2")).alias("c1"),
+            *(F.col(n).cast("int") for n in ("n3", "seen2", "of3", "seen1")),
+        )
+    )
+    single = words.select(
+        F.col("w3").alias("key"),
+        F.ln(F.col("p1") / unknown).cast("float").alias("value"),
+        F.lit(False).alias("longest"),
+        F.col("seen").cast("int").alias("seen"),
+    )
+    rows = named.unionByName(single)
+    least = _least_hot(trigrams, words, hot_keys)
+    got = rows.filter(F.col("seen") >= least).select("key", "value", "longest").toArrow()
+    keys, at = np.unique(got.column("key").to_numpy().view(np.uint64), return_inverse=True)
+    hot = Table.of(keys, np.bincount(at, got.column("value").to_numpy(), len(keys)))
+    longest = np.bincount(at, got.column("longest").to_numpy().astype(float), len(keys) + 1) > 0
+    rest = rows.filter(F.col("seen") < least).drop("seen")
+    return Model(rest, hot, longest, key_filter(rest), math.log(unknown), tables)
+
+
+def _named(found: DataFrame) -> DataFrame:
+    """key, value, longest, seen: the trigram of each row, and the bigram, context and word that it stands for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w1, w2, w3 = (batch.column(i).to_numpy().view(np.uint64) for i in range(3))
+            context = chain(w1, w2)
+            for i, name in enumerate((chain(context, w3), chain(w2, w3), context, w2)):
+                value = batch.column(3 + i).cast(pa.float32())
+                there = value.is_valid()
+                keys = pa.array(name.view(np.int64)).filter(there)
+                yield pa.RecordBatch.from_arrays(
+                    [keys, value.filter(there), pa.array(np.full(len(keys), i == 0)), batch.column(7 + i).filter(there)],
+                    names=["key", "value", "longest", "seen"],
+                )
+
+    return found.mapInArrow(run, "key long, value float, longest boolean, seen int")
+
+
+def _least_hot(trigrams: DataFrame, words: DataFrame, hot_keys: int) -> int:
+    """The smallest number of occurrences that at most ``hot_keys`` model rows reach."""
+    marks = {"seen2": "first_bigram", "of3": "first_context", "seen1": "first_word"}
+    seen = F.array(F.col("n3"), *[F.when(F.col(mark), F.col(n)) for n, mark in marks.items()])
+    seen = trigrams.select(F.explode(seen).alias("seen")).filter("seen IS NOT NULL").unionByName(words.select("seen"))
+    of = seen.groupBy(F.least(F.col("seen"), F.lit(MOST)).alias("seen")).agg(F.count("*").alias("n"))
+    least, rows = 2**31 - 1, 0
+    for r in sorted(of.collect(), key=lambda r: -r["seen"]):
+        rows += r["n"]
+        if rows > hot_keys:
+            break
+        least = r["seen"]
+    return least
+
+
+def _bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A key's word of the filter, by its leading bits, and its four bits there, by its last ones."""
+    mask = np.zeros(len(keys), dtype=np.uint64)
+    for i in range(4):
+        mask |= np.uint64(1) << (keys >> np.uint64(6 * i) & np.uint64(63))
+    return (keys >> np.uint64(64 - FILTER_WORDS.bit_length() + 1)).astype(np.int64), mask
+
+
+def key_filter(rows: DataFrame) -> np.ndarray:
+    """A filter of the column ``key``, of fixed size; more keys only mean more false hits. A task fills whole slices."""
+    width = FILTER_WORDS // FILTER_SLICES
+    part = F.shiftrightunsigned("key", 64 - FILTER_SLICES.bit_length() + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at, mask = _bits(batch.column(0).to_numpy().view(np.uint64))
+            for i in np.unique(at // width).tolist():
+                own = at // width == i
+                np.bitwise_or.at(slices.setdefault(i, np.zeros(width, np.uint64)), at[own] % width, mask[own])
+        for i, words in slices.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([words.tobytes()])], names=["slice", "bits"])
+
+    filled = np.zeros(FILTER_WORDS, dtype=np.uint64)
+    keys = rows.select("key").repartition(FILTER_SLICES, part)
+    for r in keys.mapInArrow(run, "slice int, bits binary").toLocalIterator():
+        filled[r["slice"] * width : (r["slice"] + 1) * width] |= np.frombuffer(r["bits"], np.uint64)
+    return filled
+
+
+def log_probabilities(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
+    """``carry``, n_words, log_probability and known (longest n-grams that the model holds) of the column ``text``.
+
+    A task sums what it can look up, and sends its texts' other n-grams, with their counts and where the filter
+    knows them, to the shards that hold their values; sums come back by text. The end of a text counts as
+    a word in all but n_words; a text without words has 0 and 0. Texts are numbered by partition and place, so a
+    repeated task must see the rows in the same order, as it does when they come from files.
     """
-    weights, shares = [], []
-    base_share, words = 1.0, 1
-    for n in range(order, 0, -1):
-        keys = [f"g{n}", f"c{n}"] if n > 1 else ["g1"]
-        rows = ngram_rows(texts, min(n + 1, order))
-        if n < order:
-            rows = rows.select(f"g{n + 1}", *keys).distinct()
-        got = rows.groupBy(*keys).agg(F.count("*").alias("n")).toArrow()
-        grams = got.column(keys[0]).to_numpy().view(np.uint64)
-        context = got.column(keys[-1]).to_numpy().view(np.uint64)
-        count = got.column("n").to_numpy()
-        del got
-        d = discounts(dict(zip(*(x.tolist() for x in np.unique(np.minimum(count, 5), return_counts=True)))))
-        cut = np.array([0.0, *d])[np.minimum(count, 3)]
-        if n > 1:
-            contexts, of = np.unique(context, return_inverse=True)
-            total = np.bincount(of, count, len(contexts))
-            shares.insert(0, Table.of(contexts, np.bincount(of, cut, len(contexts)) / np.maximum(total, 1)))
-            weights.insert(0, Table.of(grams, (count - cut) / total[of]))
-        else:
-            whole = max(count.sum(), 1)
-            base_share = cut.sum() / whole if len(count) else 1.0
-            words = len(count) + 1
-            weights.insert(0, Table.of(grams, (count - cut) / whole))
-    return Model(order, weights, shares, base_share, 1.0 / words)
+    shared = docs.sparkSession.sparkContext.broadcast((model.hot, model.hot_longest, model.filter, model.unknown))
+    own = [f"_c{i}" for i in range(len(carry))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(carry, own)], "text")
+    types = [rows.schema[o].dataType.simpleString() for o in own]
+    about = f"struct<{', '.join(f'{o}:{t}' for o, t in zip(own, types))}, n_words:bigint, sum:double, known:bigint>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        cache = WordHashes()
+        number = TaskContext.get().partitionId() << 36
+        for batch in batches:
+            texts: list[np.ndarray] = []
+            first = held = 0
+            for text in binary_texts(batch.column(len(own))):
+                texts.append(text_hashes(text, cache))
+                held += len(texts[-1])
+                if held > PLACES:
+                    yield from emit(batch, first, texts, number + first)
+                    first, held, texts = first + len(texts), 0, []
+            if texts:
+                yield from emit(batch, first, texts, number + first)
+            number += batch.num_rows
+
+    def emit(batch: pa.RecordBatch, first: int, texts: list[np.ndarray], number: int) -> Iterator[pa.RecordBatch]:
+        hot, hot_longest, known_words, unknown = shared.value
+        sums = [("n_words", pa.int64()), ("sum", pa.float64()), ("known", pa.int64())]
+        kind = pa.struct([*[batch.schema.field(i) for i in range(len(own))], *sums])
+        total, known = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+        n_words = np.array([len(h) for h in texts])
+        full = np.flatnonzero(n_words)
+        if len(full):
+            of, w1, w2, w3 = triples([texts[i] for i in full])
+            of = full[of]
+            # The contexts before the first word stand at no word's place.
+            edges = np.repeat(np.array([START, chain(np.array([START]), np.array([START]))[0]]), len(full))
+            groups = [(np.tile(full, 2), edges)]
+            for i in range(0, len(of), PLACES):
+                a, b, c = (w[i : i + PLACES] for w in (w1, w2, w3))
+                here = of[i : i + PLACES]
+                groups += [(here, c), (here, chain(b, c)), (here, chain(chain(a, b), c))]
+            total[full] = unknown * (n_words[full] + 1)
+            for here, keys in groups:
+                at = hot.places(keys)
+                total += np.bincount(here, hot.values[at], len(texts))
+                known += np.bincount(here, hot_longest[at], len(texts)).astype(np.int64)
+                word, mask = _bits(keys)
+                sent = np.flatnonzero(known_words[word] & mask == mask)
+                here, keys = here[sent], keys[sent]
+                order = np.lexsort((keys, here))
+                here, keys = here[order], keys[order]
+                new = np.flatnonzero(np.append(True, (here[1:] != here[:-1]) | (keys[1:] != keys[:-1])))[: len(here)]
+                n = np.diff(np.append(new, len(here)))
+                yield record(number + here[new], keys[new], n, pa.nulls(len(new), kind))
+        kept = [batch.column(i).slice(first, len(texts)) for i in range(len(own))]
+        about = pa.StructArray.from_arrays([*kept, pa.array(n_words, pa.int64()), pa.array(total), pa.array(known)], fields=list(kind))
+        ids = number + np.arange(len(texts))
+        yield record(ids, mix64(ids.astype(np.uint64)), np.zeros(len(ids)), about)
+
+    def record(ids: np.ndarray, keys: np.ndarray, n: np.ndarray, about: pa.Array) -> pa.RecordBatch:
+        columns = [pa.array(ids, pa.int64()), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int32)), about]
+        return pa.RecordBatch.from_arrays(columns, names=["row", "key", "n", "about"])
+
+    sent = rows.mapInArrow(run, f"row long, key long, n int, about {about}")
+    found = sent.join(model.rows, "key", "left").groupBy("row").agg(
+        F.first("about", ignorenulls=True).alias("about"),
+        F.sum(F.col("n") * F.col("value").cast("double")).alias("more"),
+        F.sum(F.when(F.col("longest"), F.col("n"))).alias("more_known"),
+    )
+    return found.select(
+        *[F.col(f"about.{o}").alias(c) for o, c in zip(own, carry)],
+        F.col("about.n_words").alias("n_words"),
+        (F.col("about.sum") + F.coalesce("more", F.lit(0.0))).alias("log_probability"),
+        (F.col("about.known") + F.coalesce("more_known", F.lit(0))).alias("known"),
+    )
