@@ -26,6 +26,8 @@ START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 HOT_KEYS = 1 << 20
 #: 64-bit words of the filter that tells which other n-grams the model may hold, and its slices.
 FILTER_WORDS, FILTER_SLICES = 1 << 20, 16
+#: Up to so many words with more than one word before them are sent to the tasks; beyond, Spark joins them.
+WORD_ROWS = 1 << 18
 #: Counts from here on are one when the most frequent n-grams are chosen.
 MOST = 1000
 #: Places of texts that a task works on at once.
@@ -42,6 +44,12 @@ def text_hashes(text: bytes, cache: WordHashes) -> np.ndarray:
     return hashed(words_lower(text), cache)
 
 
+#: Names of the contexts before the first word.
+EDGES = np.append(START, chain(np.array([START]), np.array([START])))
+#: Kinds of model rows: n-grams by their words, contexts.
+LONGEST, CONTEXT = 3, 0
+
+
 def shifted(h: np.ndarray, by: int) -> np.ndarray:
     """Each place's word ``by`` places earlier."""
     return np.concatenate([np.full(min(by, len(h)), START), h[: max(0, len(h) - by)]])
@@ -235,7 +243,7 @@ def count_of_counts(rows: DataFrame, n: str) -> dict[int, int]:
 class Model:
     """An interpolated modified Kneser-Ney trigram model, written so that values add up.
 
-    ``rows`` (key, value, longest): a known n-gram adds log P(word | context) less what its shorter
+    ``rows`` (key, value, kind): a known n-gram adds log P(word | context) less what its shorter
     form gives, a known context adds the log of the share it leaves to shorter forms. Rows of frequent
     n-grams are in ``hot`` instead; ``filter`` holds the keys of the others.
     """
@@ -266,14 +274,16 @@ def train(texts: DataFrame, hot_keys: int = HOT_KEYS) -> Model:
     unknown = (size["cut"] / whole if size["v"] else 1.0) / (size["v"] + 1)
 
     p1 = (F.col("n1") - discount(F.col("n1"), d1)) / whole + unknown
-    tables = trigrams, words
-    words = words.select("w3", "seen", p1.alias("p1"))
+    # A word that the model holds has one word before it unless it is among these.
+    several = words.filter("n1 > 1").select(F.col("w3").alias("_w3"), F.col("n1").cast("int").alias("_n1"))
+    several = F.broadcast(several) if several.count() <= WORD_ROWS else several
 
     def left(level: int, d: tuple[float, float, float]) -> Column:
         kinds = [F.col(f"{k}{level}") * x for k, x in zip(("one", "two", "more"), d)]
         return (kinds[0] + kinds[1] + kinds[2]) / F.col(f"of{level}")
 
-    found = trigrams.join(words.select("w3", "p1"), "w3").withColumns({"left2": left(2, d2), "left3": left(3, d3)})
+    found = trigrams.join(several, F.col("w3") == F.col("_w3"), "left").withColumn("n1", F.coalesce("_n1", F.lit(1)))
+    found = found.withColumns({"p1": p1, "left2": left(2, d2), "left3": left(3, d3)})
     found = found.withColumn("p2", (F.col("n2") - discount(F.col("n2"), d2)) / F.col("of2") + F.col("left2") * F.col("p1"))
     found = found.withColumn("p3", (F.col("n3") - discount(F.col("n3"), d3)) / F.col("of3") + F.col("left3") * F.col("p2"))
     named = _named(
@@ -288,37 +298,38 @@ def train(texts: DataFrame, hot_keys: int = HOT_KEYS) -> Model:
     )
     single = words.select(
         F.col("w3").alias("key"),
-        F.ln(F.col("p1") / unknown).cast("float").alias("value"),
-        F.lit(False).alias("longest"),
+        F.ln(p1 / unknown).cast("float").alias("value"),
+        F.lit(1).cast("byte").alias("kind"),
         F.col("seen").cast("int").alias("seen"),
     )
     rows = named.unionByName(single)
     least = _least_hot(trigrams, words, hot_keys)
-    got = rows.filter(F.col("seen") >= least).select("key", "value", "longest").toArrow()
+    got = rows.filter(F.col("seen") >= least).select("key", "value", (F.col("kind") == LONGEST).alias("longest")).toArrow()
     keys, at = np.unique(got.column("key").to_numpy().view(np.uint64), return_inverse=True)
     hot = Table.of(keys, np.bincount(at, got.column("value").to_numpy(), len(keys)))
     longest = np.bincount(at, got.column("longest").to_numpy().astype(float), len(keys) + 1) > 0
     rest = rows.filter(F.col("seen") < least).drop("seen")
-    return Model(rest, hot, longest, key_filter(rest), math.log(unknown), tables)
+    return Model(rest, hot, longest, key_filter(rest), math.log(unknown), (trigrams, words))
 
 
 def _named(found: DataFrame) -> DataFrame:
-    """key, value, longest, seen: the trigram of each row, and the bigram, context and word that it stands for."""
+    """key, value, kind, seen: the trigram of each row, and the bigram and the contexts that it stands for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             w1, w2, w3 = (batch.column(i).to_numpy().view(np.uint64) for i in range(3))
             context = chain(w1, w2)
+            kinds = LONGEST, LONGEST - 1, CONTEXT, CONTEXT
             for i, name in enumerate((chain(context, w3), chain(w2, w3), context, w2)):
                 value = batch.column(3 + i).cast(pa.float32())
                 there = value.is_valid()
                 keys = pa.array(name.view(np.int64)).filter(there)
                 yield pa.RecordBatch.from_arrays(
-                    [keys, value.filter(there), pa.array(np.full(len(keys), i == 0)), batch.column(7 + i).filter(there)],
-                    names=["key", "value", "longest", "seen"],
+                    [keys, value.filter(there), pa.array(np.full(len(keys), kinds[i], np.int8)), batch.column(7 + i).filter(there)],
+                    names=["key", "value", "kind", "seen"],
                 )
 
-    return found.mapInArrow(run, "key long, value float, longest boolean, seen int")
+    return found.mapInArrow(run, "key long, value float, kind byte, seen int")
 
 
 def _least_hot(trigrams: DataFrame, words: DataFrame, hot_keys: int) -> int:
@@ -345,7 +356,10 @@ def _bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def key_filter(rows: DataFrame) -> np.ndarray:
-    """A filter of the column ``key``, of fixed size; more keys only mean more false hits. A task fills whole slices."""
+    """A filter of the column ``key``, of fixed size; more keys only mean more false hits. A task fills whole slices.
+
+    Contexts need no entry: but for the edges of a text, each is also an n-gram of the model.
+    """
     width = FILTER_WORDS // FILTER_SLICES
     part = F.shiftrightunsigned("key", 64 - FILTER_SLICES.bit_length() + 1)
 
@@ -360,7 +374,8 @@ def key_filter(rows: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([words.tobytes()])], names=["slice", "bits"])
 
     filled = np.zeros(FILTER_WORDS, dtype=np.uint64)
-    keys = rows.select("key").repartition(FILTER_SLICES, part)
+    np.bitwise_or.at(filled, *_bits(EDGES))
+    keys = rows.filter(F.col("kind") != CONTEXT).select("key").repartition(FILTER_SLICES, part)
     for r in keys.mapInArrow(run, "slice int, bits binary").toLocalIterator():
         filled[r["slice"] * width : (r["slice"] + 1) * width] |= np.frombuffer(r["bits"], np.uint64)
     return filled
@@ -409,8 +424,7 @@ def log_probabilities(docs: DataFrame, model: Model, carry: list[str]) -> DataFr
             of, w1, w2, w3 = triples([texts[i] for i in full])
             of = full[of]
             # The contexts before the first word stand at no word's place.
-            edges = np.repeat(np.array([START, chain(np.array([START]), np.array([START]))[0]]), len(full))
-            groups = [(np.tile(full, 2), edges)]
+            groups = [(np.tile(full, 2), np.repeat(EDGES, len(full)))]
             for i in range(0, len(of), PLACES):
                 a, b, c = (w[i : i + PLACES] for w in (w1, w2, w3))
                 here = of[i : i + PLACES]
@@ -441,7 +455,7 @@ def log_probabilities(docs: DataFrame, model: Model, carry: list[str]) -> DataFr
     found = sent.join(model.rows, "key", "left").groupBy("row").agg(
         F.first("about", ignorenulls=True).alias("about"),
         F.sum(F.col("n") * F.col("value").cast("double")).alias("more"),
-        F.sum(F.when(F.col("longest"), F.col("n"))).alias("more_known"),
+        F.sum(F.when(F.col("kind") == LONGEST, F.col("n"))).alias("more_known"),
     )
     return found.select(
         *[F.col(f"about.{o}").alias(c) for o, c in zip(own, carry)],
