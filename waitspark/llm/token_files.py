@@ -46,7 +46,8 @@ FENCE = b"|"
 def pack(values: np.ndarray, width: int) -> bytes:
     if not width:
         return b""
-    bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+    used = values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : (width + 7) // 8]
+    bits = np.unpackbits(used, axis=1, bitorder="little")
     return np.packbits(bits[:, :width].ravel(), bitorder="little").tobytes()
 
 
@@ -62,7 +63,8 @@ def unpack(data: bytes, width: int, n: int) -> np.ndarray:
 def encode_block(ids: np.ndarray) -> bytes:
     least = int(ids.min())
     rest = (ids - np.uint32(least)).astype(np.uint32)
-    width = int(np.percentile(rest, PERCENTILE, method="higher")).bit_length()
+    place = -(-PERCENTILE * (len(rest) - 1) // 100)
+    width = int(np.partition(rest, place)[place]).bit_length()
     wide = np.flatnonzero(rest >> np.uint64(width) if width < 32 else np.zeros(len(rest)))
     outliers = rest[wide]
     packed = rest.copy()
@@ -175,13 +177,11 @@ class ChunkEncoder:
     def _learn(self, chunks: dict[bytes, None]) -> None:
         if len(self.known) > CACHE:
             self.known, self.old = {}, self.known
-        new = []
-        for c in chunks:
-            if c not in self.known:
-                if c in self.old:
-                    self.known[c] = self.old[c]
-                else:
-                    new.append(c)
+        new = chunks.keys() - self.known.keys()
+        if self.old:
+            again = new & self.old.keys()
+            self.known.update((c, self.old[c]) for c in again)
+            new -= again
         plain = [c for c in new if FENCE not in c]
         for i in range(0, len(plain), 500):
             self._learn_plain(plain[i : i + 500])
