@@ -21,6 +21,7 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -177,11 +178,11 @@ class ChunkEncoder:
     def _learn(self, chunks: dict[bytes, None]) -> None:
         if len(self.known) > CACHE:
             self.known, self.old = {}, self.known
-        new = chunks.keys() - self.known.keys()
+        new = list(filterfalse(self.known.__contains__, chunks))
         if self.old:
-            again = new & self.old.keys()
+            again = list(filter(self.old.__contains__, new))
             self.known.update((c, self.old[c]) for c in again)
-            new -= again
+            new = list(filterfalse(self.known.__contains__, new))
         plain = [c for c in new if FENCE not in c]
         for i in range(0, len(plain), 500):
             self._learn_plain(plain[i : i + 500])
