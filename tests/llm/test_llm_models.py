@@ -173,6 +173,13 @@ def test_quality_rejects_garbled_text(spark):
     assert not kept[5] and not kept[6]
 
 
+def test_quality_of_empty_tables(spark):
+    assert quality_classifier.classify(docs(spark, []), labels(spark, [(1, 1, 0)])).collect() == []
+    got = quality_classifier.classify(docs(spark), labels(spark, [])).collect()
+    assert len(got) == len(ROWS)
+    assert all(r["kept"] == (r["n_words"] > 0) for r in got)
+
+
 def test_quality_limits_are_quantiles_of_held_back_rows(spark):
     """Junk within a few spreads of good text is beyond the limits; a language without held-back rows has its own."""
     held = spark.createDataFrame([("en", 9 + i / 1000) for i in range(1000)], "lang string, log_perplexity double")
