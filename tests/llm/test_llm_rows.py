@@ -203,6 +203,53 @@ def test_suspects_are_few_and_complete(spark):
     assert len(ids) < 300
 
 
+def test_coded_lists_stand_for_their_rows():
+    rng = np.random.default_rng(5)
+    fps, row_ids = rng.integers(0, 1 << 12, 3000), rng.permutation(1 << 40 | np.arange(3000))
+    lists = list(exact_dedup.coded_lists(row_ids, fps, 8))
+    assert [x[1] for x in lists] == sorted(set((fps >> 8).tolist()))
+    assert len({x[0] for x in lists}) == len(lists)
+    fp_of, seen = dict(zip(row_ids.tolist(), fps.tolist())), []
+    for _, owner, n, k, unary, rest, twice, first, ids in lists:
+        values = exact_dedup.rice_decode(unary, rest, k, n) + (owner << 8)
+        place = np.cumsum(np.unpackbits(np.frombuffer(first, np.uint8))[: len(ids)]) - 1
+        assert [fp_of[i] for i in ids.tolist()] == values[place].tolist()
+        repeated = np.unpackbits(np.frombuffer(twice, np.uint8))[:n] > 0
+        assert (repeated == (np.bincount(place) > 1)).all()
+        seen += ids.tolist()
+    assert sorted(seen) == sorted(row_ids.tolist())
+
+
+@pytest.mark.parametrize("slots", [2, exact_dedup.SLOTS])
+def test_exact_classes_with_short_lists_and_a_full_filter(spark, monkeypatch, slots):
+    monkeypatch.setattr(exact_dedup, "LIST_ROWS", 50)
+    monkeypatch.setattr(exact_dedup, "SLOTS", slots)
+    rows = [(i, f"text {i % 900}" if i % 3 else "copy", "en", "a", 1, "x", 1.0) for i in range(1200)]
+    got = {r["doc_id"]: r for r in exact_dedup.op4(docs(spark, rows)).collect()}
+    groups = brute_groups(rows)
+    assert len(got) == len(rows)
+    for digest, ids in groups.items():
+        for i in ids:
+            assert (got[i]["text_sha256"], got[i]["keep_id"], got[i]["group_size"], got[i]["kept"]) == (digest, min(ids), len(ids), i == min(ids))
+    kept = exact_dedup.deduplicate(docs(spark, rows)).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(min(ids) for ids in groups.values())
+
+
+def test_unique_texts_stay_where_they_are(spark):
+    rows = [(i, f"text {i % 9000}", "en", "a", 1, "x", 1.0) for i in range(9300)]
+    df = docs(spark, rows)
+    suspect = exact_dedup.classes(df).filter("group_size > 1")
+    bloom = exact_dedup.bloom_filter(suspect)
+    assert 0 < bloom.count() <= 300
+    moved = exact_dedup.suspect_texts(df, bloom)
+    assert 600 <= moved.count() < 620
+    plan = moved.distinct()._jdf.queryExecution().executedPlan().toString()
+    before = plan[plan.index("hashpartitioning") :]
+    assert "BroadcastHashJoin" in before and before.index("HashAggregate") < before.index("BroadcastHashJoin")
+    whole = exact_dedup.deduplicate(df)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in whole.split("Exchange hashpartitioning")[0]
+
+
 # Token files
 
 

@@ -1,17 +1,22 @@
 """Exact deduplication by an exchange of Golomb-coded fingerprints.
 
 1. Every row gets the sha256 of its normalised text and a short fingerprint from it. The narrow
-   table is written once; a row of it names the partition that holds it.
-2. A partition sends each owner (a range of fingerprints) its sorted distinct fingerprints, coded as
+   table is written once.
+2. A task codes the fingerprints it holds, at most ``LIST_ROWS`` at a time, before anything is shuffled:
+   one list for each owner (a range of fingerprints), its distinct fingerprints sorted and coded as
    Golomb-Rice gaps. Fingerprints are cut to log2(rows) + EXTRA_BITS bits: enough that few differ
-   only beyond the cut, short enough to be cheap to send.
-3. An owner decodes what it got, finds fingerprints that more than one partition sent (or one sent
-   as occurring twice), and answers each partition with a bitmap over that partition's list.
-4. Rows whose bit is set are suspects. Their whole texts are shuffled and grouped byte by byte;
-   all other rows are unique without their text ever having moved.
+   only beyond the cut, short enough to be cheap to send. The lists are written with the rows they stand
+   for; owners read and shuffle the codes only.
+3. An owner decodes what it got, finds fingerprints that more than one list has (or one list has
+   twice), and answers each list with a bitmap over it.
+4. Rows whose bit is set are suspects. Their whole texts are shuffled and grouped byte by byte.
+   The tasks that read the texts pick them by a Bloom filter of the suspects' digests, a table of at most
+   ``SLOTS`` words of 64 bits, so the other texts stay where they are, but for the filter's false
+   positives. With more than a few million different suspects it fills up and more texts move;
+   what is found stays the same.
 
 Grouping by the text combines copies in the tasks first, so a text that a third of the rows hold
-costs each task one row. An owner sees a fingerprint at most once from each partition.
+costs each task one row. An owner sees a fingerprint at most once from each list.
 
 Null text counts as empty, so null and empty texts are copies of each other. Of rows equal in text
 and doc_id too, exactly one has ``kept``. Empty input gives an empty result. Other columns are
@@ -21,14 +26,16 @@ carried by ``deduplicate`` and ignored by ``classes``.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waitspark.llm.common import SPACE, free_names, text_or_empty
-from waitspark.workspace import materialize
+from waitspark.workspace import discard, materialize
 
 EXTRA_BITS = 8
 #: At least 2**OWNER_BITS owners.
@@ -36,6 +43,12 @@ OWNER_BITS = 4
 #: Fingerprints an owner decodes, about.
 OWNER_ROWS = 1_000_000
 HASH_BITS = 60
+#: Fingerprints a task codes at a time.
+LIST_ROWS = 1 << 20
+LISTS = "list_id long, owner long, n long, k int, unary binary, rest binary, twice binary, first binary, row_ids array<long>"
+#: Words of the Bloom filter, and bits a digest sets in its word.
+SLOTS = 1 << 20
+SLOT_BITS = 4
 
 
 def normalised(column: str = "text") -> Column:
@@ -66,14 +79,38 @@ def rice_width(n: int, span: int) -> int:
     return max(0, math.floor(math.log2(max(1.0, math.log(2) * span / max(1, n)))))
 
 
-def _encode(owner_bits: int):
-    def run(key: tuple[int, int], rows: pd.DataFrame) -> pd.DataFrame:
-        part, owner = key
-        values, counts = np.unique(rows["fp"].to_numpy(), return_counts=True)
+def coded_lists(row_ids: np.ndarray, fps: np.ndarray, owner_bits: int) -> Iterator[tuple]:
+    """A row of ``LISTS`` for each owner; ``first`` marks rows that begin a new fingerprint of the list."""
+    order = np.argsort(fps, kind="stable")
+    row_ids, fps = row_ids[order], fps[order]
+    owners, starts = np.unique(fps >> owner_bits, return_index=True)
+    for owner, ids, own in zip(owners, np.split(row_ids, starts[1:]), np.split(fps, starts[1:])):
+        first = np.diff(own, prepend=-1) > 0
+        values = own[first]
+        counts = np.diff(np.append(np.flatnonzero(first), len(own)))
         k = rice_width(len(values), 1 << owner_bits)
         unary, rest = rice_encode(values & ((1 << owner_bits) - 1), k)
-        twice = np.packbits(counts > 1).tobytes()
-        return pd.DataFrame({"part": [part], "owner": [owner], "n": [len(values)], "k": [k], "unary": [unary], "rest": [rest], "twice": [twice]})
+        yield int(ids.min()), int(owner), len(values), k, unary, rest, np.packbits(counts > 1).tobytes(), np.packbits(first).tobytes(), ids
+
+
+def _code(owner_bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= LIST_ROWS:
+                yield from coded(held)
+                held, rows = [], 0
+        if rows:
+            yield from coded(held)
+
+    def coded(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        names = [part.split()[0] for part in LISTS.split(", ")]
+        types = [pa.int64()] * 3 + [pa.int32()] + [pa.binary()] * 4 + [pa.list_(pa.int64())]
+        for row in coded_lists(table.column(0).to_numpy(), table.column(1).to_numpy(), owner_bits):
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
     return run
 
@@ -84,27 +121,27 @@ def _answer(rows: pd.DataFrame) -> pd.DataFrame:
     values, counts = np.unique(np.concatenate(lists), return_counts=True)
     shared = values[counts > 1]
     bitmaps = [np.packbits(np.isin(x, shared, assume_unique=True) | (t > 0)).tobytes() for x, t in zip(lists, twice)]
-    return pd.DataFrame({"part": rows["part"], "owner": rows["owner"], "bitmap": bitmaps})
+    return pd.DataFrame({"list_id": rows["list_id"], "bitmap": bitmaps})
 
 
-def _suspects(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    """Rows of one partition and owner whose fingerprint has its bit set."""
-    if not len(rows):
-        return rows[["row_id"]]
-    values = np.unique(rows["fp"].to_numpy())
-    bits = np.unpackbits(np.frombuffer(answers["bitmap"].iloc[0], dtype=np.uint8))[: len(values)]
-    hit = bits[np.searchsorted(values, rows["fp"].to_numpy())] > 0
-    return rows.loc[hit, ["row_id"]]
+def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """row_id of a list's rows (bitmap, first, row_ids) whose fingerprint has its bit set."""
+    for batch in batches:
+        for bitmap, first, ids in zip(batch.column(0), batch.column(1), batch.column(2)):
+            ids = ids.values.to_numpy()
+            place = np.cumsum(np.unpackbits(np.frombuffer(first.as_py(), dtype=np.uint8))[: len(ids)], dtype=np.int64) - 1
+            bits = np.unpackbits(np.frombuffer(bitmap.as_py(), dtype=np.uint8))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[bits[place] > 0])], names=["row_id"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """row_id, doc_id, text_sha256 and part, written once; later steps read this copy."""
+    """row_id, doc_id and text_sha256, written once; later steps read this copy."""
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_id"),
         F.col("doc_id"),
         F.sha2(normalised(), 256).alias("text_sha256"),
     )
-    return materialize(rows.withColumn("part", F.shiftright("row_id", 33)), "fingerprints")
+    return materialize(rows, "fingerprints")
 
 
 def suspects(rows: DataFrame) -> DataFrame:
@@ -114,25 +151,48 @@ def suspects(rows: DataFrame) -> DataFrame:
     bits = min(HASH_BITS, max(owner_count_bits, math.ceil(math.log2(n))) + EXTRA_BITS)
     owner_bits = bits - owner_count_bits
     long_hash = F.conv(F.substring("text_sha256", 1, HASH_BITS // 4), 16, 10).cast("long")
-    short = rows.select("row_id", "part", F.shiftright(long_hash, HASH_BITS - bits).alias("fp"))
-    short = short.withColumn("owner", F.shiftright("fp", owner_bits))
-    lists = short.groupBy("part", "owner").applyInPandas(
-        _encode(owner_bits), "part long, owner long, n long, k int, unary binary, rest binary, twice binary"
-    )
-    answers = lists.groupBy("owner").applyInPandas(_answer, "part long, owner long, bitmap binary")
-    return (
-        short.groupBy("part", "owner")
-        .cogroup(answers.groupBy("part", "owner"))
-        .applyInPandas(_suspects, "row_id long")
-    )
+    short = rows.select("row_id", F.shiftright(long_hash, HASH_BITS - bits).alias("fp"))
+    lists = materialize(short.mapInArrow(_code(owner_bits), LISTS), "lists")
+    answers = lists.drop("first", "row_ids").groupBy("owner").applyInPandas(_answer, "list_id long, bitmap binary")
+    found = lists.select("list_id", "first", "row_ids").join(answers, "list_id")
+    found = materialize(found.select("bitmap", "first", "row_ids").mapInArrow(_suspects, "row_id long"), "suspects")
+    discard(lists)
+    return found
+
+
+def bloom_filter(digests: DataFrame) -> DataFrame:
+    """(slot, word) of the ``text_sha256`` in ``digests``, written: at most ``SLOTS`` rows, so small enough to broadcast."""
+    slot, bits = _slot_and_bits("text_sha256")
+    words = digests.select(slot.alias("_slot"), bits.alias("_bits")).groupBy("_slot").agg(F.bit_or("_bits").alias("_word"))
+    return materialize(words, "bloom")
+
+
+def _slot_and_bits(column: str) -> tuple[Column, Column]:
+    """Of a digest: its word of the filter, and the bits it sets there."""
+    h = F.xxhash64(F.col(column))
+    bits = F.lit(0).cast("long")
+    for i in range(SLOT_BITS):
+        place = F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")
+        bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+    return F.shiftrightunsigned(h, 64 - SLOTS.bit_length() + 1), bits
+
+
+def in_filter(rows: DataFrame, bloom: DataFrame, column: str, inside: bool = True) -> DataFrame:
+    """``rows`` whose digest in ``column`` the filter may hold, or with ``inside`` false those it surely does not."""
+    slot, bits = _slot_and_bits(column)
+    slots, words = free_names(rows.columns, "_slot", "_word")
+    named = F.broadcast(bloom.select(F.col("_slot").alias(slots), F.col("_word").alias(words)))
+    held = (slot == F.col(slots)) & (F.col(words).bitwiseAND(bits) == bits)
+    return rows.join(named, held, "left_semi" if inside else "left_anti")
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """row_id, doc_id, text_sha256, keep_id, group_size and kept, one row per row of ``docs``."""
     rows = fingerprints(docs)
-    found = materialize(suspects(rows), "suspects").withColumn("suspect", F.lit(True))
-    flagged = materialize(rows.join(found, "row_id", "left"), "flagged")
-    suspect = flagged.filter("suspect").drop("suspect", "part")
+    found = suspects(rows)
+    flagged = materialize(rows.join(found.withColumn("suspect", F.lit(True)), "row_id", "left"), "flagged")
+    discard(rows, found)
+    suspect = flagged.filter("suspect").drop("suspect")
     groups = materialize(byte_groups(docs, suspect), "text-groups")
     alone = flagged.filter("suspect IS NULL").select(
         "row_id",
@@ -151,16 +211,11 @@ def classes(docs: DataFrame) -> DataFrame:
 def byte_groups(docs: DataFrame, suspect: DataFrame) -> DataFrame:
     """A row per text of the suspects: digest, smallest doc_id with its row, number of rows.
 
-    The suspects' texts are fetched by (doc_id, digest), which no text's copies share, and grouped as
-    whole strings. Two texts of one digest are refused: a digest could no longer stand for its text.
+    The tasks pick the suspects' texts by the filter and group them as whole strings; what else passed
+    the filter falls out with the digests. Two texts of one digest are refused: a digest could no
+    longer stand for its text.
     """
-    texts = docs.select("doc_id", normalised().alias("text"))
-    texts = texts.withColumn("text_sha256", F.sha2("text", 256))
-    wanted = suspect.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
-    texts = texts.join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_sha256") == F.col("_digest")), "left_semi"
-    )
-    texts = texts.groupBy("text_sha256", "text").agg(F.count("*").alias("n"))
+    texts = suspect_texts(docs, bloom_filter(suspect)).distinct()
     verified = texts.groupBy("text_sha256").agg(F.count("*").alias("texts"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row_id")))
     sizes = suspect.groupBy("text_sha256").agg(least.alias("least"), F.count("*").alias("group_size"))
@@ -175,15 +230,25 @@ def byte_groups(docs: DataFrame, suspect: DataFrame) -> DataFrame:
     )
 
 
+def suspect_texts(docs: DataFrame, bloom: DataFrame) -> DataFrame:
+    """(text_sha256, text) of the rows of ``docs`` that the filter may hold."""
+    texts = docs.select(normalised().alias("text")).withColumn("text_sha256", F.sha2("text", 256))
+    return in_filter(texts.select("text_sha256", "text"), bloom, "text_sha256")
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each text, that of the smallest doc_id, and all its columns.
 
-    The row that stays is fetched by (doc_id, digest); of rows equal in both, any one stays.
+    Rows of whose text nothing is dropped pass as they are, without a shuffle. Of the others, told by a filter
+    of the dropped digests, the row that stays is fetched by (doc_id, digest); of rows equal in both, any
+    one stays.
     """
     found = materialize(classes(docs), "classes")
     sha, own, digest, other, second = free_names([*docs.columns, "doc_id"], "_sha", "_id", "_digest", "_i", "_d")
     stay = found.filter("kept AND group_size > 1").select(F.col("doc_id").alias(own), F.col("text_sha256").alias(digest))
     keyed = docs.withColumn(sha, F.sha2(normalised(), 256))
+    bloom = bloom_filter(found.filter("NOT kept"))
+    others, keyed = in_filter(keyed, bloom, sha, inside=False), in_filter(keyed, bloom, sha)
     dropped = found.filter("NOT kept").select(F.col("doc_id").alias(own), F.col("text_sha256").alias(digest)).distinct()
     same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(sha) == F.col(digest))
     rest = keyed.join(dropped, same, "left_anti")
@@ -191,7 +256,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     again = dropped.withColumnsRenamed({own: other, digest: second})
     twins = stay.join(again, F.col(own).eqNullSafe(F.col(other)) & (F.col(digest) == F.col(second)), "left_semi")
     back = keyed.join(twins, same, "left_semi").dropDuplicates(["doc_id", sha])
-    return rest.unionByName(back).select(*docs.columns)
+    return others.unionByName(rest).unionByName(back).select(*docs.columns)
 
 
 def op4(docs: DataFrame) -> DataFrame:
