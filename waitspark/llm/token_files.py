@@ -21,7 +21,6 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -168,27 +167,28 @@ class ChunkEncoder:
 
     def __call__(self, text: bytes) -> np.ndarray:
         chunks = text.split()
-        try:
-            parts = list(map(self.known.__getitem__, chunks))
-        except KeyError:
-            self._learn(dict.fromkeys(chunks))
-            parts = map(self.known.__getitem__, chunks)
+        parts = list(map(self.known.get, chunks))
+        new = [c for c, ids in zip(chunks, parts) if ids is None]
+        if new:
+            self._learn(dict.fromkeys(new))
+            learnt = map(self.known.__getitem__, new)
+            parts = [next(learnt) if ids is None else ids for ids in parts]
         return np.frombuffer(b"".join(parts), dtype="<u4")
 
     def _learn(self, chunks: dict[bytes, None]) -> None:
+        """Remember ``chunks``, none of which is known."""
         if len(self.known) > CACHE:
             self.known, self.old = {}, self.known
-        new = list(filterfalse(self.known.__contains__, chunks))
-        if self.old:
-            again = list(filter(self.old.__contains__, new))
-            self.known.update((c, self.old[c]) for c in again)
-            new = list(filterfalse(self.known.__contains__, new))
-        plain = [c for c in new if FENCE not in c]
+        plain = []
+        for c in chunks:
+            if (ids := self.old.get(c)) is not None:
+                self.known[c] = ids
+            elif FENCE in c:
+                self.known[c] = self._ids([c]).tobytes()
+            else:
+                plain.append(c)
         for i in range(0, len(plain), 500):
             self._learn_plain(plain[i : i + 500])
-        for c in new:
-            if FENCE in c:
-                self.known[c] = self._ids([c]).tobytes()
 
     def _ids(self, chunks: list[bytes]) -> np.ndarray:
         """Ids of some chunks, one after the other."""
