@@ -360,7 +360,7 @@ def test_a_passage_of_a_few_pages_stays_and_the_menu_of_all_goes(spark):
 def test_own_names_of_operators_may_be_columns(spark):
     from waitspark.llm import exact_dedup, mixing, sentencepiece_codec
 
-    names = ["_key", "_copies", "_twins", "_copy", "_sha", "_id", "_digest", "_i", "_d", "_row", "_stay", "_least", "_text", "_source", "size", "copies"]
+    names = ["_key", "_copies", "_twins", "_copy", "_sha", "_id", "_digest", "_i", "_d", "_row", "_stay", "_least", "_text", "_source", "_slot", "_word", "size", "copies"]
     rows = docs(spark).withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
     for operator in (mixing.mix, exact_dedup.deduplicate, jaccard_join.one_of_each, sentencepiece_codec.encode):
         out = operator(rows)

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from fixtures import ROWS, docs, plain, words
-from waitspark.llm import exact_dedup, mixing, quality_rules, registry, token_files
+from waitspark.llm import bloom, exact_dedup, mixing, quality_rules, registry, token_files
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -220,10 +220,10 @@ def test_coded_lists_stand_for_their_rows():
     assert sorted(seen) == sorted(row_ids.tolist())
 
 
-@pytest.mark.parametrize("slots", [2, exact_dedup.SLOTS])
+@pytest.mark.parametrize("slots", [2, bloom.SLOTS])
 def test_exact_classes_with_short_lists_and_a_full_filter(spark, monkeypatch, slots):
     monkeypatch.setattr(exact_dedup, "LIST_ROWS", 50)
-    monkeypatch.setattr(exact_dedup, "SLOTS", slots)
+    monkeypatch.setattr(bloom, "SLOTS", slots)
     rows = [(i, f"text {i % 900}" if i % 3 else "copy", "en", "a", 1, "x", 1.0) for i in range(1200)]
     got = {r["doc_id"]: r for r in exact_dedup.op4(docs(spark, rows)).collect()}
     groups = brute_groups(rows)
@@ -239,9 +239,9 @@ def test_unique_texts_stay_where_they_are(spark):
     rows = [(i, f"text {i % 9000}", "en", "a", 1, "x", 1.0) for i in range(9300)]
     df = docs(spark, rows)
     suspect = exact_dedup.classes(df).filter("group_size > 1")
-    bloom = exact_dedup.bloom_filter(suspect)
-    assert 0 < bloom.count() <= 300
-    moved = exact_dedup.suspect_texts(df, bloom)
+    held = bloom.bloom_filter(suspect, "text_sha256")
+    assert 0 < held.count() <= 300
+    moved = exact_dedup.suspect_texts(df, held)
     assert 600 <= moved.count() < 620
     plan = moved.distinct()._jdf.queryExecution().executedPlan().toString()
     before = plan[plan.index("hashpartitioning") :]

@@ -10,10 +10,8 @@
 3. An owner decodes what it got, finds fingerprints that more than one list has (or one list has
    twice), and answers each list with a bitmap over it.
 4. Rows whose bit is set are suspects. Their whole texts are shuffled and grouped byte by byte.
-   The tasks that read the texts pick them by a Bloom filter of the suspects' digests, a table of at most
-   ``SLOTS`` words of 64 bits, so the other texts stay where they are, but for the filter's false
-   positives. With more than a few million different suspects it fills up and more texts move;
-   what is found stays the same.
+   The tasks that read the texts pick them by a Bloom filter of the suspects' digests, so the other texts
+   stay where they are, but for the filter's false positives.
 
 Grouping by the text combines copies in the tasks first, so a text that a third of the rows hold
 costs each task one row. An owner sees a fingerprint at most once from each list.
@@ -34,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waitspark.llm.bloom import bloom_filter, in_filter
 from waitspark.llm.common import SPACE, free_names, text_or_empty
 from waitspark.workspace import discard, materialize
 
@@ -46,9 +45,6 @@ HASH_BITS = 60
 #: Fingerprints a task codes at a time.
 LIST_ROWS = 1 << 20
 LISTS = "list_id long, owner long, n long, k int, unary binary, rest binary, twice binary, first binary, row_ids array<long>"
-#: Words of the Bloom filter, and bits a digest sets in its word.
-SLOTS = 1 << 20
-SLOT_BITS = 4
 
 
 def normalised(column: str = "text") -> Column:
@@ -160,32 +156,6 @@ def suspects(rows: DataFrame) -> DataFrame:
     return found
 
 
-def bloom_filter(digests: DataFrame) -> DataFrame:
-    """(slot, word) of the ``text_sha256`` in ``digests``, written: at most ``SLOTS`` rows, so small enough to broadcast."""
-    slot, bits = _slot_and_bits("text_sha256")
-    words = digests.select(slot.alias("_slot"), bits.alias("_bits")).groupBy("_slot").agg(F.bit_or("_bits").alias("_word"))
-    return materialize(words, "bloom")
-
-
-def _slot_and_bits(column: str) -> tuple[Column, Column]:
-    """Of a digest: its word of the filter, and the bits it sets there."""
-    h = F.xxhash64(F.col(column))
-    bits = F.lit(0).cast("long")
-    for i in range(SLOT_BITS):
-        place = F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")
-        bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
-    return F.shiftrightunsigned(h, 64 - SLOTS.bit_length() + 1), bits
-
-
-def in_filter(rows: DataFrame, bloom: DataFrame, column: str, inside: bool = True) -> DataFrame:
-    """``rows`` whose digest in ``column`` the filter may hold, or with ``inside`` false those it surely does not."""
-    slot, bits = _slot_and_bits(column)
-    slots, words = free_names(rows.columns, "_slot", "_word")
-    named = F.broadcast(bloom.select(F.col("_slot").alias(slots), F.col("_word").alias(words)))
-    held = (slot == F.col(slots)) & (F.col(words).bitwiseAND(bits) == bits)
-    return rows.join(named, held, "left_semi" if inside else "left_anti")
-
-
 def classes(docs: DataFrame) -> DataFrame:
     """row_id, doc_id, text_sha256, keep_id, group_size and kept, one row per row of ``docs``."""
     rows = fingerprints(docs)
@@ -215,7 +185,7 @@ def byte_groups(docs: DataFrame, suspect: DataFrame) -> DataFrame:
     the filter falls out with the digests. Two texts of one digest are refused: a digest could no
     longer stand for its text.
     """
-    texts = suspect_texts(docs, bloom_filter(suspect)).distinct()
+    texts = suspect_texts(docs, bloom_filter(suspect, "text_sha256")).distinct()
     verified = texts.groupBy("text_sha256").agg(F.count("*").alias("texts"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row_id")))
     sizes = suspect.groupBy("text_sha256").agg(least.alias("least"), F.count("*").alias("group_size"))
@@ -247,7 +217,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     sha, own, digest, other, second = free_names([*docs.columns, "doc_id"], "_sha", "_id", "_digest", "_i", "_d")
     stay = found.filter("kept AND group_size > 1").select(F.col("doc_id").alias(own), F.col("text_sha256").alias(digest))
     keyed = docs.withColumn(sha, F.sha2(normalised(), 256))
-    bloom = bloom_filter(found.filter("NOT kept"))
+    bloom = bloom_filter(found.filter("NOT kept"), "text_sha256")
     others, keyed = in_filter(keyed, bloom, sha, inside=False), in_filter(keyed, bloom, sha)
     dropped = found.filter("NOT kept").select(F.col("doc_id").alias(own), F.col("text_sha256").alias(digest)).distinct()
     same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(sha) == F.col(digest))

@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waitspark.llm.bloom import bloom_filter, in_filter
 from waitspark.llm.common import WordHashes, binary_texts, free_names, mix64, text_or_empty
 from waitspark.llm.components import components
 from waitspark.llm.kneser_ney import chain, names, text_hashes
@@ -310,6 +311,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
 
     Rows without words are components of their own and all stay. Rows are told apart by a digest of all
     columns, so rows that share an id do not stand for each other; twins equal in all columns count once.
+    A filter holds the digests of rows that go and of twins: other rows pass without a shuffle.
     """
     row, mark = free_names([*docs.columns, "doc_id"], "_row", "_stay")
     keyed = docs.withColumn(row, row_key(docs))
@@ -317,7 +319,12 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_key")))
     stay = found.filter("comp IS NOT NULL").groupBy("comp").agg(least.alias("least"))
     stay = materialize(stay.select(F.col("least._key").alias(mark)), "stay")
+    counts = found.filter("comp IS NOT NULL").groupBy("_key").agg(F.count("*").alias("n"))
+    single = stay.withColumn("single", F.lit(True))
+    open_ = counts.join(single, F.col("_key") == F.col(mark), "left").filter("n > 1 OR single IS NULL")
+    bloom = bloom_filter(open_, "_key")
+    settled, keyed = in_filter(keyed, bloom, row, inside=False), in_filter(keyed, bloom, row)
     wordless = found.filter("comp IS NULL").select(F.col("_key").alias(mark)).distinct()
     one = keyed.join(stay, F.col(row) == F.col(mark), "left_semi").dropDuplicates([row])
     rest = keyed.join(wordless, F.col(row) == F.col(mark), "left_semi")
-    return one.unionByName(rest).select(*docs.columns)
+    return settled.unionByName(one).unionByName(rest).select(*docs.columns)
