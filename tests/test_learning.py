@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel
 from pyspark.sql import functions as F
 
@@ -164,6 +165,27 @@ def test_exactly_the_rounds_of_the_rule_are_trained(parts, monkeypatch):
     assert scored.agg(F.avg((F.col("prediction") - F.col(TARGET)) ** 2)).first()[0] == pytest.approx(min(losses))
 
 
+def test_the_learner_sees_a_point_for_each_feature_vector(spark, monkeypatch):
+    """Rows of equal features cost the learner one row, and its tree is that of all rows."""
+    rng = np.random.default_rng(3)
+    frame = pd.DataFrame({"a": rng.integers(0, 12, 4000).astype(float), "b": rng.integers(0, 3, 4000).astype(float)})
+    frame[TARGET] = (frame["a"] * 2 - 3 * frame["b"] + rng.normal(0, 2, 4000)).round(1)
+    rows = assemble(spark.createDataFrame(frame), ["a", "b"]).cache()
+    seen = []
+    fit = DecisionTreeRegressor.fit
+    monkeypatch.setattr(DecisionTreeRegressor, "fit", lambda self, df: seen.append(df.count()) or fit(self, df))
+    model, curve = train_trees(rows, rows, max_rounds=1)
+    assert seen == [36]
+    drawn = rows.select(vector_to_array("features").alias("x"), F.col(TARGET).alias("label")).filter(row_share(1))
+    chosen = feature_share(1, 2)
+    masked = F.array(*[F.col("x")[i] if i in chosen else F.lit(0.0) for i in range(2)])
+    whole = fit(DecisionTreeRegressor(labelCol="label", maxDepth=6, maxBins=512), drawn.select(array_to_vector(masked).alias("features"), "label"))
+    one, other = (m.transform(rows).select("prediction").toPandas()["prediction"] for m in (model, whole))
+    assert list(one) == pytest.approx(list(other), abs=1e-3) and one.nunique() > 2
+    errors = (one - rows.select(TARGET).toPandas()[TARGET]) ** 2
+    assert [r["loss"] for r in curve.collect()] == pytest.approx([errors.mean()] * 2)
+
+
 def test_trees_do_not_depend_on_partitioning(parts):
     found = []
     for n in (1, 5):

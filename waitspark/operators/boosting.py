@@ -3,16 +3,24 @@
 A round fits one tree of Spark ML to what the earlier ones leave over. Each tree gets its own share of
 the rows, by a hash, and of the features: the others are constant in its training rows, so it cannot
 split on them, yet its feature numbers are those of the whole vector and all trees form one
-ensemble. The running prediction is a column of a written table; between two writes it is that column
+ensemble.
+
+A tree and a prediction see nothing of a row but its features, and the features follow from the hour and
+the zone. So rounds work on one point for each distinct feature vector: the learner weighs a point by
+the number of its rows drawn and fits it to their mean rest, which gives the splits and leaves of the rows
+themselves, and losses add up from a point's count, mean and spread of labels. Points grow with hours times
+zones, not with rows; every ``WRITE_EVERY`` rounds one pass over all rows draws the shares of the rounds to
+come. The running prediction is a column of the written points; between two writes it is that column
 plus the few trees since, so plans stay short and a lost executor costs its own tasks only.
 
-What is left over is rounded to ``GRID``. Sums of such numbers and of their squares are exact as
-long as they fit into 53 bits, so partitioning and core count do not change a tree.
+Labels are summed as multiples of ``GRID`` and what is left over is rounded to it. Sums of such numbers and
+of their squares are exact as long as they fit into 53 bits, so partitioning and core count do not change a tree.
 """
 
 from __future__ import annotations
 
 import random
+from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -43,6 +51,7 @@ TREE_BINS = 512
 WRITE_EVERY = 10
 # Unit of what a tree is fitted to: a tenth of a hundredth of a minute or so.
 GRID = 2.0**-10
+POINT_COLUMNS = ["split", "x", "n", "mean", "spread", "prediction"]
 
 
 def row_share(round_number: int, share: float = ROW_SHARE) -> Column:
@@ -62,10 +71,30 @@ def _masked(size: int, chosen: list[int]) -> Column:
     return array_to_vector(F.array(*parts))
 
 
-def _losses(rows: DataFrame, split: str, predictions: list[str]) -> list[float | None]:
+def points(rows: DataFrame) -> DataFrame:
+    """(split, x, n, mean, spread, prediction) of each split's distinct feature vectors.
+
+    ``spread`` is the sum of squared differences of the labels from their mean.
+    """
+    n = F.count(F.lit(1))
+    found = rows.groupBy("split", "x").agg(n.alias("n"), F.avg("label").alias("mean"), (F.var_pop("label") * n).alias("spread"))
+    return found.withColumn("prediction", F.lit(0.0))
+
+
+def with_shares(state: DataFrame, rows: DataFrame, rounds: Sequence[int]) -> DataFrame:
+    """``state`` with the count and the sum of labels, in units of ``GRID``, of a point's rows in each of some rounds."""
+    units = F.rint(F.col("label") / F.lit(GRID))
+    sums = []
+    for i in rounds:
+        sums += [F.count_if(row_share(i)).alias(f"_n{i}"), F.sum(F.when(row_share(i), units)).alias(f"_sum{i}")]
+    shares = rows.filter("split = 'train'").groupBy("split", "x").agg(*sums)
+    return state.join(shares, ["split", "x"], "left")
+
+
+def _losses(state: DataFrame, split: str, predictions: list[str]) -> list[float | None]:
     """Mean squared errors of a split's rows, for each of some columns, in one pass."""
-    errors = [F.col("label") - F.col(p) for p in predictions]
-    return list(rows.filter(F.col("split") == split).agg(*[F.avg(e * e) for e in errors]).first())
+    errors = [F.col("spread") + F.col("n") * (F.col("mean") - F.col(p)) ** 2 for p in predictions]
+    return list(state.filter(F.col("split") == split).agg(*[F.sum(e) / F.sum("n") for e in errors]).first())
 
 
 def train_trees(
@@ -87,15 +116,23 @@ def train_trees(
             F.lit(name).alias("split"),
             vector_to_array("features").alias("x"),
             F.col(label).cast("double").alias("label"),
-            F.lit(0.0).alias("prediction"),
         )
         for name, rows in (("train", train), ("validation", validation))
     ]
-    state = materialize(parts[0].unionByName(parts[1]), "boosting", ["split"])
-    first = state.filter("split = 'train'").select(F.size("x")).first()
+    rows = materialize(parts[0].unionByName(parts[1]), "boosting", ["split"])
+    first = rows.filter("split = 'train'").select(F.size("x")).first()
     if first is None:
         raise ValueError("no training rows")
-    validated = not validation.isEmpty()
+    validated = not rows.filter("split = 'validation'").isEmpty()
+
+    def drawn(state: DataFrame, number: int) -> DataFrame:
+        """``state`` with the shares of the rounds after ``number`` up to the next write."""
+        end = min(number + (WRITE_EVERY if validated else 1), max_rounds)
+        return materialize(with_shares(state, rows, range(number + 1, end + 1)), "boosting", ["split"])
+
+    base = materialize(points(rows), "points", ["split"])
+    state = drawn(base, 0)
+    discard(base)
     trees: list[DecisionTreeRegressionModel] = []
     losses: dict[str, list[float]] = {"train": [], "validation": []}
     deciding = losses["validation" if validated else "train"]
@@ -103,11 +140,14 @@ def train_trees(
     current, steps = state.withColumn("features", array_to_vector("x")), ["prediction"]
     while not settled and len(trees) < max_rounds:
         number = len(trees) + 1
-        rows = current.filter("split = 'train'").filter(row_share(number))
-        rest = F.rint((F.col("label") - F.col(steps[-1])) / F.lit(GRID)) * F.lit(GRID)
+        share = current.filter("split = 'train'").filter(F.col(f"_n{number}") > 0)
+        mean = F.col(f"_sum{number}") / F.col(f"_n{number}")
+        rest = F.rint(mean - F.col(steps[-1]) / F.lit(GRID)) * F.lit(GRID)
         chosen = feature_share(number, first[0])
-        fitted = rows.select(_masked(first[0], chosen).alias("features"), rest.alias("rest"))
-        # The learner reads its rows a few times; a part that is lost is made again.
+        fitted = share.select(
+            _masked(first[0], chosen).alias("features"), rest.alias("rest"), F.col(f"_n{number}").cast("double").alias("rows")
+        )
+        # The learner reads its points a few times; a part that is lost is made again.
         fitted = fitted.persist(StorageLevel.MEMORY_AND_DISK)
         trees.append(_learner().fit(fitted))
         fitted.unpersist()
@@ -124,19 +164,19 @@ def train_trees(
             losses["train"] += _losses(current, "train", steps[1:])
             keep, settled = round_to_keep(deciding, patience)
             if not settled and number < max_rounds:
-                columns = [F.col(steps[-1] if c == "prediction" else c).alias(c) for c in state.columns]
-                written = materialize(current.select(columns), "boosting", ["split"])
+                held = [c for c in POINT_COLUMNS if c != "prediction"]
+                written = drawn(current.select(*held, F.col(steps[-1]).alias("prediction")), number)
                 discard(state)
                 state = written
                 current, steps = state.withColumn("features", array_to_vector("x")), ["prediction"]
-    discard(state)
+    discard(state, rows)
     curves = [loss_rows(spark, "trees", name, found) for name, found in losses.items()]
     return ensemble(trees[:keep]), curves[0].unionByName(curves[1])
 
 
 def _learner() -> DecisionTreeRegressor:
     return DecisionTreeRegressor(
-        labelCol="rest", maxDepth=TREE_DEPTH, maxBins=TREE_BINS, seed=SEED, maxMemoryInMB=512
+        labelCol="rest", weightCol="rows", maxDepth=TREE_DEPTH, maxBins=TREE_BINS, seed=SEED, maxMemoryInMB=512
     )
 
 
