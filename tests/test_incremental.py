@@ -130,6 +130,25 @@ def test_a_stopped_batch_is_never_seen(spark, tmp_path):
     assert len(sizes) >= 6 and min(sizes.values()) > 0
 
 
+def test_a_commit_looks_its_files_up_in_tasks(spark, tmp_path, monkeypatch):
+    from waitspark.sources import batches
+
+    path = str(tmp_path / "some months")
+    rows = month_rows(spark, [1, 2], 50).withColumn("trip_month", F.concat(F.lit("2024:"), F.col("trip_month").cast("string")))
+    folder = stage_batch(rows, path, "trip_month", 3)
+    listed = []
+    monkeypatch.setattr(batches, "_children", lambda spark, at: listed.append(at) or [])
+    commit_batch(spark, path, folder, "a", "trip_month")
+    assert listed == [f"{path}/_commits"]
+    monkeypatch.undo()
+    got = {(r["month"], r["file"]): r["bytes"] for r in manifest(spark, path).collect()}
+    disk = {(f.parent.name.partition("=")[2], f.name): f.stat().st_size for f in (tmp_path / "some months" / folder).glob("*/*.parquet")}
+    assert got == disk and len(got) >= 34
+    assert read_months(spark, path).count() == 100 and files_over(spark, path, 3) == 0
+    append_months(rows.filter("v < 0"), path, "none")
+    assert read_months(spark, path).count() == 100
+
+
 def test_a_rerun_replaces_its_months(spark, tmp_path):
     path = str(tmp_path / "months")
     append_months(month_rows(spark, [1, 2]), path, "a")

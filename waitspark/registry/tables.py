@@ -32,7 +32,7 @@ from waitspark.sources import (
     write_processed,
 )
 from waitspark.streaming import stream_weather
-from waitspark.workspace import scratch_path
+from waitspark.workspace import discard, materialize, scratch_path
 
 # Rows of a file of a batch: fewer than any task has.
 BATCH_ROWS = 500
@@ -98,12 +98,13 @@ def months_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months in two batches: the second is stopped before its commit, then run whole; the first is run again."""
     path = scratch_path(spark, "months")
     rows = views.order_trips(spark, sf_dir)
-    rows = rows.select("order_id", "line", F.month("request_datetime").alias("trip_month"))
+    rows = materialize(rows.select("order_id", "line", F.month("request_datetime").alias("trip_month")), "order-trips")
     early, late = rows.filter("trip_month <= 6"), rows.filter("trip_month >= 6")
     append_months(early, path, "early", batch_size=BATCH_ROWS)
     stage_batch(late.filter("line > 1"), path, "trip_month", BATCH_ROWS)
     append_months(late, path, "late", batch_size=BATCH_ROWS)
     append_months(early, path, "early", batch_size=BATCH_ROWS)
+    discard(rows)
     if files_over(spark, path, BATCH_ROWS):
         raise ValueError("a file has more rows than its batch allows")
     return read_months(spark, path)

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MANIFEST = "batch string, place long, folder string, month string, file string, bytes long"
+#: Files of a manifest at most; its tasks look up the sizes.
+MANIFEST_FILES = 16
 
 
 def _system(spark: SparkSession, path: str):
@@ -28,25 +30,36 @@ def _children(spark: SparkSession, path: str) -> list:
 
 
 def stage_batch(df: DataFrame, path: str, month: str, batch_size: int = 5_000_000) -> str:
-    """Write the rows of a batch, in files of at most ``batch_size`` rows of a month; the folder's name."""
+    """Write the rows of a batch, in files of at most ``batch_size`` rows of a month; the folder's name.
+
+    Tasks move their own files into the folder, which no reader sees before the manifest. A task that is
+    run again has the same rows, so it writes files of the same names.
+    """
     folder = f"rows-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(month).option("maxRecordsPerFile", batch_size)
-    writer.parquet(f"{path}/{folder}")
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(f"{path}/{folder}")
     return folder
 
 
+def staged_files(spark: SparkSession, path: str, folder: str, month: str) -> DataFrame:
+    """(month, file, bytes) of a staged batch, looked up in tasks; no file is opened."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    steps = F.split("path", "/")
+    named = found.load(f"{path}/{folder}").select(
+        F.element_at(steps, -2).alias("part"), F.element_at(steps, -1).alias("file"), F.col("length").alias("bytes")
+    )
+    value = F.expr(f"substring(part, {len(month) + 2})")
+    return named.filter(F.col("part").startswith(f"{month}=")).select(value.alias("month"), "file", "bytes")
+
+
 def commit_batch(spark: SparkSession, path: str, folder: str, batch: str, month: str) -> None:
     """Make a staged batch the one that has its months."""
-    files = []
-    for part in _children(spark, f"{path}/{folder}"):
-        name = part.getPath().getName()
-        if name.startswith(f"{month}="):
-            for file in _children(spark, f"{path}/{folder}/{name}"):
-                files.append((name.partition("=")[2], file.getPath().getName(), file.getLen()))
     place = max((int(c.getPath().getName().partition("-")[0]) for c in _children(spark, f"{path}/_commits")), default=0) + 1
-    rows = [(batch, place, folder, m, f, n) for m, f, n in files]
+    rows = staged_files(spark, path, folder, month).select(
+        F.lit(batch).alias("batch"), F.lit(place).cast("long").alias("place"), F.lit(folder).alias("folder"), "month", "file", "bytes"
+    )
     waiting = f"{path}/_waiting-{uuid.uuid4().hex}"
-    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.parquet(waiting)
+    rows.coalesce(MANIFEST_FILES).write.parquet(waiting)
     system, source = _system(spark, waiting)
     _, commits = _system(spark, f"{path}/_commits")
     system.mkdirs(commits)
