@@ -116,7 +116,8 @@ def gradient(
 ) -> tuple[float, np.ndarray, np.ndarray]:
     """(sum of squared errors of a block, its gradient, the block's means and variances times its rows).
 
-    ``rng`` draws what drops out; None drops nothing.
+    ``rng`` draws what drops out; None drops nothing. Arrays of a block are changed in place where they can be:
+    making new ones costs more than the arithmetic.
     """
     p = shape.arrays(theta)
     out = np.zeros_like(theta)
@@ -126,19 +127,25 @@ def gradient(
     h = x
     for i in range(last):
         inputs = h
-        a = inputs @ p[f"w{i}"] + p[f"b{i}"]
+        a = inputs @ p[f"w{i}"]
+        a += p[f"b{i}"]
         h = np.maximum(a, 0)
         norm = None
         if f"scale{i}" in p:
-            mean, variance = h.mean(axis=0), h.var(axis=0)
+            mean = h.mean(axis=0)
+            h -= mean
+            variance = np.einsum("ij,ij->j", h, h) / len(h)
             moments += [mean, variance]
             root = np.sqrt(variance + NORM_EPSILON)
-            norm = (h - mean) / root, root
-            h = norm[0] * p[f"scale{i}"] + p[f"shift{i}"]
+            h /= root
+            norm = h, root
+            h = h * p[f"scale{i}"]
+            h += p[f"shift{i}"]
         mask = None
         if rng is not None:
-            mask = (rng.random(h.shape) >= DROPOUT) / (1 - DROPOUT)
-            h = h * mask
+            mask = rng.random(h.shape) >= DROPOUT
+            h *= mask
+            h *= 1 / (1 - DROPOUT)
         kept.append((inputs, a, norm, mask))
     error = (h @ p[f"w{last}"] + p[f"b{last}"])[:, 0] - y
     d = 2 * error[:, None]
@@ -148,14 +155,19 @@ def gradient(
     for i in reversed(range(last)):
         inputs, a, norm, mask = kept[i]
         if mask is not None:
-            d = d * mask
+            d *= mask
+            d *= 1 / (1 - DROPOUT)
         if norm is not None:
             unit, root = norm
-            g[f"scale{i}"][:] = (d * unit).sum(axis=0)
+            along = d * unit
+            scale, n = p[f"scale{i}"], len(d)
+            g[f"scale{i}"][:] = along.sum(axis=0)
             g[f"shift{i}"][:] = d.sum(axis=0)
-            d = d * p[f"scale{i}"]
-            d = (d - d.mean(axis=0) - unit * (d * unit).mean(axis=0)) / root
-        d = d * (a > 0)
+            d *= scale
+            d -= scale * g[f"shift{i}"] / n
+            d -= np.multiply(unit, scale * g[f"scale{i}"] / n, out=along)
+            d /= root
+        d *= a > 0
         g[f"w{i}"][:] = inputs.T @ d
         g[f"b{i}"][:] = d.sum(axis=0)
         if i:
