@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from fixtures import ROWS, docs, labels, lower_words, plain
 from waitspark.llm import context_mixing, kneser_ney, quality_classifier, sentencepiece_codec, toxicity
@@ -296,3 +297,12 @@ def test_encode_carries_columns_and_replaces_its_own(spark):
     assert coded.columns == ["doc_id", "text", "lang", "source", "n_chars", "word", "ids", "n_tokens", "score"]
     assert {r["word"] for r in coded.collect()} == {"x", None}
     assert sentencepiece_codec.decode(sentencepiece_codec.encode(docs(spark, []))).collect() == []
+
+
+def test_quality_model_learns_from_every_trusted_row(spark, monkeypatch):
+    rows = spark.range(8000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit("one two").alias("text"))
+    marks = rows.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    learnt = []
+    monkeypatch.setattr(quality_classifier, "train", lambda texts: learnt.append(texts.count()))
+    quality_classifier.fit(rows, marks)
+    assert learnt == [rows.filter(~quality_classifier.held_back()).count()] and learnt[0] > 6000
