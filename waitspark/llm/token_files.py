@@ -16,11 +16,14 @@ with equal ids stand next to each other in text order. Empty input gives no file
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,14 @@ HEAD = struct.Struct("<HBHI")
 TAIL = struct.Struct("<QQQ")
 #: Chunks of text in a generation of what a worker remembers; it keeps two.
 CACHE = 600_000
+#: Patterns of tokenizers that part a sign from a letter before it, the signs, and a letter of two bytes.
+LETTERS_APART = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",)
+SIGNS = (b".", b",", b";", b":", b"!", b"?")
+LETTER = re.compile(rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]")
+#: Words that normalising leaves as they are and that no pattern parts.
+SMALL = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+#: The letter that stands for a byte, where it is not the one of that number.
+BYTE_LEVEL = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 #: Stands between chunks encoded together; chunks that hold it are encoded alone.
 FENCE = b"|"
 
@@ -149,11 +160,21 @@ class BlockReader:
             yield self.block(i)
 
 
+def _steps(rule: dict | None, name: str) -> list[dict]:
+    """A tokenizer's rule as a list: a sequence's own rules, or the one."""
+    if rule is None:
+        return []
+    return rule[name] if rule["type"] == "Sequence" else [rule]
+
+
 class ChunkEncoder:
     """A tokenizer that drops white space, applied chunk by chunk.
 
     No token and no normalisation of the tokenizer reaches over ASCII white space, so the ids of a
-    text are those of its chunks in order; chunks already seen are looked up.
+    text are those of its chunks in order; chunks already seen are looked up. A new chunk is looked up
+    without its last sign, too, if the tokenizer always parts that sign from the letter before, and in small
+    letters, if the tokenizer lowers them, so of chunks that differ in nothing else one is encoded. Words of small
+    letters, which the tokenizer's rules leave as they are, go to its model at once.
     """
 
     def __init__(self, path: str) -> None:
@@ -161,6 +182,17 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.fence = int(self._ids([FENCE])[0])
+        rules = json.loads(Path(path).read_bytes())
+        self.lowers = any(r["type"] == "Lowercase" for r in _steps(rules["normalizer"], "normalizers"))
+        first = _steps(rules["pre_tokenizer"], "pretokenizers")[:1]
+        parts = any(r["type"] == "Split" and r["pattern"].get("Regex") in LETTERS_APART for r in first)
+        self.signs = {s: self._ids([s]).tobytes() for s in (SIGNS if parts else ())}
+        last = _steps(rules["pre_tokenizer"], "pretokenizers")[1:]
+        spelt = [r["type"] == "ByteLevel" and not r["add_prefix_space"] and not r["use_regex"] for r in last] == [True]
+        others = [r for r in _steps(rules["normalizer"], "normalizers") if r["type"] not in ("NFC", "Lowercase")]
+        blank = all(r["type"] == "Replace" and r["pattern"] == {"Regex": r"\s+"} for r in others)
+        #: The tokenizer's model, if small letters reach it as they are.
+        self.model = self.tokenizer.model if parts and spelt and blank else None
         #: Ids of chunks as bytes; ``old`` are those of the generation before.
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -179,16 +211,38 @@ class ChunkEncoder:
         """Remember ``chunks``, none of which is known."""
         if len(self.known) > CACHE:
             self.known, self.old = {}, self.known
-        plain = []
+        plain, derived = {}, []
         for c in chunks:
             if (ids := self.old.get(c)) is not None:
                 self.known[c] = ids
             elif FENCE in c:
                 self.known[c] = self._ids([c]).tobytes()
             else:
-                plain.append(c)
+                word, sign = self._parted(c)
+                if word != c:
+                    derived.append((c, word, sign))
+                if word in self.known:
+                    continue
+                if self.model is not None and SMALL.fullmatch(word):
+                    spelt = word.decode("latin-1").translate(BYTE_LEVEL)
+                    ids = [t.id for t in self.model.tokenize(spelt)]
+                    self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+                else:
+                    plain[word] = None
+        plain = list(plain)
         for i in range(0, len(plain), 500):
             self._learn_plain(plain[i : i + 500])
+        for c, word, sign in derived:
+            self.known[c] = self.known[word] + sign
+
+    def _parted(self, chunk: bytes) -> tuple[bytes, bytes]:
+        """A chunk that has the same ids but for the last sign's, and those."""
+        # Small letters of others may compose where capital ones do not.
+        word = chunk.lower() if self.lowers and chunk.isascii() else chunk
+        ids = self.signs.get(word[-1:])
+        if ids is None or not (word[-2:-1].isalpha() or LETTER.match(word[-3:-1])):
+            return word, b""
+        return word[:-1], ids
 
     def _ids(self, chunks: list[bytes]) -> np.ndarray:
         """Ids of some chunks, one after the other."""
