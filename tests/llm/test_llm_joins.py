@@ -70,6 +70,29 @@ def test_components_match_brute_force(spark, rare):
     assert plain(got) == brute_components(rows)
 
 
+def test_a_pair_is_made_about_once(spark, monkeypatch):
+    """Near copies share many keys; each pair is compared at the least of them."""
+    found, made = jaccard_join.candidates, []
+
+    def counted(live, percent):
+        pairs = found(live, percent)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "candidates", counted)
+    rows = near_groups(3, 30)
+    assert plain(jaccard_join.op7(docs(spark, rows)).collect()) == brute_components(rows)
+    assert 0 < sum(n for n, _ in made) <= 2 * sum(n for _, n in made)
+
+
+def test_one_of_the_keys_with_the_same_members_stays(spark):
+    members = {1: [1, 2], 2: [1, 2], 3: [1, 2, 3], 4: [3, 2, 1], 5: [4], 6: [3, 4]}
+    postings = spark.createDataFrame([(k, c) for k, found in members.items() for c in found], "key long, cid long")
+    assert sorted(r["key"] for r in jaccard_join.meeting_keys(postings).collect()) == [1, 3, 6]
+    least = {r["cid"]: sorted(r["least_keys"]) for r in jaccard_join.least_keys(postings).collect()}
+    assert least == {1: [1, 2, 3, 4], 2: [1, 2, 3, 4], 3: [3, 4, 6], 4: [5, 6]}
+
+
 @settings(deadline=None, max_examples=40)
 @given(st.integers(0, 10**6), st.integers(20, 400), st.sampled_from([0, 1, 4, 1000]))
 def test_linked_sets_share_a_key(seed, n, rare):

@@ -13,9 +13,12 @@ when 100 * |A n B| >= ``percent`` * |A u B|; the query has 3 words and 90, for w
    a key by itself. Frequent tokens are keys only in combinations: they fall into g = k - 1 groups by
    hash, so of k shared ones two are in one group, and the pairs inside the groups are the keys. g is a
    power of two near p / 4, chosen by size; sizes near a border use both values.
+   Near copies share many keys, most with the same members; one of the keys with the same members stays.
 4. Classes that meet in a key are verified in rounds. In each round a key's pivots, few at first, are
    compared with its other members, unless both are in one component already or sizes, the numbers of
-   tokens that nobody else has, or the parity sketches rule a link out. A sketch has a bit for each of
+   tokens that nobody else has, or the parity sketches rule a link out. Two classes are compared at the least key
+   they share: each posting knows the least ``LEAST_KEYS`` keys of its class, and a pair that has a lesser one in
+   common is left to that one, so a pair is made about once, however many keys it shares. A sketch has a bit for each of
    ``SKETCH_BITS`` shares of the tokens, set if the class has an odd number of them, so two sets differ
    in at least as many tokens as their sketches in bits. Compared pivots leave the key; keys inside one
    component close. Groups whose members all link need about one comparison a member, not all pairs.
@@ -32,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waitspark.llm.bloom import bloom_filter, in_filter
@@ -49,8 +52,9 @@ RARE = 64
 SKETCH_BITS = 256
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 FIRST_PIVOTS, PIVOT_GROWTH = 2, 4
-#: The first round takes one in so many keys.
-FIRST_KEYS = 16
+LEAST_KEYS = 8
+#: What a class brings to its postings.
+SIDE = [*SKETCH, "least_keys"]
 
 
 def token_set(text: bytes, cache: WordHashes, shingle: int = SHINGLE) -> np.ndarray:
@@ -167,6 +171,23 @@ def keys(classes: DataFrame, rare: int = RARE, percent: int = PERCENT) -> DataFr
     return classes.select("cid", "n", "shared").mapInArrow(run, "key long, cid long, n long, alone long")
 
 
+def meeting_keys(postings: DataFrame) -> DataFrame:
+    """key: of the keys that the same two or more classes of ``postings`` (key, cid) have, the least.
+
+    Sets of members are told apart by their size and 128 bits of their members' hashes.
+    """
+    marks = [F.bit_xor(F.xxhash64("cid", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    members = postings.groupBy("key").agg(F.count("*").alias("m"), *marks).filter("m > 1")
+    return members.groupBy("m", "mark0", "mark1").agg(F.min("key").alias("key")).select("key")
+
+
+def least_keys(postings: DataFrame) -> DataFrame:
+    """(cid, least_keys) of ``postings`` (key, cid): the first ``LEAST_KEYS`` keys of each class."""
+    place = F.row_number().over(Window.partitionBy("cid").orderBy("key"))
+    first = postings.select("cid", "key", place.alias("place")).filter(F.col("place") <= LEAST_KEYS)
+    return first.groupBy("cid").agg(F.collect_list("key").alias("least_keys"))
+
+
 def shared_tokens(rows: DataFrame) -> DataFrame:
     """(token, count) of tokens that at least two classes of ``rows`` (cid, tokens) have."""
     tokens = rows.select(F.explode("tokens").alias("token"))
@@ -204,14 +225,9 @@ def linked(pairs: DataFrame, members: DataFrame, percent: int = PERCENT) -> Data
 
 
 def class_components(members: DataFrame, postings: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(cid, comp, sketch) of all ``members`` (cid, tokens, sketch); ``postings`` are the keys they meet in.
-
-    The first round takes one in ``FIRST_KEYS`` keys: linked classes share many, so it finds most links, and
-    the rounds over all keys then meet them inside one component, where no pair is emitted.
-    """
-    comps = materialize(members.select("cid", F.col("cid").alias("comp"), *SKETCH), "comps")
-    some = postings.filter(F.pmod(F.xxhash64("key", F.lit("first")), F.lit(FIRST_KEYS)) == 0)
-    comps, last = _round(comps, some, members, FIRST_PIVOTS, percent)
+    """(cid, comp and more) of all ``members`` (cid, tokens, sketch); ``postings`` are the keys they meet in."""
+    first = members.select("cid", F.col("cid").alias("comp"), *SKETCH).join(least_keys(postings), "cid", "left")
+    comps, last = materialize(first, "comps"), None
     open_, pivots = postings, FIRST_PIVOTS
     while True:
         comps, live = _round(comps, open_, members, pivots, percent)
@@ -219,7 +235,7 @@ def class_components(members: DataFrame, postings: DataFrame, percent: int = PER
             discard(last)
         if live is None:
             return comps
-        open_, last = live.filter("NOT pivot").drop("pivot", "comp", *SKETCH), live
+        open_, last = live.filter("NOT pivot").select("key", "cid", "n", "alone"), live
         pivots *= PIVOT_GROWTH
 
 
@@ -233,15 +249,13 @@ def _round(comps: DataFrame, postings: DataFrame, members: DataFrame, pivots: in
     stats = materialize(stats.filter("low <> high"), "stats")
     chosen = (F.pmod(F.xxhash64("cid"), F.lit(1 << 20)) * F.col("members") < pivots * (1 << 20)) | (F.col("cid") == F.col("first.cid"))
     live = open_.join(stats.select("key", "members", "first"), "key")
-    live = materialize(live.select("key", "cid", "n", "alone", "comp", *SKETCH, chosen.alias("pivot")), "live")
+    lesser = F.filter("least_keys", lambda k: k < F.col("key")).alias("lesser")
+    live = materialize(live.select("key", "cid", "n", "alone", "comp", *SKETCH, lesser, chosen.alias("pivot")), "live")
     discard(stats)
     if live.limit(1).count() == 0:
         discard(live)
         return comps, None
-    a, b = live.alias("a"), live.filter("pivot").alias("b")
-    differ = (F.col("a.comp") != F.col("b.comp")) & (~F.col("a.pivot") | (F.col("a.cid") < F.col("b.cid")))
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & differ & linkable("a", "b", percent))
-    pairs = materialize(pairs.select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct(), "pairs")
+    pairs = materialize(candidates(live, percent).distinct(), "pairs")
     found = materialize(linked(pairs, members, percent), "found")
     discard(pairs)
     if found.limit(1).count():
@@ -252,6 +266,15 @@ def _round(comps: DataFrame, postings: DataFrame, members: DataFrame, pivots: in
     return comps, live
 
 
+def candidates(live: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b) of a key's pivots and its other members that may link and share no lesser key that both know."""
+    a, b = live.alias("a"), live.filter("pivot").alias("b")
+    differ = (F.col("a.comp") != F.col("b.comp")) & (~F.col("a.pivot") | (F.col("a.cid") < F.col("b.cid")))
+    elsewhere = F.arrays_overlap("a.lesser", "b.lesser")
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & differ & linkable("a", "b", percent) & ~elsewhere)
+    return pairs.select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b"))
+
+
 def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     """``comps`` after joining the components that ``links`` (a, b) of classes connect."""
     left = comps.select(F.col("cid").alias("a"), F.col("comp").alias("x"))
@@ -259,7 +282,7 @@ def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     between = links.join(left, "a").join(right, "b").filter("x <> y")
     roots = components(between.select(F.col("x").alias("a"), F.col("y").alias("b")))
     moved = comps.join(roots, comps["comp"] == roots["node"], "left")
-    return materialize(moved.select("cid", F.coalesce("root", "comp").alias("comp"), *SKETCH), "comps")
+    return materialize(moved.select("cid", F.coalesce("root", "comp").alias("comp"), *SIDE), "comps")
 
 
 def join_components(
@@ -287,9 +310,10 @@ def join_components(
     shared = shared.groupBy("cid", "n").agg(F.collect_list(F.struct("count", "token")).alias("shared"))
     postings = keys(shared, rare, percent)
     postings = materialize(postings, "postings")
-    met = postings.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
-    comps = class_components(members.drop("n"), postings.join(met, "key", "left_semi"), percent)
-    discard(members, postings)
+    met = materialize(postings.join(meeting_keys(postings), "key", "left_semi"), "met")
+    discard(postings)
+    comps = class_components(members.drop("n"), met, percent)
+    discard(members, met)
     with_least = classes.select("cid", "sig", "least").join(comps, "cid", "left")
     with_least = materialize(with_least.withColumn("comp", F.coalesce("comp", "cid")), "with-least")
     smallest = with_least.groupBy("comp").agg(F.min("least").alias("component_id"))
