@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fixtures import ROWS, docs, labels, lower_words, plain
-from waitspark.llm import context_mixing, kneser_ney, quality_classifier, sentencepiece_codec, toxicity
+from waitspark.llm import bloom, context_mixing, kneser_ney, quality_classifier, sentencepiece_codec, toxicity
 from waitspark.llm.kneser_ney import PLACES, Table, log_probabilities, train
 
 
@@ -98,6 +98,29 @@ def test_kneser_ney_equals_brute_force(spark, monkeypatch, hot_keys):
     assert len(lower_words(scored[-1])) > PLACES
 
 
+def test_kneser_ney_over_many_shards(spark, monkeypatch):
+    """Frequent middle words are dealt over several shards; what is shuffled is freed at once, and a trigram takes few bytes."""
+    monkeypatch.setattr(kneser_ney, "SHARD_ROWS", 200)
+    monkeypatch.setattr(kneser_ney, "SPLIT_ROWS", 30)
+    trusted = zipf_texts(60, 1)
+    scored = zipf_texts(50, 2) + trusted
+    model = train(spark.createDataFrame([(t,) for t in trusted], "text string"), 5)
+    assert model.shared.shards > 5 and model.shared.parts.max() > 3
+    assert model.rows.filter(F.col("kind") == kneser_ney.SPLIT).count() > 3
+    df = spark.createDataFrame(list(enumerate(scored)), "row int, text string").repartition(3)
+    got = {r["row"]: r for r in log_probabilities(df, model, ["row"]).collect()}
+    plain_model = PlainKneserNey([lower_words(t) for t in trusted])
+    for i, text in enumerate(scored):
+        log, known = plain_model.log_probability(lower_words(text))
+        assert got[i]["known"] == known and got[i]["log_probability"] == pytest.approx(log, rel=1e-5, abs=1e-4)
+    rng = np.random.default_rng(1)
+    w = [np.minimum(rng.zipf(1.3, 20_000) + 2, 5000) for _ in range(3)]
+    names = rng.integers(0, 2**64, 6000, dtype=np.uint64)
+    blob = kneser_ney.pack_words(w, names, 5000)
+    assert len(blob) < 6 * 20_000  # three names take 24 bytes
+    assert all((names[a] == b).all() for a, b in zip(w, kneser_ney.unpack_words(blob, names[:5000])[1]))
+
+
 def test_kneser_ney_sums_to_one(spark):
     """The next words, an end and an unseen word share one, after known, half known and unknown words."""
     trusted = ["a b c a b d a b c b a d c e a b", "b c a a e"]
@@ -306,3 +329,14 @@ def test_quality_model_learns_from_every_trusted_row(spark, monkeypatch):
     monkeypatch.setattr(quality_classifier, "train", lambda texts: learnt.append(texts.count()))
     quality_classifier.fit(rows, marks)
     assert learnt == [rows.filter(~quality_classifier.held_back()).count()] and learnt[0] > 6000
+
+
+def test_quality_model_learns_from_trusted_rows_only(spark, monkeypatch):
+    """Also where the filter of ids takes all; a null id is nobody's."""
+    monkeypatch.setattr(bloom, "SLOTS", 2)
+    rows = spark.range(900).select(F.when(F.col("id") > 0, F.col("id")).alias("doc_id"), F.lit("one two").alias("text"))
+    marks = rows.select("doc_id", (F.coalesce("doc_id", F.lit(3)) % 3 == 0).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    learnt = []
+    monkeypatch.setattr(quality_classifier, "train", lambda texts: learnt.extend(r["doc_id"] for r in texts.collect()))
+    quality_classifier.fit(rows, marks)
+    assert sorted(learnt) == [i for i in range(3, 900, 3) if fold(i, 5) != 0]
